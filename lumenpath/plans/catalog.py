@@ -1,11 +1,423 @@
-"""All queries of the engine by name, with their SQL oracles."""
+"""All queries of the engine by name, each over whole tables, with their SQL oracles."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from lumenpath.functions import text as T
+from lumenpath.operators import dag, graph, similarity, windows
+from lumenpath.operators.components import connected_components
+from lumenpath.plans import planner, quality
+from lumenpath.session import ship, table
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+TYPO = "replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace({0}, '‘', ''''), '’', ''''), '“', '\"'), '”', '\"'), '–', '-'), '—', '-'), '‑', '-'), chr(160), ' '), chr(173), ''), chr(8203), ''), chr(8204), ''), chr(8205), ''), chr(65279), '')"
+FOLD = "trim(regexp_replace(lower(regexp_replace(" + TYPO + r", '-\s*\n\s*', '', 'g')), '[^0-9a-z]+', ' ', 'g'))"
+SLUG = "regexp_replace(regexp_replace(lower({0}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
+WORDS = "list_filter(string_split(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> '')"
+NAMES = ", ".join(f"'{w}'" for w in T.NAME_STOPWORDS)
+TOKENS = ", ".join(f"'{w}'" for w in T.TOKEN_STOPWORDS)
+KEY = "array_to_string(list_filter(" + WORDS + f", lambda w: w NOT IN ({NAMES})), ' ')"
+TOKEN_SET = "array_to_string(list_sort(list_distinct(list_filter(" + WORDS + f", lambda w: w NOT IN ({TOKENS})))), ' ')"
+
+
+# Text functions
+
+
+@query(f"SELECT doc_id, {SLUG.format('text')} AS slug FROM documents")
+def slugify_documents(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.slug(F.col("text")).alias("slug"))
+
+
+@query(f"SELECT p_partkey, {KEY.format('p_name')} AS name_key, {TOKEN_SET.format('p_name')} AS token_key FROM part")
+def norm_name_parts(spark, d):
+    n = F.col("p_name")
+    return table(spark, d, "part").select("p_partkey", T.name_key(n).alias("name_key"), F.array_join(T.token_set(n), " ").alias("token_key"))
+
+
+@query(f"SELECT doc_id, {FOLD.format('text')} AS folded FROM documents")
+def fold_text(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.fold(F.col("text")).alias("folded"))
+
+
+_BOILER = r"(?im)^\s*(?:©\s*20\d\d[^\n]{0,40}|All Rights Reserved|Page \d+ of \d+|Tel:[^\n]*|[a-z0-9.-]+\.(?:edu|com)\s*|MODULE \d+ UNIT \d+|(?:Video|Podcast) \d+ Transcript)\s*$"
+
+
+@query(
+    "SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace("
+    + TYPO.format("text")
+    + f", '{_BOILER}', '', 'g'), '-\\s*\\n\\s*', '', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), '[ \\t]{{2,}}', ' ', 'g'), '^\\s+|\\s+$', '', 'g') AS cleaned FROM documents".replace("{{", "{").replace("}}", "}")
+)
+def clean_text(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.clean(F.col("text")).alias("cleaned"))
+
+
+def _entities_sql(c: str) -> str:
+    for k, v in T.ENTITIES.items():
+        c = f"replace({c}, '{k}', '{v.replace(chr(39), chr(39) * 2)}')"
+    return c
+
+
+@query(
+    "SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace("
+    + _entities_sql("html")
+    + r", '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '(?i)<br\s*/?>|</p>|</li>|</div>|</h[1-6]>', chr(10), 'g'), '<[^>]+>', ' ', 'g'), '[ \t]{2,}', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS visible FROM pages"
+)
+def html_clean_pages(spark, d):
+    return table(spark, d, "pages").select("page_id", T.html_text(F.col("html")).alias("visible"))
+
+
+@query("SELECT sha256(text) AS sha, count(*) AS n_docs, min(doc_id) AS first_doc FROM documents GROUP BY 1 HAVING count(*) > 1")
+def content_dups(spark, d):
+    g = table(spark, d, "documents").groupBy(F.sha2("text", 256).alias("sha"))
+    return g.agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc")).where("n_docs > 1")
+
+
+@query("SELECT doc_id, sha256(text) AS sha, strlen(text) AS bytes, substring(sha256(source || chr(0) || text), 1, 32) AS cache_key FROM documents")
+def manifest_sha(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sha"), F.octet_length("text").cast("long").alias("bytes"), T.cache_key(F.col("source"), F.col("text")).alias("cache_key"))
+
+
+_KINDS = [(r"\.html?$", "page"), (r"utm_source", "campaign"), (r"page=", "listing"), (r"#", "anchor"), (r"/$", "folder")]
+
+
+@query("SELECT page_id, CASE " + " ".join(f"WHEN regexp_matches(lower(url), '{p}') THEN '{k}'" for p, k in _KINDS) + " ELSE 'other' END AS kind FROM pages")
+def classify_pages(spark, d):
+    out = F.lit("other")
+    for p, k in reversed(_KINDS):
+        out = F.when(F.lower("url").rlike(p), k).otherwise(out)
+    return table(spark, d, "pages").select("page_id", out.alias("kind"))
+
+
+@query("SELECT p_partkey, CASE " + " ".join(f"WHEN regexp_matches(lower(p_name), '{p}') THEN '{k}'" for p, k in T.KIND_HINTS) + " ELSE 'definition' END AS kind FROM part")
+def guess_kind_parts(spark, d):
+    return table(spark, d, "part").select("p_partkey", T.guess_kind(F.col("p_name")).alias("kind"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_name IS NULL OR p_name = '' THEN 'NULL' ELSE '''' || replace(p_name, '''', '''''') || '''' END AS literal, coalesce(nullif(p_size, 0), 3) AS size_or_default FROM part")
+def sql_literals(spark, d):
+    return table(spark, d, "part").select("p_partkey", T.sql_literal(F.col("p_name")).alias("literal"), T.or_default(F.col("p_size"), 3).alias("size_or_default"))
+
+
+# Bundles
+
+
+@query(
+    "WITH c AS (SELECT source, length(text) AS n FROM documents WHERE length(text) >= 200) "
+    "SELECT source, count(*) AS n_files, CAST(sum(n) AS BIGINT) AS chars FROM c GROUP BY source"
+)
+def bundle_units(spark, d):
+    kept = table(spark, d, "documents").select("source", F.char_length("text").alias("n")).where("n >= 200")
+    return kept.groupBy("source").agg(F.count(F.lit(1)).alias("n_files"), F.sum("n").alias("chars"))
+
+
+@query()
+def batch_lpt(spark, d):
+    ship(spark)
+    return windows.balanced_batches(bundle_units(spark, d), "source", "chars", 160_000)
+
+
+@query("WITH k AS (SELECT *, bool_or(source <> 'src0') OVER () AS others FROM documents) SELECT doc_id, source FROM k WHERE source <> 'src0' OR NOT others")
+def skip_unless_all(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "source")
+    rest = docs.where("source <> 'src0'")
+    return docs if rest.isEmpty() else rest
+
+
+# Evidence and similarity
+
+
+@query(f"WITH d AS (SELECT doc_id, {FOLD.format('text')} AS body FROM documents), b AS (SELECT item_id, {FOLD.format('text')} AS quote FROM benchmark) SELECT doc_id, item_id FROM d JOIN b ON quote <> '' AND contains(body, quote)")
+def verbatim_pairs(spark, d):
+    return similarity.verbatim_pairs(table(spark, d, "documents"), table(spark, d, "benchmark"), "doc_id", "text", "item_id", "text")
+
+
+@query(
+    f"WITH d AS (SELECT {FOLD.format('text')} AS body FROM documents), b AS (SELECT item_id, {FOLD.format('text')} AS quote FROM benchmark), "
+    "h AS (SELECT item_id, (SELECT count(*) FROM d WHERE b.quote <> '' AND contains(d.body, b.quote)) AS n FROM b) "
+    "SELECT count(*) AS quotes, count(*) FILTER (n > 0) AS verified, round_even(count(*) FILTER (n > 0) / count(*), 4) AS rate FROM h"
+)
+def verbatim_rate(spark, d):
+    hits = verbatim_pairs(spark, d).select("item_id").distinct().withColumn("hit", F.lit(1))
+    b = table(spark, d, "benchmark").select("item_id").join(F.broadcast(hits), "item_id", "left")
+    return b.agg(F.count(F.lit(1)).alias("quotes"), F.count("hit").alias("verified")).select("quotes", "verified", F.bround(F.coalesce(F.try_divide("verified", "quotes"), F.lit(0.0)), 4).alias("rate"))
+
+
+@query(
+    f"WITH n AS (SELECT DISTINCT p_name AS id, {KEY.format('p_name')} AS k FROM part), "
+    "p AS (SELECT id, '  ' || k || '  ' AS s FROM n WHERE k <> ''), g AS (SELECT DISTINCT id, substring(s, i, 3) AS g FROM (SELECT id, s, unnest(range(1, length(s) - 1)) AS i FROM p)), "
+    "c AS (SELECT id, count(*) AS n FROM g GROUP BY id), j AS (SELECT x.id AS a, y.id AS b, count(*) AS i FROM g x JOIN g y ON x.g = y.g AND x.id < y.id GROUP BY 1, 2) "
+    "SELECT a, b, i / (ca.n + cb.n - i) AS score FROM j JOIN c ca ON ca.id = a JOIN c cb ON cb.id = b WHERE i / (ca.n + cb.n - i) >= 0.62"
+)
+def similar_names_trigram(spark, d):
+    names = table(spark, d, "part").select(F.col("p_name").alias("name")).distinct()
+    return similarity.trigram_pairs(names, "name", "name")
+
+
+@query()
+def similar_names(spark, d):
+    ship(spark)
+    return similarity.name_pairs(table(spark, d, "part"), "p_name", 0.7)
+
+
+@query()
+def merge_candidates(spark, d):
+    ship(spark)
+    c = table(spark, d, "part").groupBy(F.col("p_name").alias("name")).agg(F.min("p_type").alias("definition"))
+    return similarity.merge_candidates(c.select(T.slug(F.col("name")).alias("slug"), "name", "definition", F.array().cast("array<string>").alias("aliases")))
+
+
+# Graph
+
+
+def _events(spark, d):
+    return table(spark, d, "events")
+
+
+_STEPS = (
+    "s AS (SELECT lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS src, event_type AS dst, user_id, event_id FROM events), "
+    "e AS (SELECT src, dst, count(*) AS n FROM s WHERE src IS NOT NULL AND src <> dst GROUP BY 1, 2) "
+)
+
+
+@query(f"WITH {_STEPS} SELECT src, dst, n FROM e")
+def sequence_links(spark, d):
+    return windows.sequence_links(_events(spark, d), "user_id", ["ts", "event_id"], "event_type")
+
+
+@query(f"WITH {_STEPS}, r AS (SELECT *, row_number() OVER (PARTITION BY least(src, dst), greatest(src, dst) ORDER BY n DESC, src, dst) AS k FROM e) SELECT src, dst, n FROM r WHERE k = 1")
+def antisymmetric_links(spark, d):
+    links = sequence_links(spark, d).select("src", "dst", F.lit("prerequisite").alias("type"), F.col("n").alias("strength"), F.struct("src", "dst").alias("ord"))
+    return graph.antisymmetric_links(links).select("src", "dst", F.col("strength").alias("n"))
+
+
+@query(
+    "WITH l AS (SELECT l_partkey AS src, l_suppkey AS dst, l_returnflag AS type, l_quantity AS strength, l_orderkey, l_linenumber FROM lineitem), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY src, dst, type ORDER BY strength DESC, l_orderkey, l_linenumber) AS k FROM l) "
+    "SELECT src, dst, type, strength, l_orderkey, l_linenumber FROM r WHERE k = 1"
+)
+def link_argmax(spark, d):
+    rows = table(spark, d, "lineitem").select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst"), F.col("l_returnflag").alias("type"), F.col("l_quantity").alias("strength"), F.struct("l_orderkey", "l_linenumber").alias("ord"))
+    return graph.strongest_links(rows).select("src", "dst", "type", "strength", "ord.l_orderkey", "ord.l_linenumber")
+
+
+@query(f"WITH {_STEPS}, n AS (SELECT DISTINCT event_type AS slug FROM events), x AS (SELECT src AS slug FROM e UNION ALL SELECT dst FROM e) SELECT n.slug, count(x.slug) AS degree FROM n LEFT JOIN x USING (slug) GROUP BY n.slug")
+def degree(spark, d):
+    return graph.degrees(sequence_links(spark, d), _events(spark, d).select(F.col("event_type").alias("slug")).distinct())
+
+
+@query(
+    "WITH RECURSIVE v AS (SELECT DISTINCT l_partkey AS p, l_suppkey AS s FROM lineitem WHERE l_quantity >= 50 AND l_discount >= 0.1), "
+    "e AS (SELECT 'p' || p AS a, 's' || s AS b FROM v UNION ALL SELECT 's' || s, 'p' || p FROM v), "
+    "r(node, label) AS (SELECT a, a FROM e UNION SELECT e.b, r.label FROM r JOIN e ON e.a = r.node) "
+    "SELECT node, min(label) AS component FROM r GROUP BY node"
+)
+def components(spark, d):
+    e = table(spark, d, "lineitem").where("l_quantity >= 50 and l_discount >= 0.1").select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst")).distinct()
+    return connected_components(e)
+
+
+def _precedence(spark, d):
+    return sequence_links(spark, d).select("src", "dst", F.col("n").cast("double").alias("strength"))
+
+
+@query()
+def prereq_dag(spark, d):
+    return dag.break_cycles(_precedence(spark, d))
+
+
+@query()
+def topo_order(spark, d):
+    return dag.levels(prereq_dag(spark, d))
+
+
+@query(
+    "WITH m AS (SELECT p_brand AS brand, p_name, p_type, p_size, p_partkey FROM part), "
+    "n AS (SELECT brand, arg_min(p_name, p_partkey) AS first_name, CAST(round_even(avg(p_size), 0) AS INTEGER) AS mean_size FROM m GROUP BY brand), "
+    "l AS (SELECT brand, p_name AS longest FROM (SELECT *, row_number() OVER (PARTITION BY brand ORDER BY length(p_name) DESC, p_partkey) AS k FROM m WHERE p_name <> '') WHERE k = 1), "
+    "t AS (SELECT brand, p_type AS kind FROM (SELECT brand, p_type, row_number() OVER (PARTITION BY brand ORDER BY count(*) DESC, min(p_partkey)) AS k FROM m GROUP BY brand, p_type) WHERE k = 1), "
+    "u AS (SELECT brand, string_agg(DISTINCT p_type, '|' ORDER BY p_type) AS types FROM m GROUP BY brand) "
+    "SELECT brand, first_name, longest, mean_size, kind, types FROM n JOIN l USING (brand) JOIN t USING (brand) JOIN u USING (brand)"
+)
+def concept_rollup(spark, d):
+    p = table(spark, d, "part")
+    m = p.select(F.col("p_brand").alias("slug"), F.col("p_name").alias("name"), F.col("p_name").alias("definition"), F.col("p_size").alias("difficulty"), F.col("p_type").alias("kind"), F.col("p_type").alias("domain"), F.col("p_brand").alias("course"), F.col("p_type").alias("unit_id"), F.col("p_partkey").alias("ord"))
+    r = graph.rollup_concepts(m)
+    return r.select(F.col("slug").alias("brand"), F.col("name").alias("first_name"), F.col("definition").alias("longest"), F.col("difficulty").alias("mean_size"), "kind", F.array_join("units", "|").alias("types"))
+
+
+@query("WITH c AS (SELECT source, count(*) AS n FROM documents GROUP BY 1) SELECT min(n) AS min_n, max(n) AS max_n, list_sort(list(n))[count(*) // 2 + 1] AS median_n, count(*) FILTER (n NOT BETWEEN 5 AND 10) AS out_of_range FROM c")
+def units_per_key_stats(spark, d):
+    return quality.spread(table(spark, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n")), "n")
+
+
+@query(
+    "WITH e AS (SELECT DISTINCT source FROM documents), c AS (SELECT DISTINCT d.source FROM documents d JOIN labels l USING (doc_id)), "
+    "s AS (SELECT (SELECT count(*) FROM e) AS expected, (SELECT count(*) FROM c) AS covered, (SELECT count(*) FROM labels l WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id)) AS dangling, (SELECT count(*) FROM documents WHERE length(text) < 20) AS thin) "
+    "SELECT expected, covered, round_even(covered / expected, 4) AS coverage, dangling, thin, (round_even(covered / expected, 4) >= 0.95 AND dangling = 0) AS passed FROM s"
+)
+def quality_gate(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    covered = docs.select("doc_id", "source").join(labels.select("doc_id"), "doc_id", "left_semi")
+    a = docs.agg(F.count_distinct("source").alias("expected"), F.count_if(F.char_length("text") < 20).alias("thin"))
+    b = covered.agg(F.count_distinct("source").alias("covered"))
+    c = labels.select("doc_id").join(docs.select("doc_id"), "doc_id", "left_anti").agg(F.count(F.lit(1)).alias("dangling"))
+    r = a.join(b, F.lit(True)).join(c, F.lit(True)).withColumn("coverage", F.bround(F.coalesce(F.try_divide("covered", "expected"), F.lit(0.0)), 4))
+    return r.select("expected", "covered", "coverage", "dangling", "thin", ((F.col("coverage") >= quality.MIN_COVERAGE) & (F.col("dangling") == 0)).alias("passed"))
+
+
+@query(
+    "SELECT n1.n_name AS src, n2.n_name AS dst, count(*) AS links FROM supplier s JOIN lineitem l ON l.l_suppkey = s.s_suppkey JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN customer c ON c.c_custkey = o.o_custkey "
+    "JOIN nation n1 ON n1.n_nationkey = s.s_nationkey JOIN nation n2 ON n2.n_nationkey = c.c_nationkey WHERE s.s_nationkey <> c.c_nationkey GROUP BY 1, 2"
+)
+def cross_group_links(spark, d):
+    s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey").join(table(spark, d, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
+    j = li.join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(o, F.col("l_orderkey") == F.col("o_orderkey")).where("s_nationkey <> c_nationkey").groupBy("s_nationkey", "c_nationkey").agg(F.count(F.lit(1)).alias("links"))
+    n = table(spark, d, "nation").select("n_nationkey", "n_name")
+    a, b = n.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("src")), n.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("dst"))
+    return j.join(a, "s_nationkey").join(b, "c_nationkey").select("src", "dst", "links")
+
+
+# Windows
+
+
+@query(
+    "WITH c AS (SELECT conv_id, turn, role, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER w AS session, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER w AS user_turn FROM conversations "
+    "WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT conv_id, turn, role, CAST(session AS BIGINT) AS session, user_turn FROM c"
+)
+def sessionise_lines(spark, d):
+    c = table(spark, d, "conversations").select("conv_id", "turn", "role")
+    c = windows.session_ids(c, "conv_id", "turn", F.col("role") == "user", "session")
+    return windows.carry_forward(c, "conv_id", "turn", F.when(F.col("role") == "user", F.col("turn")), "user_turn")
+
+
+@query("SELECT min(doc_id) AS doc_id, source FROM documents GROUP BY source, text")
+def keep_first_dedupe(spark, d):
+    # The least id alone identifies the first row, so a partial aggregate replaces a window over the texts.
+    hashed = table(spark, d, "documents").select("doc_id", "source", F.sha2("text", 256).alias("h"))
+    return hashed.groupBy("source", "h").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "source")
+
+
+@query("SELECT doc_id, source, CAST((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 45 AS INTEGER) AS slice FROM documents")
+def slice_rows(spark, d):
+    return windows.slice_rows(table(spark, d, "documents").select("doc_id", "source"), "source", ["doc_id"], 45)
+
+
+# Planner
+
+
+@query("SELECT o_custkey AS cust, CAST(month(o_orderdate) AS INTEGER) AS term, count(*) AS n FROM orders GROUP BY 1, 2 HAVING count(*) > 2")
+def plan_overload(spark, d):
+    return table(spark, d, "orders").groupBy(F.col("o_custkey").alias("cust"), F.month("o_orderdate").alias("term")).agg(F.count(F.lit(1)).alias("n")).where("n > 2")
+
+
+_PLAN = "SELECT o.o_custkey AS cust, l.l_partkey AS part, o.o_orderkey AS pos, l.l_linenumber AS line, o.o_orderdate AS day FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey"
+
+
+def _plan(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
+    return o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("cust"), F.col("l_partkey").alias("part"), F.col("o_orderkey").alias("pos"), F.col("l_linenumber").alias("line"), F.col("o_orderdate").alias("day"))
+
+
+@query(f"WITH p AS ({_PLAN}), w AS (SELECT *, lag(pos) OVER (PARTITION BY cust, part ORDER BY pos, line) AS before FROM p) SELECT cust, part, pos, before FROM w WHERE before IS NOT NULL")
+def plan_duplicates(spark, d):
+    w = Window.partitionBy("cust", "part").orderBy("pos", "line")
+    return _plan(spark, d).withColumn("before", F.lag("pos").over(w)).where("before is not null").select("cust", "part", "pos", "before")
+
+
+@query(f"WITH p AS ({_PLAN}), w AS (SELECT *, lag(day) OVER (PARTITION BY cust, part ORDER BY pos, line) AS earlier FROM p) SELECT cust, part, pos FROM w WHERE earlier >= day")
+def plan_order(spark, d):
+    w = Window.partitionBy("cust", "part").orderBy("pos", "line")
+    return _plan(spark, d).withColumn("earlier", F.lag("day").over(w)).where("earlier >= day").select("cust", "part", "pos")
+
+
+@query(
+    "WITH t AS (SELECT o.o_custkey AS cust, l.l_partkey AS part, o.o_orderstatus AS st FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey), done AS (SELECT DISTINCT cust, part FROM t WHERE st = 'F'), "
+    "todo AS (SELECT t.cust, t.part FROM t LEFT JOIN done d ON d.cust = t.cust AND d.part = t.part WHERE t.st <> 'F' AND d.part IS NULL) "
+    "SELECT cust, CAST(sum(p_size) AS BIGINT) AS total, sum(p_size) > 600 AS over_budget FROM todo JOIN part ON p_partkey = part GROUP BY cust"
+)
+def validate_plan_budget(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("cust"), F.col("o_orderstatus").alias("st"))
+    t = o.join(table(spark, d, "lineitem").select("l_orderkey", F.col("l_partkey").alias("part")), F.col("o_orderkey") == F.col("l_orderkey")).select("cust", "part", "st")
+    todo = t.where("st <> 'F'").join(t.where("st = 'F'").select("cust", "part").distinct(), ["cust", "part"], "left_anti")
+    priced = todo.join(table(spark, d, "part").select("p_partkey", "p_size"), F.col("part") == F.col("p_partkey"))
+    return priced.groupBy("cust").agg(F.sum("p_size").alias("total")).select("cust", "total", (F.col("total") > 600).alias("over_budget"))
+
+
+@query(
+    f"WITH c AS (SELECT p_partkey, p_brand, p_name, {TOKEN_SET.format('p_name')} AS k FROM part), known AS (SELECT DISTINCT k FROM c WHERE p_brand = 'Brand#11' AND k <> ''), "
+    "m AS (SELECT c.p_brand AS brand, count(*) AS total, count(known.k) AS covered FROM c LEFT JOIN known ON known.k = c.k GROUP BY 1) SELECT brand, total, covered, total - covered AS residual, total - covered <= 5 AS waivable FROM m"
+)
+def waiver_coverage(spark, d):
+    p = table(spark, d, "part").select("p_partkey", "p_brand", F.col("p_name").alias("name"))
+    known = p.where("p_brand = 'Brand#11'").select("name")
+    c = planner.coverage(p, known, ["p_brand"])
+    m = c.groupBy(F.col("p_brand").alias("brand")).agg(F.count(F.lit(1)).alias("total"), F.count_if("covered").alias("covered"))
+    return m.select("brand", "total", "covered", (F.col("total") - F.col("covered")).alias("residual"), (F.col("total") - F.col("covered") <= 5).alias("waivable"))
+
+
+@query("SELECT p_brand AS brand, p_type AS kind, count(*) AS n FROM part GROUP BY 1, 2")
+def kind_distribution(spark, d):
+    return table(spark, d, "part").groupBy(F.col("p_brand").alias("brand"), F.col("p_type").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    f"WITH c AS (SELECT p_brand, p_name, {TOKEN_SET.format('p_name')} AS k FROM part WHERE p_brand IN ('Brand#12', 'Brand#13')) "
+    "SELECT a.p_name AS name_a, b.p_name AS name_b, count(*) AS pairs FROM c a JOIN c b ON a.k = b.k AND a.k <> '' WHERE a.p_brand = 'Brand#12' AND b.p_brand = 'Brand#13' GROUP BY 1, 2"
+)
+def compare_groups(spark, d):
+    p = table(spark, d, "part").select("p_brand", F.col("p_name").alias("name"))
+    # Names repeat often: counts of distinct names are joined and multiplied, not the rows.
+    side = lambda b: p.where(F.col("p_brand") == b).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    a, b = side("Brand#12"), side("Brand#13")
+    j = planner.related_names(a, b).join(a.select(F.col("name").alias("name_a"), F.col("n").alias("na")), "name_a").join(b.select(F.col("name").alias("name_b"), F.col("n").alias("nb")), "name_b")
+    return j.select("name_a", "name_b", (F.col("na") * F.col("nb")).alias("pairs"))
+
+
+# Export and cost
+
+
+@query("SELECT n_name, r_name, (SELECT string_agg(m.n_name, '|' ORDER BY m.n_name) FROM nation m WHERE m.n_regionkey = n.n_regionkey) AS neighbours FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey")
+def export_star(spark, d):
+    n, r = table(spark, d, "nation"), table(spark, d, "region")
+    joined = n.groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_list("n_name")), "|").alias("neighbours"))
+    return n.join(joined, "n_regionkey").join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name", "neighbours")
+
+
+@query(
+    "WITH p(flag, pin, pout) AS (VALUES ('A', 15.0, 75.0), ('N', 3.0, 15.0)) SELECT l_returnflag AS stage, count(*) AS calls, CAST(sum(l_quantity) AS BIGINT) AS tokens_in, "
+    "round(sum(CAST(l_quantity AS DOUBLE)) / 1e6 * coalesce(max(pin), 0) + count(*) / 1e6 * coalesce(max(pout), 0), 4) AS usd FROM lineitem LEFT JOIN p ON flag = l_returnflag GROUP BY 1"
+)
+def usage_cost(spark, d):
+    price = spark.createDataFrame([("A", 15.0, 75.0), ("N", 3.0, 15.0)], "flag string, pin double, pout double")
+    g = table(spark, d, "lineitem").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("calls"), F.sum("l_quantity").alias("q"))
+    j = g.join(F.broadcast(price), g.l_returnflag == price.flag, "left")
+    usd = F.col("q") / 1e6 * F.coalesce("pin", F.lit(0.0)) + F.col("calls") / 1e6 * F.coalesce("pout", F.lit(0.0))
+    return j.select(F.col("l_returnflag").alias("stage"), "calls", F.col("q").cast("long").alias("tokens_in"), F.round(usd, 4).alias("usd"))
