@@ -2,9 +2,10 @@
 
 Node pairs of the trie are traversed together, the differing bits on the way are summed,
 and a pair is dropped as soon as they exceed the budget. The top of the trie is cut into
-leaves of bounded size by a histogram of the first CUT_BITS bits (a fixed 65,536 counts);
-each pair of leaves within the budget is one group of a Spark shuffle, and the traversal
-goes on inside it. A group returns a spanning forest of the links it found, not all pairs.
+leaves of bounded size by a histogram of the first CUT_BITS bits (a fixed 65,536 counts).
+A leaf is one group of a Spark shuffle; of two leaves within the budget, a hash says which
+of them is visited by the other, and the traversal of the pair goes on inside that group.
+A group returns a spanning forest of the links it found, not all pairs.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from lumenpath.operators.components import connected_components
 from lumenpath.session import checkpoint
 
 SEED, RADIUS, SHINGLE = 42, 2, 3
-CUT_BITS, LEAF, BLOCK = 16, 16_384, 200_000
+CUT_BITS, LEAF, BLOCK = 16, 65_536, 200_000
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -87,6 +88,12 @@ def near_leaves(leaves: np.ndarray, prefix: int, radius: int) -> np.ndarray:
     return own[popcount(differ) <= radius, 0]
 
 
+def visited(p: int, others: np.ndarray) -> np.ndarray:
+    """Which leaf of each pair (p, other) is the group where the two meet: the same for (other, p)."""
+    low, high = np.minimum(p, others), np.maximum(p, others)
+    return np.where(((low * 2654435761 + high * 40503) >> 7) & 1, high, low)
+
+
 class Forest:
     """Union-find over positions."""
 
@@ -162,9 +169,10 @@ def traverse(a: np.ndarray, b: np.ndarray | None, radius: int) -> list[tuple[int
 def trie_links(fps: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> DataFrame:
     """``src, dst`` fingerprints: links within ``radius`` that connect what the full set of links connects.
 
-    ``fps(fp)`` must be distinct. A fingerprint goes to the pairs of its leaf and each near
-    leaf: 1 + d + d(d-1)/2 of them for d bits of depth, which grows with the logarithm of the
-    input. Every pair within the radius meets in exactly one group.
+    ``fps(fp)`` must be distinct. A fingerprint goes to its own leaf and, on average, to half
+    of the near ones: 1 + d/2 + d(d-1)/4 groups for d bits of depth, which grows with the
+    square of the logarithm of the input over the size of a leaf. Every pair within the
+    radius meets in exactly one group.
     """
     top = F.shiftrightunsigned("fp", 64 - CUT_BITS).cast("int")
     counts = np.zeros(1 << CUT_BITS, dtype=np.int64)
@@ -181,22 +189,21 @@ def trie_links(fps: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> DataFr
                 if h not in near:
                     near[h] = near_leaves(table, h, radius)
                 own, others = fp[home == h], near[h]
-                low, high = np.minimum(h, others), np.maximum(h, others)
-                n, m = len(own), len(others)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(low << CUT_BITS | high, n)), pa.array(np.tile(own, m))], names=["pair", "fp"])
+                groups = np.append(h, others[(visited(h, others) != h) & (others != h)])
+                n, m = len(own), len(groups)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(groups, n)), pa.array(np.tile(own, m))], names=["leaf", "fp"])
 
     def join(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        fp = np.sort(group["fp"].to_numpy().view(np.uint64))
-        p, q = int(key[0]) >> CUT_BITS, int(key[0]) & (1 << CUT_BITS) - 1
-        if p == q:
-            found = traverse(fp, None, radius)
-        else:
-            home = leaves.value[(fp >> np.uint64(64 - CUT_BITS)).astype(np.int64), 0]
-            found = traverse(fp[home == p], fp[home == q], radius)
+        fp, p = np.sort(group["fp"].to_numpy().view(np.uint64)), int(key[0])
+        home = leaves.value[(fp >> np.uint64(64 - CUT_BITS)).astype(np.int64), 0]
+        own = fp[home == p]
+        found = traverse(own, None, radius)
+        for q in np.unique(home[home != p]):
+            found += traverse(own, fp[home == q], radius)
         return pd.DataFrame(np.array(found, dtype=np.uint64).reshape(-1, 2).view(np.int64), columns=["src", "dst"])
 
-    dealt = fps.select("fp").mapInArrow(deal, "pair long, fp long")
-    return dealt.groupBy("pair").applyInPandas(join, "src long, dst long")
+    dealt = fps.select("fp").mapInArrow(deal, "leaf long, fp long")
+    return dealt.groupBy("leaf").applyInPandas(join, "src long, dst long")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
