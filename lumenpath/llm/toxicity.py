@@ -41,23 +41,24 @@ def scale(words: np.ndarray) -> np.ndarray:
 
 def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """(features, weights, bias): the non-zero weights after EPOCHS passes, each coordinate with its own rate."""
-    size = 1 << BITS
-    made, seen = [], np.zeros(size, dtype=np.int32)
-    for i in range(0, len(texts), 256):
-        part = texts[i : i + 256]
-        doc, index, words = features(part)
-        keys, counts = np.unique(doc << BITS | index, return_counts=True)
-        seen += np.bincount(keys & size - 1, minlength=size).astype(np.int32)
-        made.append(((keys >> BITS).astype(np.int16), (keys & size - 1).astype(np.int32), counts.astype(np.int32), scale(words)))
-    z, n, cases = np.zeros(size + 1), np.zeros(size + 1), []
-    for doc, at, counts, value in made:
-        kept = seen[at] >= LEAST_DOCS
-        doc, at, counts = doc[kept], at[kept], counts[kept]
+    seen = np.zeros(1 << BITS, dtype=np.int16)
+    for keys, _, _ in _counted(texts):
+        at, n = np.unique(keys & (1 << BITS) - 1, return_counts=True)
+        seen[at] = np.minimum(seen[at] + n, LEAST_DOCS)
+    kept = np.flatnonzero(seen >= LEAST_DOCS)
+    place = np.full(1 << BITS, -1, dtype=np.int32)
+    place[kept] = np.arange(len(kept), dtype=np.int32)
+    size, cases = len(kept), []
+    for keys, counts, value in _counted(texts):
+        at = place[keys & (1 << BITS) - 1]
+        known = at >= 0
+        doc, at, counts = keys[known] >> BITS, at[known], counts[known]
         cuts = np.searchsorted(doc, np.arange(len(value) + 1))
         for k in range(len(value)):
             own = slice(cuts[k], cuts[k + 1])
-            cases.append((np.append(at[own], size), np.append(counts[own] * value[k], 1.0).astype(np.float32)))
-    made.clear()
+            cases.append((np.append(at[own], np.int32(size)), np.append(counts[own] * value[k], 1.0).astype(np.float32)))
+    del seen, place
+    z, n = np.zeros(size + 1), np.zeros(size + 1)
     penalty = np.full(size + 1, L1)
     penalty[size] = 0.0
 
@@ -76,8 +77,16 @@ def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, f
             z[at] += g - (np.sqrt(n[at] + g * g) - root) / ALPHA * w
             n[at] += g * g
     w = weights(np.arange(size + 1))
-    kept = np.flatnonzero(w[:size])
-    return kept, w[kept], float(w[size])
+    some = np.flatnonzero(w[:size])
+    return kept[some], w[some], float(w[size])
+
+
+def _counted(texts: list[str]):
+    """(text and feature in one number, count, value of one occurrence) by parts, so that memory stays small."""
+    for i in range(0, len(texts), 128):
+        doc, index, words = features(texts[i : i + 128])
+        keys, counts = np.unique(doc << BITS | index, return_counts=True)
+        yield keys, counts, scale(words)
 
 
 def fit_labelled(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0) -> tuple[np.ndarray, np.ndarray, float]:
