@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 # Fixed values that results depend on.
 NAME_STOPWORDS = ["the", "a", "an", "of", "and", "in", "for", "to", "as", "on"]
@@ -52,7 +53,7 @@ def token_set(c: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(_words(c), lambda w: ~w.isin(TOKEN_STOPWORDS))))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
 
@@ -106,7 +107,7 @@ def guess_kind(c: Column) -> Column:
     return out
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def name_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity; it is not symmetric, so call it with a < b."""
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
