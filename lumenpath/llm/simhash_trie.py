@@ -2,14 +2,16 @@
 
 Node pairs of the trie are traversed together, the differing bits on the way are summed,
 and a pair is dropped as soon as they exceed the budget. The top of the trie is cut into
-leaves of bounded size by a histogram of the first CUT_BITS bits (a fixed 65,536 counts).
-A leaf is one group of a Spark shuffle; of two leaves within the budget, a hash says which
-of them is visited by the other, and the traversal of the pair goes on inside that group.
+leaves of bounded size by a histogram of the first CUT_BITS bits, refined where a node holds
+more. A leaf is one group of a Spark shuffle; two leaves within the budget meet in the group
+of one of them, and the traversal of the pair goes on inside that group.
 A group returns a spanning forest of the links it found, not all pairs.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -22,7 +24,7 @@ from lumenpath.operators.components import connected_components
 from lumenpath.session import checkpoint
 
 SEED, RADIUS, SHINGLE = 42, 2, 3
-CUT_BITS, LEAF, BLOCK = 16, 65_536, 200_000
+CUT_BITS, FINE_BITS, LEAF, BLOCK = 16, 4, 65_536, 200_000
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -63,35 +65,76 @@ def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).astype(np.int64)
 
 
-def cut_leaves(counts: np.ndarray, leaf: int = LEAF) -> np.ndarray:
-    """Leaf (start of its range of CUT_BITS prefixes, bits of its depth) for every prefix: split nodes over ``leaf``."""
-    bits = int(len(counts)).bit_length() - 1
-    total, out = np.concatenate([[0], np.cumsum(counts)]), np.zeros((len(counts), 2), dtype=np.int64)
-    stack = [(0, 0)]
+def cut_node(counts: np.ndarray, leaf: int) -> list[tuple[int, int, int]]:
+    """Leaves (start, depth, count) of a node whose descendants at the lowest depth have these counts: split while over ``leaf``."""
+    bits, total, out, stack = int(len(counts)).bit_length() - 1, np.concatenate([[0], np.cumsum(counts)]), [], [(0, 0)]
     while stack:
         start, depth = stack.pop()
         width = 1 << (bits - depth)
-        if depth == bits or total[start + width] - total[start] <= leaf:
-            out[start : start + width] = (start, depth)
+        n = int(total[start + width] - total[start])
+        if depth == bits or n <= leaf:
+            out.append((start, depth, n))
         else:
             stack += [(start, depth + 1), (start + width // 2, depth + 1)]
     return out
 
 
-def near_leaves(leaves: np.ndarray, prefix: int, radius: int) -> np.ndarray:
-    """Starts of the leaves that differ from the prefix's leaf in at most ``radius`` of the bits that both fix."""
-    bits = int(len(leaves)).bit_length() - 1
-    own = leaves[np.flatnonzero(leaves[:, 0] == np.arange(len(leaves)))]
-    start, depth = leaves[prefix]
-    common = np.minimum(own[:, 1], depth)
-    differ = (own[:, 0] ^ start) >> (bits - common)
-    return own[popcount(differ) <= radius, 0]
-
+def cut_leaves(fps: DataFrame, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
+    """(first fingerprint, depth) of every leaf, in order; together they cover all fingerprints.
 
-def visited(p: int, others: np.ndarray) -> np.ndarray:
-    """Which leaf of each pair (p, other) is the group where the two meet: the same for (other, p)."""
-    low, high = np.minimum(p, others), np.maximum(p, others)
-    return np.where(((low * 2654435761 + high * 40503) >> 7) & 1, high, low)
+    The first histogram has 2**CUT_BITS counts. Nodes that are still over ``leaf`` are counted
+    FINE_BITS deeper, and so on: there are at most n / leaf of them, so the driver gets no more
+    than 2**FINE_BITS * n / leaf counts a round.
+    """
+    done, heavy, depth, step = [], [0], 0, CUT_BITS
+    while heavy:
+        part = fps
+        if depth:
+            nodes = fps.sparkSession.createDataFrame([(h >> (64 - depth),) for h in heavy], "node long")
+            part = fps.join(nodes, F.shiftrightunsigned("fp", 64 - depth) == F.col("node"), "left_semi")
+        counts = {h: np.zeros(1 << step, dtype=np.int64) for h in heavy}
+        below = 64 - depth - step
+        for row in part.groupBy(F.shiftrightunsigned("fp", below).alias("p")).count().collect():
+            p = (row["p"] & (1 << 64) - 1) << below & (1 << 64) - 1
+            node = p >> (64 - depth) << (64 - depth) if depth else 0
+            counts[node][(p ^ node) >> below] = row["count"]
+        deeper = []
+        for h in heavy:
+            for start, d, n in cut_node(counts[h], leaf):
+                first = h | start << below
+                if n > leaf and below:
+                    deeper.append(first)
+                else:
+                    done.append((first, depth + d))
+        heavy, depth, step = deeper, depth + step, FINE_BITS
+    done.sort()
+    return np.array([s for s, _ in done], dtype=np.uint64), np.array([d for _, d in done], dtype=np.int64)
+
+
+def leaf_of(leaves: tuple[np.ndarray, np.ndarray], fp: np.ndarray) -> np.ndarray:
+    return np.searchsorted(leaves[0], fp, "right") - 1
+
+
+def near_leaves(leaves: tuple[np.ndarray, np.ndarray], at: int, radius: int) -> np.ndarray:
+    """Leaves that differ from leaf ``at`` in at most ``radius`` of the bits that both fix, itself included."""
+    start, depth = leaves[0][at], int(leaves[1][at])
+    flips = [sum(1 << (63 - b) for b in bits) for r in range(radius + 1) for bits in combinations(range(depth), r)]
+    low = start ^ np.array(flips, dtype=np.uint64)
+    high = low | np.uint64((1 << (64 - depth)) - 1)
+    spans = np.unique(np.stack([leaf_of(leaves, low), leaf_of(leaves, high)], 1), axis=0)
+    return np.unique(np.concatenate([np.arange(a, b + 1) for a, b in spans]))
+
+
+def meeting(leaves: tuple[np.ndarray, np.ndarray], at: int, others: np.ndarray) -> np.ndarray:
+    """In which leaf's group the two leaves of each pair (at, other) meet: the same for (other, at).
+
+    It is the deeper leaf, so that what a group is sent stays bounded where one region of
+    the trie holds most fingerprints; of equally deep ones a hash decides.
+    """
+    low, high = np.minimum(at, others), np.maximum(at, others)
+    by_hash = np.where(((low * 2654435761 + high * 40503) >> 7) & 1, high, low)
+    depth, own = leaves[1][others], leaves[1][at]
+    return np.where(depth > own, others, np.where(depth < own, at, by_hash))
 
 
 class Forest:
@@ -169,33 +212,31 @@ def traverse(a: np.ndarray, b: np.ndarray | None, radius: int) -> list[tuple[int
 def trie_links(fps: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> DataFrame:
     """``src, dst`` fingerprints: links within ``radius`` that connect what the full set of links connects.
 
-    ``fps(fp)`` must be distinct. A fingerprint goes to its own leaf and, on average, to half
-    of the near ones: 1 + d/2 + d(d-1)/4 groups for d bits of depth, which grows with the
-    square of the logarithm of the input over the size of a leaf. Every pair within the
-    radius meets in exactly one group.
+    ``fps(fp)`` must be distinct. A fingerprint goes to its own leaf and to those near ones
+    where the two leaves meet, about 1 + d/2 + d(d-1)/4 groups for d bits of depth, which
+    grows with the square of the logarithm of the input over the size of a leaf. Every pair
+    within the radius meets in exactly one group, and no group has more than the leaves
+    within the radius of one leaf, none of them over ``leaf`` fingerprints.
     """
-    top = F.shiftrightunsigned("fp", 64 - CUT_BITS).cast("int")
-    counts = np.zeros(1 << CUT_BITS, dtype=np.int64)
-    for row in fps.groupBy(top.alias("p")).count().collect():  # at most 65,536 rows, whatever the input
-        counts[row["p"]] = row["count"]
-    leaves = fps.sparkSession.sparkContext.broadcast(cut_leaves(counts, leaf))
+    cut = fps.sparkSession.sparkContext.broadcast(cut_leaves(fps, leaf))
 
     def deal(batches):
-        table, near = leaves.value, {}
+        leaves, near = cut.value, {}
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False)
-            home = table[(fp.view(np.uint64) >> np.uint64(64 - CUT_BITS)).astype(np.int64), 0]
-            for h in np.unique(home):
+            home = leaf_of(leaves, fp.view(np.uint64))
+            for h in np.unique(home).tolist():
                 if h not in near:
-                    near[h] = near_leaves(table, h, radius)
-                own, others = fp[home == h], near[h]
-                groups = np.append(h, others[(visited(h, others) != h) & (others != h)])
+                    others = near_leaves(leaves, h, radius)
+                    others = others[others != h]
+                    near[h] = np.append(h, others[meeting(leaves, h, others) != h])
+                own, groups = fp[home == h], near[h]
                 n, m = len(own), len(groups)
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(groups, n)), pa.array(np.tile(own, m))], names=["leaf", "fp"])
 
     def join(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         fp, p = np.sort(group["fp"].to_numpy().view(np.uint64)), int(key[0])
-        home = leaves.value[(fp >> np.uint64(64 - CUT_BITS)).astype(np.int64), 0]
+        home = leaf_of(cut.value, fp)
         own = fp[home == p]
         found = traverse(own, None, radius)
         for q in np.unique(home[home != p]):

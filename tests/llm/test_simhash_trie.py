@@ -69,6 +69,34 @@ def test_trie_links_with_forced_splits_equal_brute_force(spark):
         assert {v: min(k for k in values if want[k] == want[v]) for v in values} == {v: min(k for k in values if got[k] == got[v]) for v in values}
 
 
+def test_a_crowded_prefix_is_cut_into_bounded_leaves(spark):
+    rng = random.Random(9)
+    crowd = {(0xBEEF << 48) | rng.getrandbits(24) for _ in range(600)} | {(0xBEEF << 48) | (1 << 50) | rng.getrandbits(24) for _ in range(40)}
+    values = sorted(crowd | {rng.getrandbits(64) for _ in range(300)})
+    fps = spark.createDataFrame([(int(np.uint64(v).view(np.int64)),) for v in values], "fp long")
+    leaves = st.cut_leaves(fps, 32)
+    assert np.bincount(st.leaf_of(leaves, np.array(values, dtype=np.uint64))).max() <= 32
+    assert leaves[1].max() > 40
+    for i in range(len(leaves[0])):
+        common = np.minimum(leaves[1], leaves[1][i])
+        fixed = [(int(s) ^ int(leaves[0][i])) >> (64 - int(c)) if c else 0 for s, c in zip(leaves[0], common)]
+        near = [j for j, x in enumerate(fixed) if x.bit_count() <= 2]
+        assert st.near_leaves(leaves, i, 2).tolist() == near
+        others = np.array([j for j in near if j != i])
+        assert all(st.meeting(leaves, int(j), np.array([i]))[0] == m for j, m in zip(others, st.meeting(leaves, i, others)))
+    up = {v: v for v in values}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for r in st.trie_links(fps, 2, 32).collect():
+        a, b = sorted((root(int(np.int64(r.src).view(np.uint64))), root(int(np.int64(r.dst).view(np.uint64)))))
+        up[b] = a
+    assert {v: root(v) for v in values} == classes(values)
+
+
 def test_documents_with_nulls_ties_and_clashing_columns(spark):
     rows = [(1, "a b c d", 9), (2, "A B c  d", 9), (3, None, 9), (4, "", 9), (5, "other words here now", 9), (5, "other words here now", 9), (None, "a b c d", 9)]
     out = st.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, fp int")).collect()
