@@ -80,10 +80,10 @@ def fold(c: Column, compat: bool = False) -> Column:
     return F.trim(F.regexp_replace(F.lower(t), "[^0-9a-z]+", " "))
 
 
-def html_text(c: Column) -> Column:
+def html_text(c: Column, entities: bool = True) -> Column:
     """Visible text of HTML: entities, scripts and styles, block ends to newlines, other tags to spaces."""
     t = text_or_empty(c)
-    for k, v in ENTITIES.items():
+    for k, v in ENTITIES.items() if entities else ():
         t = F.replace(t, F.lit(k), F.lit(v))
     t = F.regexp_replace(t, r"(?is)<(script|style)[^>]*>.*?</\1>", " ")
     t = F.regexp_replace(t, r"(?i)<br\s*/?>|</p>|</li>|</div>|</h[1-6]>", "\n")
