@@ -93,10 +93,10 @@ def html_text(c: Column, entities: bool = True) -> Column:
 
 def trigrams(c: Column) -> Column:
     """Distinct trigrams of a name key padded by two spaces on each side; none for an empty key."""
-    k = name_key(c)
-    padded = F.concat(F.lit("  "), k, F.lit("  "))
-    grams = F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substring(padded, i, F.lit(3)))
-    return F.when(k == "", F.array().cast("array<string>")).otherwise(F.array_distinct(grams))
+    # The padded key is bound to a lambda variable, so that it is computed once and not for each trigram.
+    keys = F.transform(F.array(name_key(c)), lambda k: F.when(k == "", "").otherwise(F.concat(F.lit("  "), k, F.lit("  "))))
+    grams = F.transform(keys, lambda s: F.when(s != "", F.transform(F.sequence(F.lit(1), F.length(s) - 2), lambda i: F.substring(s, i, F.lit(3)))))
+    return F.array_distinct(F.coalesce(F.get(grams, F.lit(0)), F.array().cast("array<string>")))
 
 
 def guess_kind(c: Column) -> Column:

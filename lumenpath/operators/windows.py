@@ -53,3 +53,10 @@ def balanced_batches(units: DataFrame, unit: str, chars: str, target: int) -> Da
 
     kind = dict(units.dtypes)[unit]
     return units.select(unit, F.col(chars).cast("long").alias(chars)).withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(pack, f"{unit} {kind}, batch int")
+
+
+def bundle_text(files: DataFrame, unit: str, name: str, text: str, order: str) -> DataFrame:
+    """``unit, n_files, chars, bundle``: one text per unit, a heading and a section per file in order. A bundle is one unit's value, so units must be of bounded size."""
+    parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.concat(F.lit("### FILE: "), F.col(name), F.lit("\n"), F.col(text)).alias("t"))))
+    g = files.groupBy(unit).agg(F.count(F.lit(1)).alias("n_files"), F.sum(F.length(text)).alias("chars"), parts.alias("p"))
+    return g.select(unit, "n_files", "chars", F.concat(F.lit("# UNIT "), F.col(unit).cast("string"), F.lit("\n\n"), F.array_join(F.transform("p", lambda x: x["t"]), "\n\n")).alias("bundle"))

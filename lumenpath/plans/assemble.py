@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lumenpath.functions import text as T
 from lumenpath.operators import dag, graph, lessons
+from lumenpath.session import checkpoint
 
 # What absent or empty fields stand for.
 DIFFICULTY, KIND, ROLE, CONFIDENCE, STRENGTH, QUOTE_KEY = 3, "definition", "mentioned", 0.7, 0.5, 80
@@ -55,10 +56,11 @@ def build(mentions: DataFrame, occurrences: DataFrame, links: DataFrame, units:
         resolved = named.join(real, F.col("slug") == F.col("alias"), "left").select("slug", "first", F.coalesce("canonical", "slug").alias("node"))
     else:
         real, resolved = None, named.withColumn("node", F.col("slug"))
-    m = m.join(resolved, "slug")
+    resolved = checkpoint(resolved)
+    m = checkpoint(m.join(resolved, "slug"))
     # The canonical concept's own mentions precede those of the absorbed ones.
     pooled = m.withColumn("ord", F.struct((F.col("slug") != F.col("node")).alias("absorbed"), "ord")).drop("slug").withColumnRenamed("node", "slug")
-    concepts = graph.rollup_concepts(pooled)
+    concepts = checkpoint(graph.rollup_concepts(pooled))
     called = m.select(F.col("node").alias("slug"), "first", F.explode("aliases").alias("alias")).where((F.trim("alias") != "") & (T.name_key(F.col("alias")) != T.name_key(F.col("first")))).select("slug", F.trim("alias").alias("alias"))
     absorbed = resolved.where("slug <> node").select(F.col("node").alias("slug"), F.col("first").alias("alias"))
     aliases = called.unionAll(absorbed).groupBy("slug").agg(F.array_sort(F.collect_set("alias")).alias("aliases"))
@@ -72,6 +74,7 @@ def build(mentions: DataFrame, occurrences: DataFrame, links: DataFrame, units:
         T.or_default(F.col("role"), ROLE).alias("role"), T.squeeze(F.col("quote")).alias("quote"), T.or_default(F.col("confidence"), CONFIDENCE).alias("confidence"),
     )
     occ = graph.keep_first(occ.where("quote <> ''").withColumn("_q", F.substring("quote", 1, QUOTE_KEY)), ["slug", "rel_path", "_q"], ["ord"]).drop("_q", "ord")
+    occ = checkpoint(occ)
 
     nodes = concepts.select("slug")
     tidy = lambda df, late: df.select(
@@ -86,10 +89,11 @@ def build(mentions: DataFrame, occurrences: DataFrame, links: DataFrame, units:
         names = resolved.select("slug").distinct()
         lost = raw.join(names, raw.src == names.slug, "left_anti").unionAll(raw.join(names, raw.dst == names.slug, "left_anti"))
         rejects = rejects.unionAll(lost.select(F.lit("bridge to unknown slug").alias("reason"), F.concat_ws(" ", "src", "dst").alias("item")).distinct())
-    kept = graph.antisymmetric_links(graph.strongest_links(clean))
+    kept = checkpoint(graph.antisymmetric_links(graph.strongest_links(clean)))
     order = kept.where("type = 'prerequisite'")
     acyclic = dag.break_cycles(order.select("src", "dst", "strength")).select("src", "dst")
     final = kept.where("type <> 'prerequisite'").unionByName(order.join(acyclic, ["src", "dst"], "left_semi")).drop("ord")
+    final = checkpoint(final)
 
     seen = occ.groupBy(F.col("slug").alias("_s")).agg(F.count(F.lit(1)).alias("occurrence_count"), F.array_sort(F.collect_set("rel_path")).alias("files"))
     none = F.array().cast("array<string>")
@@ -100,7 +104,7 @@ def build(mentions: DataFrame, occurrences: DataFrame, links: DataFrame, units:
 
 def free(files: DataFrame, sequential: bool = False, compat: bool = False) -> Graph:
     """The graph of syllabi ``files(rel_path, course_code, text)`` by their structure alone."""
-    units, found = lessons.syllabus_units(files, compat)
+    units, found = map(checkpoint, lessons.syllabus_units(files, compat))
     place = units.select("unit_id", F.struct("rel_path", "block").alias("_place"))
     mentions = found.join(place, "unit_id").withColumn("ord", F.struct("_place", "pos")).drop("_place", "pos")
     links = lessons.structural_links(units, found, sequential).withColumn("ord", F.struct("src", "dst"))

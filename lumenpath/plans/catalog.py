@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lumenpath.functions import text as T
-from lumenpath.operators import dag, graph, similarity, windows
+from lumenpath.operators import dag, graph, lessons, similarity, windows
 from lumenpath.operators.components import connected_components
 from lumenpath.plans import planner, quality
 from lumenpath.session import ship, table
@@ -178,6 +178,17 @@ def similar_names_trigram(spark, d):
     return similarity.trigram_pairs(names, "name", "name")
 
 
+@query(
+    f"WITH n AS (SELECT doc_id AS id, source, {KEY.format('substring(' + FOLD.format('text') + ', 1, 400)')} AS k FROM documents), "
+    "p AS (SELECT id, source, '  ' || k || '  ' AS s FROM n WHERE k <> ''), g AS (SELECT DISTINCT id, source, substring(s, i, 3) AS g FROM (SELECT id, source, s, unnest(range(1, length(s) - 1)) AS i FROM p)), "
+    "c AS (SELECT id, count(*) AS n FROM g GROUP BY id), j AS (SELECT x.id AS a, y.id AS b, count(*) AS i FROM g x JOIN g y ON x.source = y.source AND x.g = y.g AND x.id < y.id GROUP BY 1, 2) "
+    "SELECT a, b, i / (ca.n + cb.n - i) AS score FROM j JOIN c ca ON ca.id = a JOIN c cb ON cb.id = b WHERE i / (ca.n + cb.n - i) >= 0.62"
+)
+def similar_docs(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "source", F.substring(T.fold(F.col("text")), 1, 400).alias("head"))
+    return similarity.trigram_pairs(docs, "doc_id", "head", "source")
+
+
 @query()
 def similar_names(spark, d):
     ship(spark)
@@ -304,6 +315,46 @@ def cross_group_links(spark, d):
     return j.join(a, "s_nationkey").join(b, "c_nationkey").select("src", "dst", "links")
 
 
+# Lessons
+
+
+_LINE = "CASE p_partkey % 11 WHEN 0 THEN 'Week ' || p_size WHEN 1 THEN 'Topic ' || p_size || '. ' || p_type WHEN 2 THEN 'Lecture ' || p_size || ': ' || p_name WHEN 3 THEN '• ' || p_name ELSE p_type END"
+
+
+@query(
+    f"WITH l AS (SELECT CAST(p_partkey // 50 AS BIGINT) AS syllabus, p_partkey AS p, {_LINE} AS line, CASE WHEN p_partkey % 11 = 0 THEN CAST(p_size AS INTEGER) END AS wk, CASE WHEN p_partkey % 11 = 1 THEN p_type END AS tp, "
+    "CASE WHEN p_partkey % 11 = 2 THEN p_name END AS lec, CAST(p_size AS INTEGER) AS no FROM part), "
+    "o AS (SELECT *, count(coalesce(lec, tp)) OVER (PARTITION BY syllabus ORDER BY p) AS n_open FROM l), "
+    "w AS (SELECT *, lec IS NOT NULL OR (tp IS NOT NULL AND n_open = 1) AS opens, last_value(wk IGNORE NULLS) OVER r AS week, last_value(tp IGNORE NULLS) OVER r AS topic FROM o WINDOW r AS (PARTITION BY syllabus ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), "
+    "s AS (SELECT *, sum(opens::INT) OVER (PARTITION BY syllabus ORDER BY p) AS lesson FROM w) "
+    "SELECT syllabus, CAST(lesson AS INTEGER) AS lesson, max(CASE WHEN opens THEN CASE WHEN lec IS NULL THEN 'topic' ELSE 'lecture' END END) AS kind, max(CASE WHEN opens THEN CASE WHEN lec IS NULL THEN 0 ELSE no END END) AS number, "
+    "max(CASE WHEN opens THEN coalesce(lec, tp) END) AS title, max(CASE WHEN opens THEN week END) AS week, max(CASE WHEN opens THEN topic END) AS topic, "
+    "CAST(sum(CASE WHEN opens THEN length(coalesce(lec, tp)) WHEN wk IS NULL AND tp IS NULL THEN 1 + length(line) ELSE 0 END) AS INTEGER) AS chars FROM s WHERE lesson > 0 GROUP BY 1, 2"
+)
+def lesson_blocks(spark, d):
+    p = table(spark, d, "part").select("p_partkey", F.expr(_LINE).alias("line"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "line"))), lambda x: x["line"]), "\n")
+    docs = p.groupBy(F.floor(F.col("p_partkey") / 50).alias("syllabus")).agg(text.alias("text"))
+    return lessons.split_lessons(docs, "syllabus", "text").withColumn("chars", F.length("text")).drop("text")
+
+
+_ADMIN = "[" + ", ".join(f"'{w}'" for w in lessons.ADMIN_WORDS) + "]"
+_BARE_SLUG = SLUG.format(r"regexp_replace(name, '\([^)]*\)', ' ', 'g')")
+_CUT = r"regexp_replace(regexp_replace(text, '/([A-Z])', chr(1) || '\1', 'g'), '\.\s+|\.$|;|,| and | or |\n|\s*[●•▪◆▲]\s*', chr(1), 'g')"
+
+
+@query(
+    f"WITH f AS (SELECT item_id, string_split({_CUT}, chr(1)) AS l FROM benchmark), e AS (SELECT item_id, unnest(range(len(l))) AS pos, unnest(l) AS raw FROM f), "
+    r"c AS (SELECT item_id, pos, trim(regexp_replace(regexp_replace(trim(raw, ' .;,:()'), '\s+', ' ', 'g'), '(?i)^(?:the|a|an)\s+', '')) AS f FROM e), "
+    rf"w AS (SELECT *, list_filter(string_split_regex(regexp_replace(regexp_replace(lower(f), '[()./:,]', ' ', 'g'), '\d+\.?\d*', ' ', 'g'), '\s+'), lambda x: x <> '') AS ws FROM c WHERE length(f) BETWEEN 3 AND 58 AND NOT regexp_matches(f, '{lessons.NOISE}') AND regexp_matches(f, '[A-Za-z]{{3}}')), "
+    rf"n AS (SELECT item_id, pos, trim(regexp_replace(f, '{lessons.GERUNDS}', '')) AS name FROM w WHERE NOT (len(ws) > 0 AND list_has_all({_ADMIN}, ws))), "
+    rf"s AS (SELECT item_id, pos, name, {_BARE_SLUG} AS slug FROM n WHERE length(name) BETWEEN 3 AND 58) "
+    "SELECT item_id, slug, arg_min(name, pos) AS name, CAST(min(pos) AS INTEGER) AS pos FROM s WHERE slug <> '' GROUP BY 1, 2"
+)
+def topic_fragments(spark, d):
+    return lessons.fragment_names(table(spark, d, "benchmark"), ["item_id"], "text")
+
+
 # Windows
 
 

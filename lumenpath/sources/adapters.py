@@ -153,10 +153,13 @@ def manifest(files: DataFrame, adapter: str) -> DataFrame:
     return out.orderBy("course_code", F.coalesce("module_ordinal", F.lit(0)), F.coalesce("unit_ordinal", F.lit(0)), "asset_kind", F.coalesce("asset_ordinal", F.lit(0)), F.coalesce("part_ordinal", F.lit(0)), "rel_path")
 
 
+def relative(path: Column, root: str) -> Column:
+    """The part of ``path`` below ``root``, whatever scheme either is written with."""
+    bare = lambda c: F.regexp_replace(c, r"^\w+:/*", "/")
+    return F.substring(bare(path), F.length(bare(F.lit(root.rstrip("/") + "/"))) + 1, F.length(path))
+
+
 def scan(spark: SparkSession, root: str, adapter: str) -> DataFrame:
     """Read a folder of files on any store that Spark reads, with hash and size, into a manifest."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    base = F.regexp_replace(F.lit(root.rstrip("/") + "/"), r"^\w+:/*", "/")
-    rel = F.expr("substring(_p, locate(_b, _p) + length(_b))")
-    files = raw.withColumns({"_p": F.col("path"), "_b": base}).withColumn("rel_path", rel)
-    return manifest(files.select("rel_path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes")), adapter)
+    return manifest(raw.select(relative(F.col("path"), root).alias("rel_path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes")), adapter)

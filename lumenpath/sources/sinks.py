@@ -49,3 +49,40 @@ def graph_payload(concepts: DataFrame, links: DataFrame, occurrences: DataFrame,
     row = lambda df, part: df.select(F.lit(part).alias("part"), safe(F.to_json(F.struct("*"))).alias("json"))
     occ = occurrences.withColumn("quote", F.substring("quote", 1, quote_chars)).groupBy("slug").agg(F.array_sort(F.collect_list(F.struct("rel_path", "role", "quote"))).alias("occ"))
     return row(concepts, "node").unionAll(row(links, "link")).unionAll(row(occ, "occ"))
+
+
+PAGE = """<!doctype html><meta charset="utf-8"><title>Topics</title>
+<style>body{font:14px sans-serif;margin:2em;max-width:60em}li.dim{opacity:.3}blockquote{color:#555}</style>
+<input id="q" placeholder="search"> <label>links at least <input id="d" type="number" value="0" min="0"></label> <select id="c"><option value="">all courses</option></select>
+<ul id="list"></ul><script>
+const data = __DATA__, $ = id => document.getElementById(id);
+[...new Set(data.node.flatMap(n => n.courses))].sort().forEach(c => $("c").add(new Option(c)));
+function show() {
+  $("list").replaceChildren(...data.node.filter(n => n.degree >= +$("d").value && (!$("c").value || n.courses.includes($("c").value))).map(n => {
+    const li = document.createElement("li"), more = document.createElement("div"), q = $("q").value.toLowerCase();
+    li.textContent = n.name + " (" + n.degree + ")";
+    li.className = q && !n.name.toLowerCase().includes(q) && !n.slug.includes(q) ? "dim" : "";
+    li.onclick = () => {
+      more.textContent = data.link.filter(l => l.src === n.slug || l.dst === n.slug).map(l => l.src + " " + l.type + " " + l.dst).join("; ");
+      data.occ.filter(o => o.slug === n.slug).flatMap(o => o.occ).forEach(o => { const b = document.createElement("blockquote"); b.textContent = o.quote + " (" + o.rel_path + ")"; more.append(b); });
+      li.append(more);
+    };
+    return li;
+  }));
+}
+["q", "d", "c"].forEach(i => $(i).oninput = show); show();
+</script>
+"""
+
+
+def write_page(payload: DataFrame, path: str, max_bytes: int = 64 << 20) -> None:
+    """The explorer as one HTML file. A page is one local file for a browser, so a payload over ``max_bytes`` is refused."""
+    size = payload.agg(F.coalesce(F.sum(F.octet_length("json")), F.lit(0)).alias("n")).first()["n"]
+    if size > max_bytes:
+        raise ValueError(f"the page would have {size} bytes; filter the graph first")
+    parts = {"node": [], "link": [], "occ": []}
+    for row in payload.collect():
+        parts[row["part"]].append(row["json"])
+    data = "{" + ", ".join(f'"{k}": [{", ".join(v)}]' for k, v in parts.items()) + "}"
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(PAGE.replace("__DATA__", data))
