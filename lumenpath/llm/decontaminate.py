@@ -1,6 +1,7 @@
 """Benchmark decontamination by SimHash of item-sized windows.
 
-For an item of n words, windows of n words of a document are fingerprinted. A multi-index
+For an item of n words, windows of n words of a document are fingerprinted; a document of
+fewer words is one window. A multi-index
 over blocks of the items' fingerprints returns every item within RADIUS bits: with BLOCKS
 blocks, one block at least differs in no more than RADIUS // BLOCKS bits. Candidates are
 verified by the exact weighted Jaccard similarity of their word shingles, weights being the
@@ -123,17 +124,19 @@ class Index:
             spots: dict[int, set[int]] = {}
             for at in hits.tolist():
                 for size in self.holders[k].get(int(h[at]), ()):
-                    spots.setdefault(size, set()).update(range(max(0, at + k - size), min(at, len(words) - size) + 1))
+                    width = min(size, len(words))
+                    spots.setdefault(size, set()).update(range(max(0, at + k - width), min(at, len(words) - width) + 1))
             for size, starts in spots.items():
+                width = min(size, len(words))
                 for first, last in runs(sorted(starts)):
-                    prints = simhash_windows(h[first : last + size - k + 1], size - k + 1)
+                    prints = simhash_windows(h[first : last + width - k + 1], width - k + 1)
                     for start, fp in zip(range(first, last + 1), prints.tolist()):
                         for i in self.within(fp):
                             item_id, n, item_k, own, _ = self.items[i]
                             if n == size and item_k == k:
-                                s = similarity(shingles(words[start : start + size], k), own)
+                                s = similarity(shingles(words[start : start + width], k), own)
                                 if s >= SIMILARITY and s > best.get(item_id, (0.0,))[0]:
-                                    best[item_id] = (s, start, size)
+                                    best[item_id] = (s, start, width)
         return [(item, *found) for item, found in sorted(best.items())]
 
 

@@ -103,18 +103,21 @@ def test_decontamination_equals_brute_force(spark):
                 item[rng.randrange(len(item))] = "changed"
             words[rng.randrange(len(words) + 1) :] += item
         docs.append((i, " ".join(words)))
-    docs += [(500, None), (501, ""), (502, "here are Two, words!")]
+    docs += [(500, None), (501, ""), (502, "here are Two, words!"), (503, "two")]
+    # Documents of fewer words than the item: most of it and nothing else.
+    docs += [(600 + i, " ".join(t.split()[: -(-len(t.split()) * 19 // 20)])) for i, t in items[:25]]
     want = set()
     for d, text in docs:
         words = decontaminate.words_of(text or "")
         for item, t in items:
             own = decontaminate.words_of(t or "")
-            k, n = min(5, len(own)), len(own)
-            for s in range(len(words) - n + 1) if n else ():
+            k, n = min(5, len(own)), min(len(own), len(words))
+            for s in range(len(words) - n + 1) if own else ():
                 if decontaminate.similarity(decontaminate.shingles(words[s : s + n], k), decontaminate.shingles(own, k)) >= 0.8:
                     want.add((d, item))
     out = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id) for r in out} == want and (502, 92) in want
+    assert sum(d >= 600 for d, _ in want) > 5
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert decontaminate.contaminated(empty, spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
