@@ -1,17 +1,19 @@
-"""Command line: scan, plan, free, archive and report over folders that Spark reads."""
+"""Command line: scan, plan, free, run, archive and report over folders that Spark reads."""
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenpath.functions import text as T
 from lumenpath.operators import windows
-from lumenpath.plans import assemble, quality
+from lumenpath.plans import assemble, quality, stages
 from lumenpath.session import ship
 from lumenpath.sources import adapters, course_archive, documents, sinks
 
@@ -30,7 +32,7 @@ def texts(spark: SparkSession, root: str, adapter: str, courses: list[str]) -> D
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="lumenpath")
     sub = p.add_subparsers(dest="cmd", required=True)
-    for name in ("scan", "plan", "free"):
+    for name in ("scan", "plan", "free", "run"):
         s = sub.add_parser(name)
         s.add_argument("root")
         s.add_argument("--adapter", default="syllabus", choices=adapters.registered())
@@ -38,6 +40,11 @@ def main(argv: list[str] | None = None) -> int:
         s.add_argument("--out", required=True)
         s.add_argument("--sequential-links", action="store_true")
         s.add_argument("--batch-chars", type=int, default=160_000)
+        if name == "run":
+            s.add_argument("--calls", required=True, help="module:name of a dict of callables: extract, merge, duplicates, bridge")
+            s.add_argument("--force", action="append", default=[], choices=stages.STAGES)
+            s.add_argument("--stop-after", choices=stages.STAGES)
+            s.add_argument("--no-gate", action="store_true")
     a = sub.add_parser("archive")
     a.add_argument("root")
     a.add_argument("--out", required=True)
@@ -46,7 +53,21 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("lumenpath").getOrCreate()
     ship(spark)
     if o.cmd == "report":
-        print(spark.read.text(f"{o.out}/report", wholetext=True).first()["value"])
+        print(quality.summary(json.loads(spark.read.text(f"{o.out}/report", wholetext=True).first()["value"])))
+    elif o.cmd == "run":
+        module, name = o.calls.split(":")
+        own = importlib.import_module(module)
+        # The executors cannot import the caller's module, so its functions travel whole.
+        cloudpickle.register_pickle_by_value(own)
+        calls = getattr(own, name)
+        try:
+            said = stages.run(spark, o.root, o.out, o.adapter, calls, o.course, o.batch_chars, force=o.force, stop_after=o.stop_after, fail_on_gate=not o.no_gate)
+        except stages.GateFailed as e:
+            raise SystemExit(f"quality gate failed: {e}") from e
+        if said["report"]:
+            report = json.dumps(said["report"], indent=1)
+            spark.createDataFrame([(report,)], "value string").coalesce(1).write.mode("overwrite").text(f"{o.out}/report")
+            print(quality.summary(said["report"]))
     elif o.cmd == "archive":
         text, files, report = course_archive.unpack(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(o.root).select("path", "content"))
         for name, df in (("texts", text), ("attachments", files), ("report", report)):
@@ -61,11 +82,10 @@ def main(argv: list[str] | None = None) -> int:
         g = assemble.free(files, o.sequential_links)
         sinks.write_csv({"concepts": g.concepts, "concept_links": g.links, "concept_occurrences": g.occurrences}, o.out)
         sinks.seed_sql(g.concepts, g.links.withColumn("rationale", F.col("rationale"))).orderBy("section").select("statement").write.mode("overwrite").text(f"{o.out}/seed_sql")
-        verified = g.occurrences.join(files.select("rel_path", T.fold(F.col("text"), True).alias("_t")), "rel_path", "left").select((F.coalesce(F.col("_t").contains(T.fold(F.col("quote"), True)), F.lit(False)) & (T.fold(F.col("quote"), True) != "")).alias("ok"))
         units = g.occurrences.select("unit_id").distinct()
-        report = json.dumps(quality.report(g.concepts, g.links, g.occurrences, units, verified), indent=1)
+        report = json.dumps(quality.report(g.concepts, g.links, g.occurrences, units, stages.verified(g.occurrences, files)), indent=1)
         spark.createDataFrame([(report,)], "value string").coalesce(1).write.mode("overwrite").text(f"{o.out}/report")
-        print(report)
+        print(quality.summary(json.loads(report)))
     return 0
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lumenpath.functions.text import token_set
@@ -31,6 +31,37 @@ class Curriculum:
         return {r["code"]: r for r in self.courses.collect()}
 
 
+METADATA = "courses map<string, struct<ects int, internal_prerequisites array<string>, external_prerequisites array<string>, provenance string>>"
+
+
+def read_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """``code, ects, prerequisites, external`` from a JSON file of course metadata; unknown fields are ignored."""
+    rows = spark.read.schema(METADATA).option("multiLine", True).json(path).select(F.explode("courses").alias("code", "m"))
+    none = F.array().cast("array<string>")
+    return rows.select("code", F.coalesce("m.ects", F.lit(0)).alias("ects"), F.coalesce("m.internal_prerequisites", none).alias("prerequisites"), F.coalesce("m.external_prerequisites", none).alias("external"))
+
+
+def curriculum(courses: DataFrame, concepts: DataFrame, metadata: DataFrame) -> Curriculum:
+    """Serve a graph: ``courses(course_code, title)``, ``concepts(slug, name, kind, courses)`` with an array or
+    "|"-joined text of courses, and metadata of every course. Metadata of other courses is ignored; a course
+    without any is an error, since its credits would silently be 0. Concepts of unknown courses are left out.
+    """
+    c = courses.select(F.col("course_code").alias("code"), "title")
+    lost = sorted(r["code"] for r in c.join(metadata, "code", "left_anti").collect())
+    if lost:
+        raise ValueError(f"no metadata for the courses {', '.join(lost)}")
+    of = F.col("courses") if dict(concepts.dtypes)["courses"].startswith("array") else F.split("courses", r"\|")
+    each = concepts.select("slug", "name", "kind", F.explode(of).alias("code")).join(c.select("code"), "code", "left_semi")
+    placed = each.withColumn("pos", F.row_number().over(Window.partitionBy("code").orderBy("slug", "name")))
+    return Curriculum(c.join(metadata, "code"), placed)
+
+
+def load_curriculum(spark: SparkSession, dataset: str, metadata_path: str) -> Curriculum:
+    """Serve an export: the CSV folders ``courses`` and ``concepts`` below ``dataset`` and a metadata file."""
+    read = lambda name: spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(f"{dataset}/{name}")
+    return curriculum(read("courses"), read("concepts"), read_metadata(spark, metadata_path))
+
+
 def _positive(value, name: str, least: int = 1) -> None:
     if value is not None and value < least:
         raise ValueError(f"{name} must be at least {least}")

@@ -78,3 +78,18 @@ def report(concepts: DataFrame, links: DataFrame, occurrences: DataFrame, units:
         "gate_failures": failed,
         "gate_passed": not failed,
     }
+
+
+def summary(r: dict) -> str:
+    """The report as a few lines to read."""
+    n = r["concepts_per_unit"]
+    lines = [
+        f"{r['concepts']} concepts, {r['occurrences']} occurrences, {r['links']} links ({r['bridge_links']} bridges, {r['cross_course_links']} across courses)",
+        f"per unit: {n['min_n']} to {n['max_n']}, median {n['median_n']}, {n['out_of_range']} units out of range",
+        f"units covered: {r['units_covered']} of {r['units_expected']} ({r['unit_coverage']:.1%})",
+        f"quotes found word for word: {r['quote_verbatim_rate']:.1%}",
+        f"components: {r['components']}, largest {r['component_sizes']}",
+        f"prerequisites: {'no cycle' if r['prerequisite_acyclic'] else 'cyclic'}",
+        "gate: passed" if r["gate_passed"] else "gate: FAILED: " + "; ".join(r["gate_failures"]),
+    ]
+    return "\n".join(lines)
