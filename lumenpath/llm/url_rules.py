@@ -20,7 +20,7 @@ from lumenpath.session import broadcast_if_small, checkpoint
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 #: The rules are mined from at most about so many labelled pages.
 FIT_PAGES = 50_000
-MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.002, 0.8, 8
+MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.8
 #: A combination is evidence only if so many labelled pages hold it, however few pages there are.
 MIN_PAGES = 20
 BLOCK, ALLOW = "block", "allow"
@@ -69,19 +69,26 @@ def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT,
     ``labels`` marks a page by its id: toxic or of low quality is "block", else "allow";
     if an id repeats, one bad mark decides. The share of pages in each class is the least
     confidence that tells something, so a rule must also lift its class above that share.
+    Every token of a page takes part. Tokens that stand on the same labelled pages are mined
+    as one and named apart again in the rules: a rule with two of them is always redundant.
     """
     bad = F.max(F.when((F.col("toxic") == 1) | (F.col("quality") == 0), 1).otherwise(0))
     marks = labels.where("doc_id is not null and (toxic is not null or quality is not null)").groupBy(F.col("doc_id").alias("mark_id")).agg(bad.alias("bad"))
-    urls = pages.where("url is not null").select(F.col("page_id").cast("long").alias("page_id"), tokens(host_of(F.col("url")), path_of(F.col("url"))).alias("items"))
-    marked = urls.join(bounded_sample(marks, "mark_id", FIT_PAGES), F.col("page_id") == F.col("mark_id"))
+    urls = pages.where("url is not null").select(F.col("page_id").cast("long").alias("page_id"), "url")
+    marked = bounded_sample(urls.join(marks, F.col("page_id") == F.col("mark_id")), "mark_id", FIT_PAGES)
     verdict = F.concat(F.lit(CLASS), F.when(F.col("bad") == 1, BLOCK).otherwise(ALLOW))
-    baskets = checkpoint(marked.select(F.slice("items", 1, MAX_TOKENS).alias("items"), verdict.alias("class")).select(F.array_append("items", F.col("class")).alias("items"), "class"))
+    baskets = checkpoint(marked.select(F.monotonically_increasing_id().alias("row"), tokens(host_of(F.col("url")), path_of(F.col("url"))).alias("items"), verdict.alias("class")))
     shares = {r["class"]: r["n"] for r in baskets.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(shares.values())
     empty = baskets.sparkSession.createDataFrame([], "tokens array<string>, verdict string, confidence double, support double")
     if not total:
         return empty
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, MIN_PAGES / total)), minConfidence=min_confidence).fit(baskets)
+    support = min(1.0, max(min_support, MIN_PAGES / total))
+    alike = checkpoint(twins(baskets).where(F.col("n") >= support * total))
+    named = alike.select("twins", F.explode("twins").alias("token"))
+    kept = baskets.select("row", F.explode("items").alias("token")).join(named, "token").groupBy(F.col("row").alias("kept_row")).agg(F.collect_set(F.element_at("twins", 1)).alias("kept"))
+    short = checkpoint(baskets.join(kept, baskets.row == kept.kept_row, "left").select(F.array_append(F.coalesce("kept", F.array().cast("array<string>")), F.col("class")).alias("items")))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(short)
     said = F.element_at("consequent", 1)
     prior = F.create_map(*[F.lit(x) for k, n in shares.items() for x in (k, n / total)])
     found = model.associationRules.where(said.startswith(CLASS) & ~F.exists("antecedent", lambda x: x.startswith(CLASS)))
@@ -90,7 +97,20 @@ def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT,
     # A rule is redundant if the rule of one token fewer already says the same.
     held = rules.select(F.explode("tokens").alias("left_out"), "tokens", "verdict").select(F.array_remove("tokens", F.col("left_out")).alias("part"), F.col("tokens").alias("whole"), F.col("verdict").alias("v"))
     redundant = held.join(rules, (held.part == rules.tokens) & (held.v == rules.verdict), "left_semi").select("whole", "v").distinct()
-    return rules.join(redundant, (rules.tokens == redundant.whole) & (rules.verdict == redundant.v), "left_anti")
+    rules = rules.join(redundant, (rules.tokens == redundant.whole) & (rules.verdict == redundant.v), "left_anti")
+    # Each choice of one twin for each token is a rule of its own.
+    members = rules.select(F.monotonically_increasing_id().alias("rule"), "*").select("rule", "verdict", "confidence", "support", F.explode("tokens").alias("token"))
+    members = members.join(alike.select(F.element_at("twins", 1).alias("token"), "twins"), "token")
+    sets = members.groupBy("rule", "verdict", "confidence", "support").agg(F.collect_list("twins").alias("sets"))
+    grown = F.reduce("sets", F.array(F.array().cast("array<string>")), lambda done, more: F.flatten(F.transform(done, lambda d: F.transform(more, lambda t: F.array_append(d, t)))))
+    return sets.select(F.explode(grown).alias("tokens"), "verdict", "confidence", "support").select(F.array_sort("tokens").alias("tokens"), "verdict", "confidence", "support")
+
+
+def twins(baskets: DataFrame) -> DataFrame:
+    """``twins, n``: the tokens that stand in the same ``n`` rows of ``baskets(row, items)``, in order; rows are compared by a 128-bit digest."""
+    held = baskets.select("row", F.explode("items").alias("token"))
+    sums = held.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64("row", F.lit("twin"))).alias("y"))
+    return sums.groupBy("n", "x", "y").agg(F.array_sort(F.collect_list("token")).alias("twins")).select("twins", "n")
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]] = RULES, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
