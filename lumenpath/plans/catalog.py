@@ -252,6 +252,16 @@ def components(spark, d):
     return connected_components(e)
 
 
+@query()
+def components_whole(spark, d):
+    """``node, component`` over every part-supplier link; parts and suppliers without one are components of their own."""
+    links = table(spark, d, "lineitem").select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst")).distinct()
+    own = table(spark, d, "part").select(F.concat(F.lit("p"), "p_partkey").alias("id")).unionAll(table(spark, d, "supplier").select(F.concat(F.lit("s"), "s_suppkey")))
+    ends = links.select(F.explode(F.array("src", "dst")).alias("id"))
+    nodes = own.unionAll(ends).where("id is not null").distinct()
+    return nodes.join(connected_components(links), F.col("id") == F.col("node"), "left").select(F.col("id").alias("node"), F.coalesce("component", "id").alias("component"))
+
+
 def _precedence(spark, d):
     return sequence_links(spark, d).select("src", "dst", F.col("n").cast("double").alias("strength"))
 
