@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenpath.llm import bpe_automaton, decontaminate, language_id, simhash_trie, toxicity
+from lumenpath.llm import bpe_automaton, decontaminate, language_id, near_copies, toxicity
 from lumenpath.llm.common import fold_of
 from lumenpath.llm.queries import vocabulary
 from lumenpath.session import shared_dir, table
@@ -36,8 +36,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near copies."""
-    return simhash_trie.keep_first(docs).select(COLUMNS)
+    """Keep the document with the smallest id of each group of near copies: five-word shingles, similarity 0.8."""
+    return near_copies.keep_first(docs).select(COLUMNS)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
