@@ -46,8 +46,8 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode every document that is left and decode it again."""
-    return bpe_automaton.encode_decode(docs, vocabulary("word_bpe_49k.json"), full=False)
+    """Encode every document that is left and decode it again: ids and decoded text beside their digests."""
+    return bpe_automaton.encode_decode(docs, vocabulary("word_bpe_49k.json"))
 
 
 def drop(docs: DataFrame, gone: DataFrame) -> DataFrame:

@@ -23,7 +23,10 @@ def vocabulary(name: str) -> str:
 
 
 def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_automaton.encode_decode(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), full=False)
+    said = bpe_automaton.encode_decode(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    digest = lambda text: F.sha2(F.encode(text, "UTF-8"), 256)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return said.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(ids).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
 
 
 def op2_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
