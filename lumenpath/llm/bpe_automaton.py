@@ -14,20 +14,22 @@ each gadget changes one arc; the explicit table of visited transitions is filled
 
 from __future__ import annotations
 
-import hashlib
 import json
 import re
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from lumenpath.llm.chunk_table import PASS_CHARS, ChunkTable
 from lumenpath.llm.common import map_texts, texts_of
 
-# The split pattern of the vocabulary file, and the characters of Unicode's White_Space.
+# The split pattern of the vocabulary file.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
 #: These separate for str.split but are no white space for the vocabulary's pattern.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 END = "</w>"
@@ -108,15 +110,16 @@ class Automaton:
             self.table[state << 32 | token] = found
         return found
 
-    def encode_word(self, word: str) -> tuple[int, ...]:
+    def encode_word(self, word: str) -> list[int]:
         """Token ids of one pre-split word, given in byte characters without its end mark.
 
-        Follows the longest arc first. A position that is left by no accepted path is
-        dead for good, since at most one tokenization of each prefix is accepted.
+        Follows the longest arc first. A position that is left by no accepted path is dead
+        for good, since at most one tokenization of each prefix is accepted: every position
+        is left once at most, so the work grows with the word's length.
         """
         symbols = [*word[:-1], word[-1] + END]
         n, table, dead = len(symbols), self.table, set()
-        pos, state, arcs, path, out = 0, 0, self._arcs(symbols, 0), [], []
+        pos, state, arcs, path, out = 0, 0, self._arcs(symbols, 0, n), [], []
         while pos < n:
             while arcs:
                 token, end = arcs.pop()
@@ -128,22 +131,22 @@ class Automaton:
                 if to >= 0:
                     path.append((pos, state, arcs))
                     out.append(token)
-                    pos, state, arcs = end, to, self._arcs(symbols, end) if end < n else None
+                    pos, state, arcs = end, to, self._arcs(symbols, end, n)
                     break
             else:
                 dead.add(pos)
                 pos, state, arcs = path.pop()
                 out.pop()
-        return tuple(out)
+        return out
 
-    def _arcs(self, symbols: list[str], at: int) -> list[tuple[int, int]]:
+    def _arcs(self, symbols: list[str], at: int, n: int) -> list[tuple[int, int]]:
         """(token, end) of the tokens whose text starts at ``at``, shortest first."""
         below, found = self.root, []
-        for symbol in symbols[at:] if at else symbols:
-            at += 1
-            arc = below.get(symbol)
+        while at < n:
+            arc = below.get(symbols[at])
             if arc is None:
                 break
+            at += 1
             below, token = arc
             if token is not None:
                 found.append((token, at))
@@ -154,36 +157,6 @@ class Automaton:
         return " ".join(self.label[i] for i in ids)
 
 
-class Memory:
-    """A cache of bounded size in two generations: entries used lately survive when it is full."""
-
-    def __init__(self, make, most: int = 250_000) -> None:
-        self.make, self.most, self.new, self.old = make, most, {}, {}
-
-    def __call__(self, key):
-        value = self.new.get(key)
-        if value is None:
-            value = self.old.get(key)
-            if value is None:
-                value = self.make(key)
-            self.put(key, value)
-        return value
-
-    def put(self, key, value) -> None:
-        if len(self.new) >= self.most:
-            self.old, self.new = self.new, {}
-        self.new[key] = value
-
-    def all(self, keys: list) -> list:
-        """Values of many keys; those of this generation are looked up in one pass."""
-        values = list(map(self.new.get, keys))
-        if None in values:
-            for i, value in enumerate(values):
-                if value is None:
-                    values[i] = self(keys[i])
-        return values
-
-
 def pieces(text: str, added: list[str]) -> list[tuple[bool, str]]:
     """(is an added token, piece): added tokens' strings in a text are tokens by the library's default."""
     if added and any(a in text for a in added):
@@ -192,48 +165,42 @@ def pieces(text: str, added: list[str]) -> list[tuple[bool, str]]:
     return [(False, text)]
 
 
-def chunks(text: str) -> list[str]:
-    """The parts between white space; no word of the split pattern crosses them."""
-    return [c for c in SPACES.split(text) if c] if SEPARATORS.search(text) else text.split()
-
-
 def words(chunk: str) -> list[str]:
     """Normalise one chunk (NFC, lower case by character) and split it into words."""
-    if not chunk.isascii():
-        chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
-    return WORDS.findall(chunk.lower())
+    if chunk.isascii():
+        chunk = chunk.lower()
+        if chunk.isalpha():
+            return [chunk]
+        if len(chunk) > 1 and chunk[:-1].isalpha() and not chunk[-1].isalnum():
+            return [chunk[:-1], chunk[-1]]
+    else:
+        chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+    return WORDS.findall(chunk)
+
+
+def in_byte_characters(word: str, shown: list[str]) -> str:
+    """Each byte of a word as its printable character."""
+    return word if word.isascii() and word.isprintable() else "".join(map(shown.__getitem__, word.encode()))
 
 
 class Encoder:
-    """Whole texts to ids and back over one automaton, remembering chunks and words."""
+    """Whole texts to ids and back over one automaton, remembering chunks and words in bounded memory."""
 
     def __init__(self, automaton: Automaton) -> None:
-        self.auto, self.added = automaton, list(automaton.added)
-        self.bytes_as = byte_characters()
-        self.word, self.chunk = Memory(self._word, 300_000), Memory(self._chunk, 150_000)
-
-    def _word(self, word: str) -> tuple[int, str, str]:
-        ids = self.auto.encode_word("".join(map(self.bytes_as.__getitem__, word.encode())))
-        return len(ids), " ".join(map(str, ids)), self.auto.decode(ids)
-
-    def _chunk(self, chunk: str) -> tuple[int, str, str]:
-        found = words(chunk)
-        if len(found) == 1:
-            return self.word(found[0])
-        rows = list(map(self.word, found))
-        return sum([r[0] for r in rows]), " ".join([r[1] for r in rows]), " ".join([r[2] for r in rows])
-
-    def parts(self, text: str) -> list[tuple[int, str, str]]:
-        out = []
-        for is_added, piece in pieces(text, self.added):
-            if is_added:
-                out.append((1, str(self.auto.added[piece]), piece))
-            else:
-                out += self.chunk.all(chunks(piece))
-        return out
+        shown, added = byte_characters(), list(automaton.added)
+        self.auto = automaton
+        self.table = ChunkTable(lambda w: automaton.encode_word(in_byte_characters(w, shown)), words, lambda t: pieces(t, added), automaton.added)
+        self.labels = pa.array([automaton.label.get(i, "") for i in range(max(automaton.label) + 1)])
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for r in self.parts(text) for i in r[1].split()]
+        return self.table.encode([text])[0].tolist()
+
+    def encode_all(self, texts: list[str]) -> tuple[pa.Array, pa.Array]:
+        """(ids, decoded text) of each text; the arcs' labels are joined by a space, as the library does."""
+        ids, offsets = self.table.encode(texts)
+        offsets = pa.array(offsets, pa.int32())
+        labels = self.labels.take(pa.array(ids, pa.uint32()))
+        return pa.ListArray.from_arrays(offsets, pa.array(ids.view(np.int32))), pc.binary_join(pa.ListArray.from_arrays(offsets, labels), " ")
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -260,31 +227,15 @@ def encode_decode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text
     ``ids`` (array<int>) and ``decoded``. Null and empty texts have no tokens and an empty
     decoded text; repeated rows are each encoded; no row is dropped; an empty table stays
     empty; extra columns are ignored. A narrow map: no shuffle, and memory per task is one
-    batch of texts, the automaton (size fixed by the vocabulary) and bounded caches.
+    batch of texts, the automaton (size fixed by the vocabulary) and tables bounded by bytes.
     """
     spec = docs.sparkSession.sparkContext.broadcast(compile_file(vocab_path))
 
     def start():
-        enc = encoder_of(vocab_path, spec.value)
-
-        def kernel(texts: list[str]) -> list[list]:
-            n, ids_sha, dec_sha, ids, dec = [], [], [], [], []
-            for text in texts:
-                rows = enc.parts(text)
-                said, back = " ".join([r[1] for r in rows]), " ".join([r[2] for r in rows])
-                n.append(sum([r[0] for r in rows]))
-                ids_sha.append(hashlib.sha256(said.encode()).hexdigest())
-                dec_sha.append(hashlib.sha256(back.encode()).hexdigest())
-                if full:
-                    ids.append([int(i) for i in said.split()])
-                    dec.append(back)
-            return [n, ids_sha, dec_sha] + ([ids, dec] if full else [])
-
-        return kernel
-
-    names = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    if full:
-        names += [("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
-        schema += ", ids array<int>, decoded string"
-    return map_texts(texts_of(docs, id_col, text_col), schema, names, None, start)
+        return encoder_of(vocab_path, spec.value).encode_all
+
+    names = [("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
+    said = map_texts(texts_of(docs, id_col, text_col), "doc_id long, ids array<int>, decoded string", names, None, start, PASS_CHARS)
+    digest = lambda text: F.sha2(F.encode(text, "UTF-8"), 256)
+    ids = digest(F.array_join(F.col("ids").cast("array<string>"), " "))
+    return said.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"), *(["ids", "decoded"] if full else []))

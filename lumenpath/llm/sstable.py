@@ -21,7 +21,6 @@ import os
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenpath.llm.bpe_automaton import Memory, chunks, pieces, words
+from lumenpath.llm.bpe_automaton import byte_characters, in_byte_characters, pieces, words
+from lumenpath.llm.chunk_table import ChunkTable
 from lumenpath.llm.common import texts_of
 from lumenpath.session import shared_dir
 
@@ -190,54 +190,25 @@ class Reader:
         return out
 
 
-class Words:
-    """Texts to ids as the library gives them, remembering chunks and words in caches of bounded size."""
+def table_of_library(vocab: str) -> ChunkTable:
+    """Texts to ids as the library gives them: its model encodes each word once, words are told apart as its file does."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
 
-    def __init__(self, vocab: str) -> None:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+    tok, shown = Tokenizer.from_str(vocab), byte_characters()
+    added = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
+    strings, model = list(added), tok.model
+    return ChunkTable(lambda w: [t.id for t in model.tokenize(in_byte_characters(w, shown))], words, lambda t: pieces(t, strings), added)
 
-        self.tok = Tokenizer.from_str(vocab)
-        self.tok.no_truncation()
-        self.tok.no_padding()
-        self.added = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
-        self.strings = list(self.added)
-        self.word, self.chunk = Memory(self._word, 400_000), Memory(self._chunk, 300_000)
 
-    def _word(self, word: str) -> bytes:
-        return array("I", self.tok.encode(word, add_special_tokens=False).ids).tobytes()
+_TABLES: dict[str, ChunkTable] = {}
 
-    def _chunk(self, chunk: str) -> bytes:
-        return b"".join(map(self.word, words(chunk)))
 
-    def learn(self, texts: list[str]) -> None:
-        """Encode the words that the cache lacks in one call of the library."""
-        unseen = set().union(*map(str.split, texts)).difference(self.chunk.new, self.chunk.old)
-        split = list(map(words, unseen))
-        known, old = self.word.new, self.word.old
-        lacking = list({w for s in split for w in s if w not in known and w not in old})
-        for word, e in zip(lacking, self.tok.encode_batch_fast(lacking, add_special_tokens=False)):
-            self.word.put(word, array("I", e.ids).tobytes())
-        for chunk, s in zip(unseen, split):
-            self.chunk.put(chunk, self.word(s[0]) if len(s) == 1 else b"".join(map(self.word, s)))
-
-    def encode(self, text: str) -> np.ndarray:
-        out = []
-        for is_added, piece in pieces(text, self.strings):
-            if is_added:
-                out.append(array("I", [self.added[piece]]).tobytes())
-            else:
-                out += self.chunk.all(chunks(piece))
-        return np.frombuffer(b"".join(out), "<u4")
-
-
-_WORDS: dict[str, Words] = {}
-
-
-def words_of(path: str, vocab: str) -> Words:
-    if path not in _WORDS:
-        _WORDS[path] = Words(vocab)
-    return _WORDS[path]
+def library_table(path: str, vocab: str) -> ChunkTable:
+    """One table per Python worker and vocabulary; workers are reused by later tasks."""
+    if path not in _TABLES:
+        _TABLES[path] = table_of_library(vocab)
+    return _TABLES[path]
 
 
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
@@ -260,7 +231,7 @@ def write_shards(docs: DataFrame, vocab_path: str, folder: str, end_id: int = 1,
     keyed = texts_of(docs, id_col, text_col).repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
 
     def run(batches):
-        enc, part = words_of(vocab_path, spec.value), TaskContext.get().partitionId()
+        enc, part = library_table(vocab_path, spec.value), TaskContext.get().partitionId()
         store, root = open_folder(folder)
         state = {"k": 0, "writer": None}
 
@@ -274,14 +245,14 @@ def write_shards(docs: DataFrame, vocab_path: str, folder: str, end_id: int = 1,
             return pa.RecordBatch.from_pylist([{"path": path, "first_key": w.first, "n_docs": len(w.keys), "n_tokens": w.tokens}], schema=pa.schema([("path", pa.string()), ("first_key", pa.binary()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                ids, texts = batch.column(0)[at : at + 500].to_pylist(), batch.column(1)[at : at + 500].to_pylist()
-                enc.learn(texts)
-                for doc_id, text in zip(ids, texts):
+            for at in range(0, len(batch), 1000):
+                ids, texts = batch.column(0)[at : at + 1000].to_pylist(), batch.column(1)[at : at + 1000].to_pylist()
+                flat, cuts = enc.encode(texts)
+                for k, doc_id in enumerate(ids):
                     if state["writer"] is None:
                         state["temp"] = f"{root}/.{part:06d}-{uuid.uuid4().hex}"
                         state["writer"] = Writer(store.open_output_stream(state["temp"]))
-                    state["writer"].add(key_of(doc_id), np.append(enc.encode(text), np.uint32(end_id)))
+                    state["writer"].add(key_of(doc_id), np.append(flat[cuts[k] : cuts[k + 1]], np.uint32(end_id)))
                     if state["writer"].tokens * 4 >= SHARD_BYTES:
                         yield close()
         if state["writer"] is not None:
