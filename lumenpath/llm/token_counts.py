@@ -1,14 +1,16 @@
 """Token counts of whole texts, with overlap resynchronisation for huge documents.
 
-A huge document is cut into overlapping chunks, each encoded on its own with offsets. Two
-neighbours are spliced at a boundary that both encodings have and that is stable: the
-character before it is no white space and the one at it is. The vocabulary's split pattern
-looks back at nothing and at most one white space ahead, and no alternative of it runs from
-a visible character into white space; so a match always ends there, and what follows is
-matched the same whatever came before. If the overlap has no such boundary (a very long run
-without white space), it is widened until it has one or the text ends.
-
-Between stable boundaries lie units, whose counts are remembered in a cache of bounded size.
+A text of more than CHUNK_CHARS is cut into overlapping chunks, each encoded by the library
+on its own with offsets. Two neighbours are spliced at a token boundary that both encodings
+have and that is proven stable: the character before it is no white space and the one at it
+is. The vocabulary's split pattern looks back at nothing and at most one character ahead of
+white space, and no alternative of it runs from a visible character into white space; so a
+match always ends there, and what follows is matched the same whatever came before. If the
+overlap has no such boundary (a long run without white space, or of nothing else), it is
+widened; if the whole chunk has none, the chunk is encoded anew at twice its length.
+
+Shorter texts need no splicing. They are counted by units, the parts between the same stable
+boundaries, whose counts the library gives once and a table of bounded size remembers.
 """
 
 from __future__ import annotations
@@ -16,89 +18,87 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lumenpath.llm.bpe_automaton import SEPARATORS, pieces
+from lumenpath.llm.bpe_automaton import pieces
 from lumenpath.llm.common import map_texts, texts_of
 
 # The characters of Unicode's White_Space.
 SPACE = "\t-\r \x85\xa0  -     　"
 UNITS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c))
 CHUNK_CHARS, OVERLAP_CHARS = 32_768, 512
+#: A worker's table of units starts anew when it holds so many bytes.
+TABLE_BYTES = 128 << 20
 
 
 class UnitCounts:
-    """Counts of units by the library, remembered in two generations of bounded size."""
+    """The library's counts of units, remembered up to TABLE_BYTES, and its encodings with offsets."""
 
-    def __init__(self, vocab: str, most: int = 400_000) -> None:
+    def __init__(self, vocab: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tok, self.most, self.new, self.old = Tokenizer.from_str(vocab), most, {}, {}
+        self.tok, self.known, self.bytes = Tokenizer.from_str(vocab), {}, 0
         self.tok.no_truncation()
         self.tok.no_padding()
         self.added = [a["content"] for a in json.loads(vocab)["added_tokens"]]
 
-    def direct(self, text: str) -> int:
-        return len(self.tok.encode(text, add_special_tokens=False).ids)
+    def ends(self, text: str) -> np.ndarray:
+        """Where each token of a text ends, in characters; tokens that share a character share its end."""
+        offsets = self.tok.encode(text, add_special_tokens=False).offsets
+        return np.array(offsets, dtype=np.int64).reshape(-1, 2)[:, 1]
 
     def of(self, units: list[str]) -> list[int]:
-        got = list(map(self.new.get, units))
+        if self.bytes > TABLE_BYTES:
+            self.known, self.bytes = {}, 0
+        got = list(map(self.known.get, units))
         if None in got:
-            if len(self.new) > self.most:
-                self.old, self.new = self.new, {}
-                got = [None] * len(units)
-            lacking = {u for u, n in zip(units, got) if n is None}
-            for u in list(lacking):
-                if (n := self.old.get(u)) is not None:
-                    self.new[u] = n
-                    lacking.discard(u)
-            if lacking:
-                lacking = list(lacking)
-                self.new.update(zip(lacking, map(len, self.tok.encode_batch_fast(lacking, add_special_tokens=False))))
-            got = list(map(self.new.__getitem__, units))
+            lacking = list({u for u, n in zip(units, got) if n is None})
+            self.known.update(zip(lacking, map(len, self.tok.encode_batch_fast(lacking, add_special_tokens=False))))
+            self.bytes += sum(map(sys.getsizeof, lacking)) + 100 * len(lacking)
+            got = list(map(self.known.__getitem__, units))
         return got
 
 
 class Chunk:
-    """One chunk of a text: offsets where its units start, their ends and their token counts."""
+    """One chunk of a text, encoded on its own: where it lies and where its tokens end."""
 
     def __init__(self, counts: UnitCounts, text: str, start: int, end: int) -> None:
-        units = UNITS.findall(text[start:end])
-        self.counts, self.start, self.end, at = counts.of(units), start, end, start
-        self.starts = []
-        for u in units:
-            self.starts.append(at)
-            at += len(u)
+        self.start, self.end, self.ends = start, end, counts.ends(text[start:end]) + start
+
+    def until(self, at: int) -> int:
+        """How many tokens end at ``at`` or before."""
+        return int(np.searchsorted(self.ends, at, "right"))
+
+
+def splice(left: Chunk, right: Chunk, text: str) -> int | None:
+    """The first stable boundary inside the overlap at which both encodings end a token."""
+    own = left.ends[(left.ends > right.start) & (left.ends < left.end)]
+    return next((p for p in np.intersect1d(own, right.ends).tolist() if text[p] in SPACES and text[p - 1] not in SPACES), None)
 
 
 def count_spliced(counts: UnitCounts, text: str, size: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> tuple[int, int]:
     """(tokens, chunks used) of a text without added tokens, by chunks of ``size`` spliced in overlaps."""
-    total, used, n = 0, 1, len(text)
-    left, since = Chunk(counts, text, 0, min(n, size)), 0
+    n, total, since, used = len(text), 0, 0, 1
+    left = Chunk(counts, text, 0, min(n, size))
     while left.end < n:
-        width = overlap
-        while True:
-            begin = max(since, left.end - width)
+        width, cut = overlap, None
+        while cut is None and left.end - width > since:
+            begin = left.end - width
             right = Chunk(counts, text, begin, min(n, begin + max(size, 2 * width)))
-            # A chunk's first offset is where it was cut; its last unit may go on behind it.
-            stable = set(left.starts[1:]) & set(right.starts[1:])
-            if stable:
-                cut = min(stable)
-                break
-            if begin == since and right.end == n:
-                cut = since
-                break
+            cut = splice(left, right, text)
             width *= 2
-            left = Chunk(counts, text, left.start, min(n, left.end + width))
-            if left.end == n:
-                right, cut = left, since
-                break
-        total += sum(c for s, c in zip(left.starts, left.counts) if since <= s < cut)
-        left, since, used = right, cut, used + 1
-    return total + sum(c for s, c in zip(left.starts, left.counts) if s >= since), used
+        if cut is None:
+            left = Chunk(counts, text, since, min(n, since + 2 * (left.end - since)))
+        else:
+            total += left.until(cut) - left.until(since)
+            left, since, used = right, cut, used + 1
+    return total + len(left.ends) - left.until(since), used
 
 
 _COUNTERS: dict[str, UnitCounts] = {}
@@ -128,8 +128,6 @@ def token_counts(docs: DataFrame, vocab_path: str, limit: int = 512, id_col: str
             for is_added, piece in pieces(text, counts.added):
                 if is_added:
                     n += 1
-                elif SEPARATORS.search(piece):
-                    n, used = n + counts.direct(piece), used + 1
                 elif len(piece) <= CHUNK_CHARS:
                     n, used = n + sum(counts.of(UNITS.findall(piece))), used + 1
                 else:
