@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenpath.session import ship
+from lumenpath.session import checkpoint, ship
 
 #: Characters that one vectorised pass handles at once; longer batches are cut between documents.
 PASS_CHARS = 1_500_000
 
 
 def fold_of(id_col: str, parts: int) -> Column:
-    """crc32 of the id's decimal text, modulo ``parts``."""
-    return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(parts))
+    """crc32 of the id's decimal text (null: empty), modulo ``parts``."""
+    return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(parts))
 
 
 def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -25,11 +26,11 @@ def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def map_texts(df: DataFrame, schema: str, names: list[str], kernel: Callable[[list[str]], list[list]], start: Callable | None = None) -> DataFrame:
+def map_texts(df: DataFrame, schema: str, names: list[str], kernel: Callable[[list[str]], list[list]], start: Callable | None = None, pass_chars: int = PASS_CHARS) -> DataFrame:
     """Apply ``kernel`` to the texts of ``df(doc_id, text)`` by Arrow batches.
 
     ``start()`` runs once per task and returns the kernel to use, so that heavy state is built on the executor.
-    ``kernel`` gets at most about PASS_CHARS characters (or one longer text) and returns one list per column in ``names``.
+    ``kernel`` gets at most about ``pass_chars`` characters (or one longer text) and returns one list per column in ``names``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,7 +41,7 @@ def map_texts(df: DataFrame, schema: str, names: list[str], kernel: Callable[[li
             at, n = 0, len(texts)
             while at < n:
                 part, size, end = [], 0, at
-                while end < n and (not part or size < PASS_CHARS):
+                while end < n and (not part or size < pass_chars):
                     t = texts[end].as_py()
                     part.append(t)
                     size += len(t)
@@ -48,20 +49,38 @@ def map_texts(df: DataFrame, schema: str, names: list[str], kernel: Callable[[li
                 cols = work(part)
                 if out_schema is None:
                     out_schema = pa.schema([("doc_id", pa.int64())] + [(name, kind) for name, kind in names])
-                arrays = [ids.slice(at, end - at)] + [pa.array(c, type=f.type) for c, f in zip(cols, list(out_schema)[1:])]
+                arrays = [ids.slice(at, end - at)] + [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(cols, list(out_schema)[1:])]
                 yield pa.RecordBatch.from_arrays(arrays, schema=out_schema)
                 at = end
 
     return df.mapInArrow(run, schema)
 
 
-def bounded_sample(df: DataFrame, id_col: str, bound: int) -> DataFrame:
-    """At most about ``bound`` rows, chosen by a hash of the id: the same rows at any partitioning.
+def bounded_sample(df: DataFrame, keys: list[str], rows: int, size_col: str | None = None, size: int = 0) -> DataFrame:
+    """At most about ``rows`` rows (and about ``size`` of ``size_col``), chosen by a hash of ``keys``: the same at any partitioning.
 
-    Used only to fit classifiers. All rows are kept when there are no more than ``bound``.
+    Used only to fit classifiers. All rows are kept if they are within the bounds.
     """
-    n = df.count()
-    if n <= bound:
+    total = F.coalesce(F.sum(size_col), F.lit(0)) if size_col else F.lit(0)
+    said = df.agg(F.count(F.lit(1)).alias("n"), total.alias("size")).first()
+    share = min(1.0, rows / max(said["n"], 1), size / said["size"] if size_col and said["size"] else 1.0)
+    if share == 1.0:
         return df
-    keep = int(bound / n * (1 << 20))
-    return df.where(F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit("fit")), F.lit(1 << 20)) < keep)
+    return df.where(F.pmod(F.xxhash64(*keys, F.lit("fit")), F.lit(1 << 20)) < int(share * (1 << 20)))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, size: int, longest: int) -> tuple[list[str], np.ndarray]:
+    """Texts and labels of a bounded sample of the labelled documents, in order of id and text hash.
+
+    ``labels(label_id, label)`` has distinct ids. The sample is taken of documents that have a
+    label, not of labels: distinct pairs of id and text, about ``rows`` of them and ``size``
+    bytes of text at most, none longer than ``longest`` bytes. Only ids, hashes and lengths are
+    shuffled; the keys of the sample, at most about ``rows``, are broadcast to fetch the texts.
+    """
+    texts = texts_of(docs).withColumn("th", F.xxhash64("text"))
+    known = texts.select("doc_id", "th", F.octet_length("text").alias("size")).where(F.col("size") <= longest).distinct()
+    marked = checkpoint(known.join(labels, known.doc_id == labels.label_id).select("label_id", "th", "size", "label"))
+    picked = bounded_sample(marked, ["label_id", "th"], rows, "size", size).withColumnRenamed("th", "label_th").drop("size")
+    found = texts.join(F.broadcast(picked), (F.col("doc_id") == F.col("label_id")) & (F.col("th") == F.col("label_th")))
+    got = found.groupBy("doc_id", "th").agg(F.min("text").alias("text"), F.min("label").alias("label")).orderBy("doc_id", "th").select("text", "label").toPandas()
+    return got["text"].tolist(), got["label"].to_numpy(dtype=float)

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenpath.llm.common import bounded_sample, map_texts, texts_of
+from lumenpath.llm.common import PASS_CHARS, bounded_sample, map_texts, texts_of
 from lumenpath.session import ship
 
 FEATURES, ORDERS, SMOOTHING = 1 << 14, (1, 2, 3), 0.5
 #: The classifier is fitted on at most about so many labelled documents.
 FIT_DOCS = 12_000
 UNKNOWN = "und"
+#: Longer texts are added up in slices; a batch of texts holds no more characters.
+SLICE_CHARS = PASS_CHARS
 PAD = "\0" * max(ORDERS)
 
 
@@ -35,13 +39,22 @@ def grams(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
     return out, spans
 
 
+def of_slices(text: str) -> Iterator[np.ndarray]:
+    """The hashed n-grams of one text, SLICE_CHARS starting characters at a time, so that a long text needs no more memory."""
+    low, reach = text.lower(), max(ORDERS) - 1
+    for at in range(0, len(low), SLICE_CHARS):
+        size = min(SLICE_CHARS, len(low) - at)
+        for h in grams([low[at : at + size + reach]])[0]:
+            yield h[:size]
+
+
 def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """(languages, log-probability matrix [FEATURES, languages]) from the rows where ``train`` holds.
 
     Counts are summed by Spark; the driver gets the matrix, whose size is fixed by FEATURES
     and the number of languages. The prior is uniform over languages.
     """
-    rows = bounded_sample(docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()), id_col, FIT_DOCS)
+    rows = bounded_sample(docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()), [id_col, text_col], FIT_DOCS)
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
     def count(batches):
@@ -49,10 +62,9 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if text:
-                    hashed, (span,) = grams([text])
                     into = sums.setdefault(lang, np.zeros(FEATURES, dtype=np.int64))
-                    for h in hashed:
-                        into += np.bincount(h[span[0] : span[1]], minlength=FEATURES)
+                    for h in of_slices(text):
+                        into += np.bincount(h, minlength=FEATURES)
         for lang, v in sums.items():
             at = np.flatnonzero(v)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(v[at])], names=["lang", "feature", "n"])
@@ -68,6 +80,10 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
 
 def score(texts: list[str], langs: list[str], table: np.ndarray) -> tuple[list[str], list[float]]:
     """Best language and its posterior probability for each text."""
+    if len(texts) == 1 and len(texts[0]) > SLICE_CHARS and langs and any(map(str.isalpha, texts[0])):
+        total = sum(table[h].sum(axis=0, dtype=np.float64) for h in of_slices(texts[0]))
+        p = np.exp(total - total.max())
+        return [langs[int(total.argmax())]], [float(p.max() / p.sum())]
     known = [bool(langs) and any(map(str.isalpha, t)) for t in texts]
     hashed, spans = grams(texts)
     said, sure = [UNKNOWN] * len(texts), [0.0] * len(texts)

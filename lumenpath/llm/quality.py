@@ -7,18 +7,24 @@ labels alone, weights the passages, and the weighted sum is scored.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenpath.llm.common import bounded_sample, map_texts, texts_of
+from lumenpath.llm.common import PASS_CHARS, labelled_sample, map_texts, texts_of
 from lumenpath.llm.word_hash import Words
 
 PASSAGE, WORD_BINS, HIDDEN, GATE = 64, 64, 24, 12
 EPOCHS, BATCH, RATE, DECAY = 14, 64, 0.01, 1e-4
-#: The classifier is fitted on at most about so many labelled documents.
-FIT_DOCS = 6_000
+#: The classifier is fitted on at most about so many labelled documents and bytes of text, none of them longer than FIT_TEXT.
+FIT_DOCS, FIT_BYTES, FIT_TEXT = 6_000, 64 << 20, 1 << 20
+#: Texts over PASS_CHARS are scored in parts of so many passages.
+SLICE_PASSAGES = 2_000
+WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
 def byte_classes() -> tuple[np.ndarray, int]:
@@ -79,11 +85,15 @@ class Attention:
     def __init__(self, params: dict[str, np.ndarray]) -> None:
         self.p = params
 
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Encoded passages, both parts of the gate, and the attention before it is normalised."""
+        h = np.tanh(x @ self.p["we"] + self.p["be"])
+        v, u = np.tanh(h @ self.p["wv"]), 1 / (1 + np.exp(-(h @ self.p["wu"])))
+        return h, v, u, (v * u) @ self.p["wa"]
+
     def forward(self, x: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
         p, bag = self.p, np.repeat(np.arange(len(first) - 1), np.diff(first))
-        h = np.tanh(x @ p["we"] + p["be"])
-        v, u = np.tanh(h @ p["wv"]), 1 / (1 + np.exp(-(h @ p["wu"])))
-        e = (v * u) @ p["wa"]
+        h, v, u, e = self.encode(x)
         a = np.exp(e - np.maximum.reduceat(e, first[:-1])[bag])
         a /= np.add.reduceat(a, first[:-1])[bag]
         z = np.add.reduceat(a[:, None] * h, first[:-1], axis=0)
@@ -128,12 +138,34 @@ def fit(texts: list[str], labels: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def fit_labelled(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2) -> dict[str, np.ndarray] | None:
-    """Fit on a bounded sample of the labelled rows outside the held-out fold. Without labels, None."""
+    """Fit on a bounded sample of the labelled documents outside the held-out fold. Without labels, None."""
     fold = F.pmod(F.crc32(F.col("label_id").cast("string")), F.lit(parts))
     marked = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("label")).where(F.col("label").isNotNull() & F.col("label_id").isNotNull() & (fold != held))
-    marked = bounded_sample(marked.groupBy("label_id").agg(F.min("label").alias("label")), "label_id", FIT_DOCS)
-    rows = texts_of(docs).join(F.broadcast(marked), F.col("doc_id") == F.col("label_id")).orderBy("doc_id", F.xxhash64("text")).select("text", "label").toPandas()
-    return fit(rows["text"].tolist(), rows["label"].to_numpy(dtype=float)) if len(rows) else None
+    texts, given = labelled_sample(docs, marked.groupBy("label_id").agg(F.min("label").alias("label")), FIT_DOCS, FIT_BYTES, FIT_TEXT)
+    return fit(texts, given) if texts else None
+
+
+def bag_slices(text: str) -> Iterator[str]:
+    """A long text in parts of whole passages, SLICE_PASSAGES each."""
+    raw, at = text.encode("utf-8", "replace"), 0
+    for k, word in enumerate(WORD.finditer(raw)):
+        if k and k % (PASSAGE * SLICE_PASSAGES) == 0:
+            yield raw[at : word.start()].decode()
+            at = word.start()
+    yield raw[at:].decode()
+
+
+def score_long(net: "Attention", text: str) -> tuple[float, np.ndarray]:
+    """(score, attention) of one long text: the weighted sum over all passages, a slice at a time."""
+    top, total, z, told = -np.inf, 0.0, 0.0, []
+    for part in bag_slices(text):
+        h, _, _, e = net.encode(passages([part])[0])
+        high = max(top, float(e.max()))
+        keep, w = np.exp(top - high), np.exp(e - high)
+        total, z, top = total * keep + w.sum(), z * keep + w @ h, high
+        told.append(e)
+    s = 1 / (1 + np.exp(-np.clip(z / total @ net.p["wo"] + net.p["bo"], -30, 30)))
+    return float(s), np.exp(np.concatenate(told) - top) / total
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, attention: bool = False) -> DataFrame:
@@ -149,6 +181,9 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, attentio
     def kernel(texts: list[str]) -> list[list]:
         if model.value is None:
             return [[0.5] * len(texts), [int(threshold <= 0.5)] * len(texts)] + ([[[]] * len(texts)] if attention else [])
+        if len(texts) == 1 and len(texts[0]) > PASS_CHARS:
+            s, a = score_long(Attention(model.value), texts[0])
+            return [[s], [int(s >= threshold)]] + ([[a]] if attention else [])
         x, first = passages(texts)
         f = Attention(model.value).forward(x, first)
         weights = [np.split(f["a"], first[1:-1])] if attention else []

@@ -7,8 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenpath.llm.common import bounded_sample, map_texts, texts_of
-from lumenpath.llm.word_hash import Words, mix
+from lumenpath.llm.common import PASS_CHARS, labelled_sample, map_texts, texts_of
+from lumenpath.llm.word_hash import Words, mix, slices
 
 BITS = 22
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 6.0, 1.0, 5
@@ -16,8 +16,8 @@ ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 6.0, 1.0, 5
 POSITIVE = 6.0
 #: A feature is learned if at least so many of the fitted documents have it.
 LEAST_DOCS = 4
-#: The classifier is fitted on at most about so many labelled documents.
-FIT_DOCS = 10_000
+#: The classifier is fitted on at most about so many labelled documents and bytes of text, none of them longer than FIT_TEXT.
+FIT_DOCS, FIT_BYTES, FIT_TEXT = 10_000, 64 << 20, 1 << 20
 PAIR = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 SKIP = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
@@ -90,21 +90,43 @@ def _counted(texts: list[str]):
 
 
 def fit_labelled(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0) -> tuple[np.ndarray, np.ndarray, float]:
-    """Fit on a bounded sample of the labelled rows outside the held-out fold. Without labels, no weights."""
+    """Fit on a bounded sample of the labelled documents outside the held-out fold. Without labels, no weights."""
     fold = F.pmod(F.crc32(F.col("label_id").cast("string")), F.lit(parts))
     marked = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("toxic").cast("int").alias("label")).where(F.col("label").isNotNull() & F.col("label_id").isNotNull() & (fold != held))
-    marked = bounded_sample(marked.groupBy("label_id").agg(F.max("label").alias("label")), "label_id", FIT_DOCS)
-    rows = texts_of(docs).join(F.broadcast(marked), F.col("doc_id") == F.col("label_id")).orderBy("doc_id", F.xxhash64("text")).select("text", "label").toPandas()
-    return fit(rows["text"].tolist(), rows["label"].to_numpy(dtype=float)) if len(rows) else (np.zeros(0, np.int64), np.zeros(0), 0.0)
+    texts, given = labelled_sample(docs, marked.groupBy("label_id").agg(F.max("label").alias("label")), FIT_DOCS, FIT_BYTES, FIT_TEXT)
+    return fit(texts, given) if texts else (np.zeros(0, np.int64), np.zeros(0), 0.0)
 
 
-def score(texts: list[str], model: tuple[np.ndarray, np.ndarray, float]) -> np.ndarray:
-    kept, w, bias = model
+def weights_of(model: tuple[np.ndarray, np.ndarray, float]) -> np.ndarray:
+    """The weight of every feature, zeros included."""
     table = np.zeros(1 << BITS, dtype=np.float32)
-    table[kept] = w
-    doc, index, words = features(texts)
-    total = np.bincount(doc, weights=table[index], minlength=len(texts)) * scale(words) + bias
-    return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+    table[model[0]] = model[1]
+    return table
+
+
+def score(texts: list[str], model: tuple[np.ndarray, np.ndarray, float], table: np.ndarray | None = None) -> np.ndarray:
+    table = weights_of(model) if table is None else table
+    if len(texts) == 1 and len(texts[0]) > PASS_CHARS:
+        total, words = _sum_of_slices(texts[0], table)
+    else:
+        doc, index, words = features(texts)
+        total = np.bincount(doc, weights=table[index], minlength=len(texts))
+    return 1 / (1 + np.exp(-np.clip(total * scale(words) + model[2], -30, 30)))
+
+
+def _sum_of_slices(text: str, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sum of the weights of all features, number of words) of a long text, a slice at a time; the last two words of a slice meet the next."""
+    last, total, words = np.zeros(0, dtype=np.uint64), 0.0, 0
+    for part in slices(text.lower(), PASS_CHARS):
+        own = Words([part], lower=False).hash
+        both = np.concatenate([last, own])
+        feats = [own]
+        for step, (a, b) in ((1, PAIR), (2, SKIP)):
+            at = np.arange(max(step, len(last)), len(both))
+            feats.append(mix(both[at - step] * a + both[at] * b))
+        total += float(table[(np.concatenate(feats) >> np.uint64(64 - BITS)).astype(np.int64)].sum(dtype=np.float64))
+        last, words = both[-2:], words + len(own)
+    return np.array([total]), np.array([words])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -118,8 +140,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Data
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(fit_labelled(docs, labels))
 
-    def kernel(texts: list[str]) -> list[list]:
-        s = score(texts, model.value)
-        return [s, (s >= threshold).astype(int)]
+    def start():
+        table = weights_of(model.value)
 
-    return map_texts(texts_of(docs), "doc_id long, score double, predicted int", [("score", pa.float64()), ("predicted", pa.int32())], kernel)
+        def kernel(texts: list[str]) -> list[list]:
+            s = score(texts, model.value, table)
+            return [s, (s >= threshold).astype(int)]
+
+        return kernel
+
+    return map_texts(texts_of(docs), "doc_id long, score double, predicted int", [("score", pa.float64()), ("predicted", pa.int32())], None, start)

@@ -46,3 +46,15 @@ class Words:
         np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[:-1], dtype=np.uint64, out=total[1:])
         self.hash = mix((total[self.end] - total[self.start]) * down[self.start])
         self.doc = np.searchsorted(self.at, self.start, "right") - 1
+
+
+def slices(text: str, chars: int) -> list[str]:
+    """A text in parts of about ``chars`` characters, cut before a space or a line's end, so that no word is cut."""
+    out, at = [], 0
+    while len(text) - at > chars:
+        end = at + chars
+        while end < len(text) and text[end] not in " \n":
+            end += 1
+        out.append(text[at:end])
+        at = end
+    return [*out, text[at:]]
