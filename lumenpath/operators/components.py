@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumenpath.operators.skew import hot_keys, lookup
 from lumenpath.session import checkpoint
 
 
@@ -15,16 +16,19 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     repeated edges and edges with a null end are ignored, and an empty edge table gives
     an empty result. Each round lowers labels over the edges and then follows the label
     of the label, so rounds grow with the logarithm of the diameter. Every round is
-    checkpointed; only one number per round reaches the driver.
+    checkpointed; one number and a bounded list of hot keys per round reach the driver. A
+    node with very many edges, or the label of a very large component, is looked up by
+    broadcast, so that neither lands in one task.
     """
     pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null and a <> b")
     both = checkpoint(pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    hubs = hot_keys(both, "b")
     labels = checkpoint(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
     while True:
-        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(near, labels.node == near.a, "left").select("node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("mid"))
-        top = lower.select(F.col("node").alias("mid_node"), F.col("mid").alias("top"))
-        after = checkpoint(lower.join(top, lower.mid == top.mid_node).select("node", "old", F.least("mid", "top").alias("label")))
+        near = lookup(both, labels.select(F.col("node").alias("b"), "label"), "b", hot=hubs).groupBy("a").agg(F.min("label").alias("near"))
+        lower = checkpoint(labels.join(near, labels.node == near.a, "left").select("node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("mid")))
+        top = lower.select(F.col("node").alias("mid"), F.col("mid").alias("top"))
+        after = checkpoint(lookup(lower, top, "mid").select("node", "old", F.least("mid", "top").alias("label")))
         changed = after.agg(F.count_if(F.col("label") != F.col("old")).alias("n")).first()["n"]
         labels = after.select("node", "label")
         if not changed:
