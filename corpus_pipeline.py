@@ -9,7 +9,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lumenpath.llm import bpe_automaton, decontaminate, language_id, near_copies, toxicity
 from lumenpath.llm.common import fold_of
@@ -19,20 +18,16 @@ from lumenpath.session import shared_dir, table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document stays if its language is known with at least this probability.
 LANGUAGE_SURE = 0.5
-#: Documents of this predicted class go.
-TOXIC = 1
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language is unknown: no letter, or no language above LANGUAGE_SURE."""
-    said = language_id.identify(docs, fold_of("doc_id", 4) != 2)
-    gone = said.where((F.col("lang_pred") == language_id.UNKNOWN) | (F.col("score") < LANGUAGE_SURE))
-    return drop(docs, gone)
+    return language_id.keep_known(docs, fold_of("doc_id", 4) != 2, LANGUAGE_SURE).select(COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents predicted toxic."""
-    return drop(docs, toxicity.toxicity(docs, table(spark, sf_dir, "labels")).where(F.col("predicted") == TOXIC))
+    return toxicity.keep_harmless(docs, table(spark, sf_dir, "labels")).select(COLUMNS)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,11 +45,6 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe_automaton.encode_decode(docs, vocabulary("word_bpe_49k.json"))
 
 
-def drop(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the ids in ``gone``; only ids are shuffled against the texts if they are many."""
-    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(COLUMNS)
-
-
 STAGES = [
     ("language_id", keep_known_language),
     ("toxicity", drop_toxic),

@@ -30,7 +30,7 @@ def map_texts(df: DataFrame, schema: str, names: list[str], kernel: Callable[[li
     """Apply ``kernel`` to the texts of ``df(doc_id, text)`` by Arrow batches.
 
     ``start()`` runs once per task and returns the kernel to use, so that heavy state is built on the executor.
-    ``kernel`` gets at most about ``pass_chars`` characters (or one longer text) and returns one list per column in ``names``.
+    ``kernel`` gets at most about ``pass_chars`` characters (a longer text comes alone) and returns one list per column in ``names``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -41,8 +41,10 @@ def map_texts(df: DataFrame, schema: str, names: list[str], kernel: Callable[[li
             at, n = 0, len(texts)
             while at < n:
                 part, size, end = [], 0, at
-                while end < n and (not part or size < pass_chars):
+                while end < n and size < pass_chars:
                     t = texts[end].as_py()
+                    if part and len(t) > pass_chars:
+                        break
                     part.append(t)
                     size += len(t)
                     end += 1
@@ -56,6 +58,33 @@ def map_texts(df: DataFrame, schema: str, names: list[str], kernel: Callable[[li
     return df.mapInArrow(run, schema)
 
 
+def keep_texts(df: DataFrame, start: Callable, text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, all their columns as they are, whose text ``start()`` keeps: it gives a function from texts to booleans.
+
+    Rows are judged where they lie, each by its own text; nothing is shuffled and no key is needed. Null texts are empty.
+    """
+    ship(df.sparkSession)
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = start()
+        for batch in batches:
+            texts, begin = batch.column(at), 0
+            while begin < len(texts):
+                part, size, end = [], 0, begin
+                while end < len(texts) and size < PASS_CHARS:
+                    t = texts[end].as_py() or ""
+                    if part and len(t) > PASS_CHARS:
+                        break
+                    part.append(t)
+                    size += len(t)
+                    end += 1
+                yield batch.slice(begin, end - begin).filter(pa.array(np.asarray(keep(part), dtype=bool)))
+                begin = end
+
+    return df.mapInArrow(run, df.schema)
+
+
 def bounded_sample(df: DataFrame, keys: list[str], rows: int, size_col: str | None = None, size: int = 0) -> DataFrame:
     """At most about ``rows`` rows (and about ``size`` of ``size_col``), chosen by a hash of ``keys``: the same at any partitioning.
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenpath.llm.common import texts_of
+from lumenpath.llm.common import keep_texts, texts_of
 
 SHINGLE, SIMILARITY, RADIUS, BLOCKS, FAMILIES, WIDTH = 5, 0.8, 11, 4, 4, 16
 #: The items are broadcast; a larger benchmark is worked off in parts of about so many bytes and items. An item takes some 10 KB of the index.
@@ -253,6 +253,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return found
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold an item; rows with a null id stay."""
-    return docs.join(contaminated(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti")
+def keep_clean(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id") -> DataFrame:
+    """The rows of ``docs`` that hold no item; every row is judged by its own text. Nulls and empty tables as in ``contaminated``."""
+    for part in benchmark_parts(benchmark, item_col, "text"):
+        items = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in part.where("text is not null").collect()])
+
+        def start(items=items, name=uuid.uuid4().hex):
+            index = index_of(name, items.value)
+            return lambda texts: [not index.matches(t) for t in texts]
+
+        docs = keep_texts(docs, start)
+    return docs

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenpath.llm.common import PASS_CHARS, bounded_sample, map_texts, texts_of
+from lumenpath.llm.common import PASS_CHARS, bounded_sample, keep_texts, map_texts, texts_of
 from lumenpath.session import ship
 
 FEATURES, ORDERS, SMOOTHING = 1 << 14, (1, 2, 3), 0.5
@@ -115,3 +115,16 @@ def identify(docs: DataFrame, train: Column | None = None, id_col: str = "doc_id
     return map_texts(texts_of(docs, id_col, text_col), "doc_id long, lang_pred string, score double", names, lambda texts: list(score(texts, *model.value)))
 
 
+def keep_known(docs: DataFrame, train: Column | None = None, sure: float = 0.5, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose language is known with a probability of ``sure`` or more; every row is judged by its own text."""
+    ship(docs.sparkSession)
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, train if train is not None else F.lit(True), text_col=text_col, lang_col=lang_col))
+
+    def start():
+        def keep(texts: list[str]) -> list[bool]:
+            said, p = score(texts, *model.value)
+            return [lang != UNKNOWN and q >= sure for lang, q in zip(said, p)]
+
+        return keep
+
+    return keep_texts(docs, start, text_col)

@@ -1,17 +1,22 @@
-"""Near copies by exact shingle similarity, with a prefix-filtered inverted index.
-
-In any one order of all shingles, two sets of similarity SIMILAR or more share a shingle among
-the first size - ceil(SIMILAR * size) + 1 of each; common shingles come last in the order used.
-A bucket holds the sets with one such shingle. First each bucket is compared with one of its
-sets only; then sets of a bucket that are not yet in one group are compared pair by pair. So
-every pair that can reach SIMILAR is verified or already connected, and a large group of near
-copies is not paired within itself.
+"""One document of each group of near copies: SimHash links first, then a complete search.
+
+Near copies are texts whose distinct word shingles have a Jaccard similarity of SIMILAR or
+more. At 0.8 their 64-bit SimHashes differ in 9.7 bits on average, and a trie that lets so
+many differ compares nearly everything with everything. So the trie self-join of
+``simhash_trie`` finds the closest pairs, at RADIUS bits, and a second search finds the rest:
+each text has BANDS keys, each over the ROWS shingles that are least under hashes of the
+band's own. Two texts of similarity s share a given key with probability s**ROWS, so a pair
+of 0.8 shares none of the BANDS keys once in eight million. Every pair from either search is
+verified on the whole shingle sets.
+
+A bucket (one key) is first compared with its least member only, so a large group of near
+copies is not paired within itself. Members that are then still in different groups are
+compared pair by pair, in the first band that a pair shares; where many are left, only those
+that share a second key of theirs are.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -19,97 +24,149 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenpath.llm.common import map_texts, texts_of
-from lumenpath.llm.simhash_trie import LOWER, SEED
+from lumenpath.llm.simhash_trie import majority, shingle_hashes, trie_links
 from lumenpath.operators.components import connected_components
+from lumenpath.operators.skew import lookup
 from lumenpath.session import broadcast_if_small, checkpoint
 
-WORDS, SIMILAR = 5, 0.8
-#: Only the order of shingles depends on these, not the result: one set in HOT_SHARE is counted, and a shingle of HOT or more of them is common.
-HOT_SHARE, HOT, HOT_MOST = 16, 4, 200_000
-#: Up to so many nodes with candidates are broadcast to pick their sets.
+WORDS, SIMILAR, RADIUS = 5, 0.8, 2
+BANDS, ROWS = 40, 5
+#: A bucket with more members in different groups is split by a second key.
+CROWD = 64
+#: Up to so many nodes with candidates (a few tens of MB) are broadcast to pick their texts.
 NEED = 500_000
+#: Shingles of a long text are hashed in parts of so many.
+PART = 4_096
+_SEEDS = np.random.default_rng(17).integers(0, 1 << 32, (2, BANDS * ROWS), dtype=np.uint32)
+_XOR, _TIMES = _SEEDS[0], _SEEDS[1] | np.uint32(1)
 
 
 def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes (int64) of the word shingles; a shorter text is one shingle, one without words has none."""
-    parts = text.encode().translate(LOWER).split()
-    n = max(1, len(parts) - words + 1) if parts else 0
-    return np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(parts[i : i + words]), SEED) for i in range(n)], dtype=np.uint64).view(np.int64))
+    return np.unique(np.array(shingle_hashes(text, words), dtype=np.uint64).view(np.int64))
+
 
+def band_keys(grams: np.ndarray) -> np.ndarray:
+    """One key (int64) for each band: the hash of the least values under the band's ROWS hashes, and of the band. None for an empty set."""
+    if not len(grams):
+        return np.zeros(0, dtype=np.int64)
+    low, least = grams.astype(np.uint32), np.full(BANDS * ROWS, np.uint32(0xFFFFFFFF))
+    for at in range(0, len(low), PART):
+        np.minimum(least, ((low[at : at + PART, None] ^ _XOR) * _TIMES).min(axis=0), out=least)
+    rows = least.reshape(BANDS, ROWS)
+    return np.array([xxhash.xxh64_intdigest(row.tobytes(), b) for b, row in enumerate(rows)], dtype=np.uint64).view(np.int64)
 
-def heads(sets: DataFrame, similar: float) -> DataFrame:
-    """``gram, node, size``: the shingles of each set by which it is found, and how many the set has."""
-    some = sets.where(F.pmod("node", F.lit(HOT_SHARE)) == 0).select("node", F.explode("grams").alias("gram")).distinct()
-    common = some.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HOT).orderBy(F.desc("n"), "gram").limit(HOT_MOST).collect()
-    common.sort()
-    hot = sets.sparkSession.sparkContext.broadcast((np.array([r["gram"] for r in common], dtype=np.int64), np.array([r["n"] for r in common] + [0], dtype=np.int64)))
 
-    def cut(batches):
-        (grams, counts), seen = hot.value, set()
+def described(docs: DataFrame, words: int) -> DataFrame:
+    """``key, node, fp, size, keys`` of every row: ``node`` tells the shingle set, ``fp`` is its SimHash, ``keys`` the band keys."""
+    key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("th"))
+
+    def run(batches):
         for batch in batches:
-            nodes, found, sizes = [], [], []
-            for node, row in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if node in seen:
-                    continue
-                seen.add(node)
-                own = row.values.to_numpy()
-                at = np.searchsorted(grams, own)
-                known = at < len(grams)
-                known[known] = grams[at[known]] == own[known]
-                first = np.lexsort((own, np.where(known, counts[at], 0)))[: len(own) - math.ceil(similar * len(own) - 1e-9) + 1]
-                nodes.append(np.full(len(first), node, dtype=np.int64))
-                found.append(own[first])
-                sizes.append(np.full(len(first), len(own), dtype=np.int64))
-            if nodes:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))], names=["gram", "node", "size"])
-
-    return sets.where(F.size("grams") > 0).select("node", "grams").mapInArrow(cut, "gram long, node long, size long")
-
-
-def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
-    """The pairs ``src, dst`` whose sets are similar enough."""
+            texts = batch.column(1)
+            for at in range(0, len(texts), 256):
+                hashes = [np.array(shingle_hashes(texts[i].as_py(), words), dtype=np.uint64) for i in range(at, min(at + 256, len(texts)))]
+                sets = [np.unique(h.view(np.int64)) for h in hashes]
+                sizes = np.array([len(h) for h in hashes], dtype=np.int64)
+                columns = {
+                    "key": batch.column(0).slice(at, len(hashes)),
+                    "node": pa.array([xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets], pa.int64()),
+                    "fp": pa.array(majority(np.concatenate(hashes), sizes).view(np.int64)),
+                    "size": pa.array([len(s) for s in sets], pa.int64()),
+                    "keys": pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())),
+                }
+                yield pa.RecordBatch.from_pydict(columns)
+
+    rows = texts_of(docs).select(key.alias("key"), "text")
+    return rows.mapInArrow(run, "key struct<doc_id: bigint, th: bigint>, node long, fp long, size long, keys array<long>")
+
+
+def sized(a: str, b: str, similar: float):
+    """Sets whose sizes differ too much cannot be similar enough."""
+    return F.least(a, b) >= F.greatest(a, b) * similar - 1e-9
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, similar: float) -> DataFrame:
+    """The ``pairs`` (``src, dst``) whose shingle sets are similar enough. Only texts of nodes with candidates are hashed again."""
     pairs = checkpoint(pairs)
     need = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    own = checkpoint(sets.join(broadcast_if_small(need, NEED), "node", "left_semi").groupBy("node").agg(F.any_value("grams").alias("grams")))
+    keys = nodes.join(broadcast_if_small(need, NEED), "node", "left_semi").select("node", F.col("key").alias("need_key"))
+    rows = texts_of(docs).withColumn("key", F.struct(F.col("doc_id"), F.xxhash64("text").alias("th")))
+    picked = rows.join(broadcast_if_small(checkpoint(keys), NEED), F.col("key") == F.col("need_key")).select(F.col("node").alias("doc_id"), "text")
+    sets = map_texts(picked, "doc_id long, grams array<long>", [("grams", pa.list_(pa.int64()))], lambda texts: [[shingle_set(t, words) for t in texts]])
+    own = checkpoint(sets.groupBy(F.col("doc_id").alias("node")).agg(F.any_value("grams").alias("grams")))
     both = pairs.join(own.select(F.col("node").alias("src"), F.col("grams").alias("a")), "src").join(own.select(F.col("node").alias("dst"), F.col("grams").alias("b")), "dst")
     common = F.size(F.array_intersect("a", "b"))
     return checkpoint(both.where(common >= (F.size("a") + F.size("b") - common) * similar - 1e-9).select("src", "dst"))
 
 
-def links(sets: DataFrame, similar: float) -> DataFrame:
+def placed(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with ``part``, the component of their node over ``links``."""
+    parts = connected_components(links).withColumnRenamed("component", "found")
+    return rows.join(parts, "node", "left").withColumn("part", F.coalesce("found", "node")).drop("found")
+
+
+def simhash_pairs(nodes: DataFrame, radius: int) -> DataFrame:
+    """Node pairs from the trie self-join: the least node of each fingerprint stands for it and is paired with its others."""
+    prints = checkpoint(nodes.groupBy("fp").agg(F.min("node").alias("head"), F.max("node").alias("last")))
+    linked = trie_links(prints.select("fp"), radius)
+    head = lambda name: prints.select(F.col("fp").alias(name), F.col("head").alias(f"{name}_head"))
+    between = linked.join(head("src"), "src").join(head("dst"), "dst").select(F.col("src_head").alias("src"), F.col("dst_head").alias("dst"))
+    shared = lookup(nodes.select("node", "fp"), prints.where("head <> last").select("fp", "head"), "fp")
+    return between.unionAll(shared.where("node <> head").select(F.col("head").alias("src"), F.col("node").alias("dst")))
+
+
+def members(bands: DataFrame) -> DataFrame:
+    """``key, node, size`` of every bucket with two nodes or more, and its least node ``hub``."""
+    buckets = bands.groupBy("key").agg(F.min(F.struct("node", "size")).alias("hub"), F.max("node").alias("last")).where("hub.node <> last").select("key", "hub")
+    return lookup(bands, buckets, "key")
+
+
+def pairs_between(rows: DataFrame, similar: float) -> DataFrame:
+    """Pairs of members of one bucket in different parts, each in the first key that both have."""
+    a, b = (rows.select(F.col("key"), F.col("node").alias(n), F.col("size").alias(f"{n}_size"), F.col("part").alias(f"{n}_part"), F.col("keys").alias(f"{n}_keys")) for n in ("src", "dst"))
+    met = a.join(b, "key").where((F.col("src") < F.col("dst")) & (F.col("src_part") != F.col("dst_part")) & sized("src_size", "dst_size", similar))
+    first = F.get(F.array_compact(F.transform("src_keys", lambda k, i: F.when(k == F.get("dst_keys", i), k))), F.lit(0))
+    return met.where(first == F.col("key")).select("src", "dst")
+
+
+def rest_pairs(rows: DataFrame, similar: float) -> DataFrame:
+    """Candidate pairs of ``rows(key, node, size, part, keys)`` whose members are in different parts of one bucket."""
+    bucket = Window.partitionBy("key")
+    mixed = checkpoint(rows.withColumn("low", F.min("part").over(bucket)).withColumn("high", F.max("part").over(bucket)).where("low <> high").withColumn("n", F.count(F.lit(1)).over(bucket)).drop("low", "high"))
+    few = pairs_between(mixed.where(F.col("n") <= CROWD), similar)
+    crowd = mixed.where(F.col("n") > CROWD).select("node", "size", "part", "keys", F.col("key").alias("one"), F.explode("keys").alias("two")).where("one < two")
+    split = crowd.withColumn("key", F.xxhash64("one", "two")).drop("one", "two")
+    a, b = (split.select("key", F.col("node").alias(n), F.col("size").alias(f"{n}_size"), F.col("part").alias(f"{n}_part")) for n in ("src", "dst"))
+    many = a.join(b, "key").where((F.col("src") < F.col("dst")) & (F.col("src_part") != F.col("dst_part")) & sized("src_size", "dst_size", similar)).select("src", "dst")
+    return few.unionAll(many).distinct()
+
+
+def links(nodes: DataFrame, docs: DataFrame, words: int, similar: float) -> DataFrame:
     """``src, dst`` nodes: verified links that connect what all pairs of at least ``similar`` connect."""
-    # One shuffle: copies that several tasks found are dropped in the bucket.
-    found = heads(sets, similar).repartition("gram").dropDuplicates(["gram", "node"])
-    bucket = Window.partitionBy("gram")
-    hub = F.min(F.struct("node", "size")).over(bucket)
-    shared = checkpoint(found.select("gram", "node", "size", hub.alias("hub"), F.max("node").over(bucket).alias("last")).where("hub.node <> last"))
-    # Sets whose sizes differ too much cannot be similar enough.
-    sized = lambda a, b: F.least(a, b) >= F.greatest(a, b) * similar - 1e-9
-    star = shared.where((F.col("node") != F.col("hub.node")) & sized(F.col("size"), F.col("hub.size")))
-    first = verified(star.select(F.col("hub.node").alias("src"), F.col("node").alias("dst")).distinct(), sets, similar)
-    parts = connected_components(first).withColumnRenamed("node", "placed")
-    placed = checkpoint(shared.join(parts, shared.node == parts.placed, "left").select("gram", "node", "size", F.coalesce("component", "node").alias("part")))
-    kinds = placed.select("gram", "part").distinct()
-    apart = kinds.select("gram", F.col("part").alias("p")).join(kinds.select("gram", F.col("part").alias("q")), "gram").where("p < q")
-    left, right = placed.select("gram", F.col("part").alias("p"), F.col("node").alias("src"), F.col("size").alias("m")), placed.select("gram", F.col("part").alias("q"), F.col("node").alias("dst"), F.col("size").alias("n"))
-    rest = apart.join(left, ["gram", "p"]).join(right, ["gram", "q"]).where(sized(F.col("m"), F.col("n"))).select("src", "dst").distinct()
-    return first.unionAll(verified(rest, sets, similar))
+    found = verified(simhash_pairs(nodes.where("size > 0"), RADIUS).distinct(), nodes, docs, words, similar)
+    bands = nodes.select("node", "size", F.explode("keys").alias("key"))
+    shared = checkpoint(members(bands))
+    apart = placed(shared, found).join(placed(shared.select(F.col("hub.node").alias("node")).distinct(), found).select(F.col("node").alias("hub_node"), F.col("part").alias("hub_part")), F.col("hub.node") == F.col("hub_node"))
+    stars = apart.where((F.col("part") != F.col("hub_part")) & sized("size", "hub.size", similar)).select(F.col("hub_node").alias("src"), F.col("node").alias("dst"))
+    found = checkpoint(found.unionAll(verified(stars.distinct(), nodes, docs, words, similar)))
+    rows = placed(shared.select("key", "node", "size"), found).join(nodes.select("node", "keys"), "node")
+    return found.unionAll(verified(rest_pairs(rows, similar), nodes, docs, words, similar))
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) -> DataFrame:
-    """``docs`` with one document of each group of near copies: the one with the smallest id.
+    """``docs`` with one document of each group of near copies: the one with the smallest id (nulls last).
 
     Documents are linked if the Jaccard similarity of their distinct shingles is at least
     ``similar``; groups are what links connect. Texts with equal shingles are one node, told
-    by a 64-bit hash; null and empty texts are one too. Rows with a null id cannot be told
-    apart and stay; of rows that repeat an id all stay.
+    by a 64-bit hash; null and empty texts are one node too. Rows are told apart by id and a
+    hash of the text: rows that share an id but not the text are judged each by its own text,
+    and of rows that repeat both one stays. An empty table stays empty; all columns are kept.
     """
-    said = map_texts(texts_of(docs), "doc_id long, grams array<long>", [("grams", pa.list_(pa.int64()))], lambda texts: [[shingle_set(t, words) for t in texts]])
-    sets = checkpoint(said.select("doc_id", F.xxhash64("grams").alias("node"), "grams"))
-    parts = connected_components(links(sets, similar)).withColumnRenamed("node", "placed")
-    prints = sets.select("doc_id", "node")
-    nodes = prints.groupBy("node").agg(F.min("doc_id").alias("first"))
-    named = checkpoint(nodes.join(parts, nodes.node == parts.placed, "left").select("node", "first", F.coalesce("component", "node").alias("part")))
-    names = named.groupBy("part").agg(F.min("first").alias("name"))
-    gone = prints.join(named.join(names, "part").select("node", "name"), "node").where("doc_id <> name").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    rows = checkpoint(described(docs, words))
+    best = F.struct(F.col("key.doc_id").isNull().alias("none"), F.col("key").alias("key"))
+    nodes = checkpoint(rows.groupBy("node").agg(F.min(best).alias("best"), F.any_value("fp").alias("fp"), F.max("size").alias("size"), F.any_value("keys").alias("keys")).select("node", "best", F.col("best.key").alias("key"), "fp", "size", "keys"))
+    groups = placed(nodes.select("node", "best"), links(nodes, docs, words, similar)).groupBy("part").agg(F.min("best").alias("best"))
+    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
+    marked = docs.withColumn("near_copy_key", key).dropDuplicates(["near_copy_key"])
+    return marked.join(groups.select(F.col("best.key").alias("near_copy_key")), "near_copy_key", "left_semi").drop("near_copy_key")

@@ -28,34 +28,38 @@ CUT_BITS, FINE_BITS, LEAF, BLOCK = 16, 4, 65_536, 200_000
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def fingerprints_of(texts: list[str], words: int = SHINGLE) -> np.ndarray:
-    """64-bit SimHash (uint64) of each text over its word shingles, repeats included."""
-    digest, hashes, sizes = xxhash.xxh64_intdigest, [], []
-    for text in texts:
-        parts = text.encode().translate(LOWER).split()
-        flat = b" ".join(parts)
-        if len(parts) <= words:
-            got = [digest(flat, SEED)] if parts else []
-        else:
-            ends, at = [], -1
-            for p in parts:
-                at += len(p) + 1
-                ends.append(at)
-            starts = [0, *[e + 1 for e in ends[:-words]]]
-            got = [digest(flat[s:e], SEED) for s, e in zip(starts, ends[words - 1 :])]
-        sizes.append(len(got))
-        hashes += got
-    out, sizes = np.zeros(len(texts), dtype=np.uint64), np.array(sizes, dtype=np.int64)
-    full = np.flatnonzero(sizes)
+def shingle_hashes(text: str, words: int = SHINGLE) -> list[int]:
+    """XXH64 of every word shingle of a text, repeats included; of the whole sequence if it has fewer words; none without words."""
+    digest, parts = xxhash.xxh64_intdigest, text.encode().translate(LOWER).split()
+    flat = b" ".join(parts)
+    if len(parts) <= words:
+        return [digest(flat, SEED)] if parts else []
+    ends, at = [], -1
+    for p in parts:
+        at += len(p) + 1
+        ends.append(at)
+    starts = [0, *[e + 1 for e in ends[:-words]]]
+    return [digest(flat[s:e], SEED) for s, e in zip(starts, ends[words - 1 :])]
+
+
+def majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The 64-bit SimHash of each run of ``sizes`` hashes; of an empty run, 0."""
+    out, full = np.zeros(len(sizes), dtype=np.uint64), np.flatnonzero(sizes)
     if len(full):
-        bits = np.unpackbits(np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
         ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
-        major = ones * 2 > sizes[full][:, None]
-        out[full] = np.packbits(major, axis=1, bitorder="little").view("<u8")[:, 0]
+        out[full] = np.packbits(ones * 2 > sizes[full][:, None], axis=1, bitorder="little").view("<u8")[:, 0]
     return out
 
 
+def fingerprints_of(texts: list[str], words: int = SHINGLE) -> np.ndarray:
+    """64-bit SimHash (uint64) of each text over its word shingles, repeats included."""
+    hashes = [shingle_hashes(t, words) for t in texts]
+    sizes = np.array([len(h) for h in hashes], dtype=np.int64)
+    return majority(np.array([x for h in hashes for x in h], dtype=np.uint64), sizes)
+
+
 def simhashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fp`` (long with the 64 bits) of every whole text; null and empty texts have 0."""
     return map_texts(texts_of(docs, id_col, text_col), "doc_id long, fp long", [("fp", pa.int64())], lambda texts: [fingerprints_of(texts).view(np.int64)])
@@ -237,11 +241,13 @@ def trie_links(fps: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> DataFr
     def join(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         fp, p = np.sort(group["fp"].to_numpy().view(np.uint64)), int(key[0])
         home = leaf_of(cut.value, fp)
-        own = fp[home == p]
-        found = traverse(own, None, radius)
-        for q in np.unique(home[home != p]):
-            found += traverse(own, fp[home == q], radius)
-        return pd.DataFrame(np.array(found, dtype=np.uint64).reshape(-1, 2).view(np.int64), columns=["src", "dst"])
+        own, forest = fp[home == p], Forest(len(fp))
+        for q in [p, *np.unique(home[home != p]).tolist()]:
+            found = np.array(traverse(own, None if q == p else fp[home == q], radius), dtype=np.uint64).reshape(-1, 2)
+            at = np.searchsorted(fp, found)
+            forest.link(at[:, 0], at[:, 1])
+        links = np.array([(forest.root(i), i) for i, up in enumerate(forest.up) if up != i], dtype=np.int64).reshape(-1, 2)
+        return pd.DataFrame(fp[links].view(np.int64), columns=["src", "dst"])
 
     dealt = fps.select("fp").mapInArrow(deal, "leaf long, fp long")
     return dealt.groupBy("leaf").applyInPandas(join, "src long, dst long")

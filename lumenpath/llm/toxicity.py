@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenpath.llm.common import PASS_CHARS, labelled_sample, map_texts, texts_of
+from lumenpath.llm.common import PASS_CHARS, keep_texts, labelled_sample, map_texts, texts_of
 from lumenpath.llm.word_hash import Words, mix, slices
 
 BITS = 22
@@ -150,3 +150,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Data
         return kernel
 
     return map_texts(texts_of(docs), "doc_id long, score double, predicted int", [("score", pa.float64()), ("predicted", pa.int32())], None, start)
+
+
+def keep_harmless(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` scored below ``threshold``; every row is judged by its own text."""
+    model = docs.sparkSession.sparkContext.broadcast(fit_labelled(docs, labels))
+
+    def start():
+        table = weights_of(model.value)
+        return lambda texts: score(texts, model.value, table) < threshold
+
+    return keep_texts(docs, start)
