@@ -1,7 +1,10 @@
 """Prerequisite order: peeling, cycle breaking and exact topological order.
 
-Trimming runs as Spark rounds over the edge table. What is left (the cyclic core) is
-finished on the driver only if it has at most CORE_EDGES edges; beyond that the rounds go on.
+An edge is dropped if and only if it is the weakest of some cycle: if its end leads back to
+its start over stronger edges. That rule names the same edges whatever the order of the work,
+so a graph may be cut into parts: the strong components of the stronger half of the edges
+decide which edges of the weaker half go, and both halves go on by themselves. Parts of at
+most CORE_EDGES edges are finished on the driver by the same rule; larger ones stay in Spark.
 """
 
 from __future__ import annotations
@@ -31,66 +34,144 @@ def is_acyclic(edges: DataFrame) -> bool:
     return cyclic_core(edges.select("src", "dst")).isEmpty()
 
 
-def _find_cycle(out: dict) -> list | None:
-    done: set = set()
-    for start in sorted(out):
-        if start in done:
+def break_cycles(edges: DataFrame) -> DataFrame:
+    """``edges(src, dst, strength)`` without those that are the weakest of some cycle; equal strengths are ordered by (src, dst).
+
+    Self-loops go. What is left has no cycle, and every edge that went lay on one. Of repeated
+    edges all go or stay; the least strength counts.
+    """
+    looped = edges.where("src = dst").select("src", "dst").distinct()
+    once = edges.where("src <> dst").groupBy("src", "dst").agg(F.min("strength").alias("strength"))
+    core = cyclic_core(once)
+    # Numbered along a global sort: ascending numbers are ascending strength.
+    ranked = checkpoint(core.orderBy("strength", "src", "dst").withColumn("rank", F.monotonically_increasing_id()))
+    gone = looped
+    for found in _weakest(ranked.select(F.col("src").alias("u"), F.col("dst").alias("v"), "rank", F.lit(True).alias("open"))):
+        gone = gone.unionAll(ranked.join(found, "rank", "left_semi").select("src", "dst"))
+    return edges.join(gone, ["src", "dst"], "left_anti")
+
+
+def _weakest(part: DataFrame) -> list[DataFrame]:
+    """Frames ``rank`` of the open edges of ``part(u, v, rank, open)`` that are the weakest of a cycle in it."""
+    spark, todo, out = part.sparkSession, [part], []
+    while todo:
+        part = checkpoint(todo.pop())
+        said = part.agg(F.count(F.lit(1)).alias("n"), F.count_if("open").alias("open"), F.min(F.when(F.col("open"), F.col("rank"))).alias("low"), F.percentile_approx(F.when(F.col("open"), F.col("rank")), 0.5).alias("mid")).first()
+        if not said["open"]:
             continue
-        path, on, stack = [], {}, [(start, iter(sorted(out[start])))]
-        on[start] = 0
-        path.append(start)
-        while stack:
-            node, kids = stack[-1]
-            for k in kids:
-                if k in on:
-                    loop = path[on[k] :] + [k]
-                    return list(zip(loop, loop[1:]))
-                if k not in done and k in out:
-                    on[k] = len(path)
-                    path.append(k)
-                    stack.append((k, iter(sorted(out[k]))))
-                    break
-            else:
-                stack.pop()
-                done.add(node)
-                on.pop(path.pop())
-    return None
+        if said["n"] <= CORE_EDGES:
+            rows = [(int(r["rank"]), r["u"], r["v"], r["open"]) for r in part.collect()]
+            out.append(spark.createDataFrame([(x,) for x in weakest_of_cycles(rows)], "rank long"))
+            continue
+        mid = said["low"] if said["open"] == 1 else max(said["mid"], said["low"] + 1)
+        strong = strong_components(part.where(F.col("rank") >= mid).select(F.col("u").alias("src"), F.col("v").alias("dst")))
+        named = part
+        for end in ("u", "v"):
+            named = named.join(strong.select(F.col("node").alias(end), F.col("part").alias(f"{end}_part")), end, "left").withColumn(f"{end}_part", F.coalesce(f"{end}_part", end))
+        named = checkpoint(named.withColumn("inside", F.col("u_part") == F.col("v_part")))
+        if said["open"] == 1:
+            out.append(named.where(F.col("open") & F.col("inside")).select("rank"))
+            continue
+        out.append(named.where((F.col("rank") < mid) & F.col("open") & F.col("inside")).select("rank"))
+        todo.append(named.where((F.col("rank") >= mid) & F.col("inside")).select("u", "v", "rank", "open"))
+        # Outside the components the stronger half only connects.
+        rest = named.where(~F.col("inside")).select(F.col("u_part").alias("u"), F.col("v_part").alias("v"), "rank", (F.col("open") & (F.col("rank") < mid)).alias("open"))
+        todo.append(rest)
+    return out
 
 
-def break_cycles(edges: DataFrame) -> DataFrame:
-    """``src, dst, strength`` without cycles: the weakest edge of a cycle (then the smallest) goes until none is left.
+def strong_components(edges: DataFrame) -> DataFrame:
+    """``node, part`` of the nodes of ``edges(src, dst)`` that lie on a cycle; ``part`` is one node of the strong component.
 
-    The core is peeled by Spark first. A core too large for the driver loses, in each round,
-    the weakest out-edge of every node that is a local minimum, and is peeled again.
+    Rounds of colouring: every node takes the largest node that leads to it; what leads to
+    the owner of a colour inside the colour is a strong component. Rounds grow with the
+    length of paths; what is left is finished on the driver at CORE_EDGES edges.
     """
-    removed = None
+    spark, out = edges.sparkSession, None
+    kind = f"node {dict(edges.dtypes)['src']}, part {dict(edges.dtypes)['src']}"
+    left = cyclic_core(edges.where("src <> dst").distinct())
     while True:
-        core = cyclic_core(edges.select("src", "dst", "strength") if removed is None else edges.join(removed, ["src", "dst"], "left_anti").select("src", "dst", "strength"))
-        n = core.count()
+        n = left.count()
         if n <= CORE_EDGES:
-            gone = _break_small([tuple(r) for r in core.select("src", "dst", "strength").collect()])
-            small = edges.sparkSession.createDataFrame(gone, edges.select("src", "dst").schema) if gone else None
-            break
-        weakest = core.groupBy("src").agg(F.min_by("dst", F.struct("strength", "dst")).alias("dst"), F.min("strength").alias("s"))
-        cut = checkpoint(weakest.orderBy("s", "src").limit(max(1, n // 1000)).select("src", "dst"))
-        removed = cut if removed is None else removed.unionAll(cut)
-    out = edges
-    for r in (removed, small):
-        if r is not None:
-            out = out.join(r, ["src", "dst"], "left_anti")
+            small = _tarjan([(r["src"], r["dst"]) for r in left.collect()])
+            rest = spark.createDataFrame(list(small.items()), kind)
+            return rest if out is None else out.unionAll(rest)
+        colour, moved = checkpoint(left.select(F.explode(F.array("src", "dst")).alias("node")).distinct().withColumn("colour", F.col("node"))), 1
+        while moved:
+            near = left.join(colour, left.src == colour.node).groupBy("dst").agg(F.max("colour").alias("near"))
+            after = checkpoint(colour.join(near, colour.node == near.dst, "left").select("node", F.col("colour").alias("old"), F.greatest("colour", "near").alias("colour")))
+            moved = after.where("colour <> old").count()
+            colour = after.select("node", "colour")
+        own = checkpoint(left.join(colour.select(F.col("node").alias("src"), F.col("colour").alias("a")), "src").join(colour.select(F.col("node").alias("dst"), F.col("colour").alias("b")), "dst").where("a = b").select("src", "dst", F.col("a").alias("colour")))
+        back = front = checkpoint(colour.where("node = colour"))
+        while not front.isEmpty():
+            found = own.join(front.select(F.col("node").alias("dst")), "dst", "left_semi").select(F.col("src").alias("node"), "colour").distinct()
+            front = checkpoint(found.join(back, "node", "left_anti"))
+            back = checkpoint(back.unionAll(front))
+        sized = back.groupBy("colour").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        parts = back.join(sized, "colour", "left_semi").select("node", F.col("colour").alias("part"))
+        out = parts if out is None else checkpoint(out.unionAll(parts))
+        left = own.join(back.select(F.col("node").alias("src")), "src", "left_anti").join(back.select(F.col("node").alias("dst")), "dst", "left_anti").select("src", "dst")
+        left = cyclic_core(left)
+
+
+def _tarjan(edges: list[tuple]) -> dict:
+    """Node -> one node of its strong component, for components of two nodes or more."""
+    kids = defaultdict(list)
+    for u, v in edges:
+        kids[u].append(v)
+    number, low, stack, on, out = {}, {}, [], set(), {}
+    for start in list(kids):
+        if start in number:
+            continue
+        number[start] = low[start] = len(number)
+        stack.append(start)
+        on.add(start)
+        path = [(start, iter(kids[start]))]
+        while path:
+            u, rest = path[-1]
+            v = next(rest, None)
+            if v is None:
+                path.pop()
+                if path:
+                    low[path[-1][0]] = min(low[path[-1][0]], low[u])
+                if low[u] == number[u]:
+                    at = stack.index(u) if stack[-1] != u else len(stack) - 1
+                    group = stack[at:]
+                    del stack[at:]
+                    on.difference_update(group)
+                    if len(group) > 1:
+                        out.update(dict.fromkeys(group, u))
+            elif v not in number:
+                number[v] = low[v] = len(number)
+                stack.append(v)
+                on.add(v)
+                path.append((v, iter(kids.get(v, ()))))
+            elif v in on:
+                low[u] = min(low[u], number[v])
     return out
 
 
-def _break_small(rows: list[tuple]) -> list[tuple]:
-    out, weight = defaultdict(set), {}
-    for s, d, w in rows:
-        out[s].add(d)
-        weight[s, d] = min(w, weight.get((s, d), w))
-    gone = []
-    while cycle := _find_cycle(out):
-        s, d = min(cycle, key=lambda e: (weight[e], e))
-        out[s].discard(d)
-        gone.append((s, d))
+def weakest_of_cycles(rows: list[tuple]) -> list[int]:
+    """Ranks of the open edges among ``(rank, u, v, open)`` that are the weakest of a cycle: the rule of ``_weakest``, in memory."""
+    todo, gone = [sorted(rows, key=lambda r: r[0])], []
+    while todo:
+        part = todo.pop()
+        free = [r[0] for r in part if r[3]]
+        if not free:
+            continue
+        mid = free[len(free) // 2]
+        strong = _tarjan([(u, v) for rank, u, v, _ in part if rank >= mid])
+        inside, rest = [], []
+        for rank, u, v, is_open in part:
+            a, b = strong.get(u, u), strong.get(v, v)
+            if a != b:
+                rest.append((rank, a, b, is_open and rank < mid))
+            elif rank < mid or len(free) == 1:
+                gone += [rank] if is_open else []
+            else:
+                inside.append((rank, u, v, is_open))
+        todo += [inside, rest] if len(free) > 1 else []
     return gone
 
 
