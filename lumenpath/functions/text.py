@@ -93,9 +93,11 @@ def html_text(c: Column, entities: bool = True) -> Column:
 
 def trigrams(c: Column) -> Column:
     """Distinct trigrams of a name key padded by two spaces on each side; none for an empty key."""
-    # The padded key is bound to a lambda variable, so that it is computed once and not for each trigram.
+    # Values are bound to lambda variables, so that they are computed once and not for each
+    # trigram; characters are an array, since a substring by position reads from the start.
     keys = F.transform(F.array(name_key(c)), lambda k: F.when(k == "", "").otherwise(F.concat(F.lit("  "), k, F.lit("  "))))
-    grams = F.transform(keys, lambda s: F.when(s != "", F.transform(F.sequence(F.lit(1), F.length(s) - 2), lambda i: F.substring(s, i, F.lit(3)))))
+    chars = F.transform(keys, lambda s: F.array_remove(F.split(s, ""), ""))
+    grams = F.transform(chars, lambda cs: F.array_compact(F.transform(cs, lambda x, i: F.concat(x, F.get(cs, i + 1), F.get(cs, i + 2)))))
     return F.array_distinct(F.coalesce(F.get(grams, F.lit(0)), F.array().cast("array<string>")))
 
 

@@ -5,17 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenpath.session import checkpoint
+
 # Fixed values.
 LINK_ORDER = {"prerequisite": 0, "part_of": 1, "applies_to": 2, "contrasts_with": 3, "related": 4}
 SYMMETRIC = ["contrasts_with", "related"]
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """The first row of each key by ``order``. Equal rows are interchangeable."""
+    """The first row of each key by ``order``. Equal rows are interchangeable.
+
+    Ascending column names are an aggregate, combined before the shuffle; other orders take a window.
+    """
+    if all(isinstance(o, str) for o in order):
+        first = df.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in df.columns if c not in keys]), F.struct(*order)).alias("_row"))
+        return first.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
+def by_rank(links: DataFrame) -> DataFrame:
+    """Links in the order of an export: rank of the type, then source, then destination."""
+    rank = F.create_map(*[F.lit(x) for kv in LINK_ORDER.items() for x in kv])
+    return links.orderBy(F.element_at(rank, F.col("type")).asc_nulls_last(), "src", "dst")
+
+
 def first_mode(df: DataFrame, key: str, value: str, ord_col: str, out: str) -> DataFrame:
     """Most common value per key; of equally common ones the value met first."""
     counts = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"), F.min(ord_col).alias("_o"))
@@ -44,12 +58,26 @@ def valid_links(links: DataFrame) -> DataFrame:
     return links.where((F.coalesce("src", F.lit("")) != "") & (F.coalesce("dst", F.lit("")) != "") & (F.col("src") != F.col("dst")) & F.col("type").isin(list(LINK_ORDER)))
 
 
+def settle_aliases(aliases: DataFrame) -> DataFrame:
+    """``alias, canonical`` with chains followed to their end, by pointer doubling; aliases on a cycle are left out."""
+    left = aliases.where("alias <> canonical").groupBy("alias").agg(F.min("canonical").alias("canonical"))
+    left, n = checkpoint(left), -1
+    for _ in range(64):
+        step = left.select(F.col("alias").alias("_a"), F.col("canonical").alias("_c"))
+        after = checkpoint(left.join(step, left.canonical == step["_a"], "left").select("alias", F.coalesce("_c", "canonical").alias("canonical"), F.col("_c").isNotNull().alias("more")))
+        n, left = after.where("more").count(), after.select("alias", "canonical")
+        if not n:
+            return left
+    return left.join(left.select(F.col("alias").alias("_a")), F.col("canonical") == F.col("_a"), "left_anti")
+
+
 def canonical_links(links: DataFrame, nodes: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """Resolve aliases ``(alias, canonical)``, drop unknown ends and self-loops, sort the ends of symmetric types."""
     out = links
     if aliases is not None:
+        settled = settle_aliases(aliases)
         for end in ("src", "dst"):
-            a = aliases.select(F.col("alias").alias("_a"), F.col("canonical").alias("_c"))
+            a = settled.select(F.col("alias").alias("_a"), F.col("canonical").alias("_c"))
             out = out.join(a, out[end] == a["_a"], "left").withColumn(end, F.coalesce("_c", end)).drop("_a", "_c")
     for end in ("src", "dst"):
         out = out.join(nodes.select(F.col("slug").alias(end)).distinct(), end, "left_semi")

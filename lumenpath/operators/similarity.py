@@ -2,57 +2,108 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenpath.functions import text as T
-from lumenpath.session import broadcast_if_small
+from lumenpath.session import checkpoint
 
-ANCHOR = 3
+ANCHOR, GRAM = 3, 4
+#: Up to so many quotes are looked up in every text at once; more are joined by key.
+MOST_KEYS = 20_000
+# Cutoffs, and the most concepts that a shared word or domain may have.
+MOST_BY_WORD, MOST_BY_DOMAIN = 60, 80
 NAME_CUTOFF, TRIGRAM_CUTOFF = 0.86, 0.62
 
 
-def verbatim_pairs(docs: DataFrame, quotes: DataFrame, doc_id: str, doc_text: str, quote_id: str, quote_text: str, max_broadcast: int = 200_000) -> DataFrame:
+def verbatim_pairs(docs: DataFrame, quotes: DataFrame, doc_id: str, doc_text: str, quote_id: str, quote_text: str, max_broadcast: int = 64 << 20) -> DataFrame:
     """Pairs whose folded quote stands in the folded text.
 
     A quote can begin and end inside a word, so its inner words stand whole in the text: the
-    first ANCHOR inner words are an equi-join key that finds candidates, and ``contains``
-    verifies them. Quotes of fewer than ANCHOR + 2 words have no such key and are compared
-    with every text. Quotes that fold to nothing match nothing.
+    first ANCHOR inner words (or the one, of a quote of three or four words) are an equi-join
+    key that finds candidates, and ``contains`` verifies them. Quotes of one or two words have
+    a key of their first GRAM characters instead, looked up among the text's runs of so many.
+    Only quotes shorter still are compared with every text. Quotes that fold to nothing match
+    nothing. Quotes are broadcast only
+    up to MOST_KEYS of them and ``max_broadcast`` bytes.
     """
     d = docs.select(F.col(doc_id).alias("did"), T.fold(F.col(doc_text)).alias("body"))
-    q = quotes.select(F.col(quote_id).alias("qid"), T.fold(F.col(quote_text)).alias("quote")).where("quote <> ''")
+    q = checkpoint(quotes.select(F.col(quote_id).alias("qid"), T.fold(F.col(quote_text)).alias("quote")).where("quote <> ''"))
     qw = F.split("quote", " ")
-    long = q.where(F.size(qw) >= ANCHOR + 2).select("qid", "quote", F.xxhash64(*[F.get(qw, F.lit(i)) for i in range(1, ANCHOR + 1)]).alias("key"))
+    size, word = F.size(qw), lambda i: F.get(qw, F.lit(i))
+    triple, single, gram = F.xxhash64(*[word(i) for i in range(1, ANCHOR + 1)]), F.xxhash64(F.lit("word"), word(1)), F.xxhash64(F.lit("gram"), F.substring("quote", 1, GRAM))
+    kind = F.when(size >= ANCHOR + 2, triple).when(size >= 3, single).when(F.length("quote") >= GRAM, gram)
+    keyed = checkpoint(q.select("qid", "quote", kind.alias("key"), F.when(size >= ANCHOR + 2, 3).when(size >= 3, 2).when(F.length("quote") >= GRAM, 1).otherwise(0).alias("way")))
+    ways = {r["way"] for r in keyed.select("way").distinct().collect()}
     words = F.split("body", " ")
-    keys = F.get(F.transform(F.array(words), lambda w: F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))), F.lit(0))
-    spots = d.select("did", F.explode(F.array_distinct(keys)).alias("key"))
-    cand = spots.join(broadcast_if_small(long, max_broadcast), "key").select("did", "qid").distinct()
-    found = cand.join(d, "did").join(broadcast_if_small(q, max_broadcast), "qid").where(F.contains("body", "quote")).select("did", "qid")
-    short = q.where(F.size(qw) < ANCHOR + 2)
-    if not short.isEmpty():
-        found = found.unionAll(d.join(short, F.contains("body", "quote")).select("did", "qid"))
+    keys = []
+    if 3 in ways:
+        keys.append(F.get(F.transform(F.array(words), lambda w: F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))), F.lit(0)))
+    if 2 in ways:
+        keys.append(F.transform(words, lambda x: F.xxhash64(F.lit("word"), x)))
+    if 1 in ways:
+        keys.append(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("body") - GRAM + 1)), lambda i: F.xxhash64(F.lit("gram"), F.substring("body", i, F.lit(GRAM)))))
+    out = []
+    if keys:
+        known = keyed.where("way > 0")
+        said = known.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("quote") + 32), F.lit(0)).alias("size")).first()
+        if said["n"] <= MOST_KEYS and said["size"] <= max_broadcast:
+            # The quotes come to the text, which is folded once and verified where it lies.
+            every = known.agg(F.collect_set("key").alias("every"))
+            hits = d.join(F.broadcast(every)).select("did", "body", F.explode(F.array_intersect(F.concat(*keys), "every")).alias("key"))
+            out.append(hits.join(F.broadcast(known), "key").where(F.contains("body", "quote")).select("did", "qid").distinct())
+        else:
+            spots = d.select("did", F.explode(F.array_distinct(F.concat(*keys))).alias("key"))
+            cand = spots.join(known.select("qid", "key"), "key").select("did", "qid").distinct()
+            out.append(cand.join(d, "did").join(known.select("qid", "quote"), "qid").where(F.contains("body", "quote")).select("did", "qid").distinct())
+    if 0 in ways:
+        # Fewer characters than GRAM: at most 37 ** GRAM different quotes, whatever their rows.
+        tiny = keyed.where("way = 0")
+        hits = d.join(F.broadcast(tiny.select("quote").distinct()), F.contains("body", "quote")).select("did", "quote")
+        out.append(hits.join(tiny.select("qid", "quote"), "quote").select("did", "qid").distinct())
+    found = out[0] if out else d.join(q, F.lit(False)).select("did", "qid")
+    for more in out[1:]:
+        found = found.unionAll(more)
     return found.select(F.col("did").alias(doc_id), F.col("qid").alias(quote_id))
 
 
 def trigram_pairs(items: DataFrame, item: str, text: str, block: str | None = None, cutoff: float = TRIGRAM_CUTOFF) -> DataFrame:
     """``a, b, score`` of items (a < b, distinct ids) whose trigram Jaccard reaches the cutoff, by an inverted index.
 
-    Prefix filter: sorted by rarity, two sets that reach the cutoff share a trigram among
-    their first size - ceil(cutoff * size) + 1, so only those are joined; exact counts follow.
+    Items with equal sets in a block are one class, compared once. Prefix filter: sorted by
+    rarity, two sets that reach the cutoff share a trigram among their first
+    size - ceil(cutoff * size) + 1, so only those are joined, and only where the sizes and the
+    places of the shared trigram leave room for enough in common; exact counts follow.
     """
-    rows = items.select(F.col(item).alias("id"), (F.col(block) if block else F.lit("")).alias("block"), T.trigrams(F.col(text)).alias("grams")).where(F.size("grams") > 0)
-    flat = rows.select("id", "block", F.explode("grams").alias("g"))
+    rows = items.select(F.col(item).alias("id"), (F.col(block) if block else F.lit("")).alias("block"), F.array_sort(T.trigrams(F.col(text))).alias("grams")).where(F.size("grams") > 0)
+    rows = checkpoint(rows.withColumn("set", F.xxhash64("grams")))
+    sets = checkpoint(rows.groupBy("block", "set").agg(F.any_value("grams").alias("grams"), F.size(F.any_value("grams")).alias("size")))
+    flat = sets.select("block", "set", "size", F.explode("grams").alias("g"))
     freq = flat.groupBy("block", "g").agg(F.count(F.lit(1)).alias("n"))
-    ranked = flat.join(freq, ["block", "g"]).groupBy("id", "block").agg(F.array_sort(F.collect_list(F.struct("n", "g"))).alias("s"))
-    keep = F.size("s") - F.ceil(F.lit(cutoff) * F.size("s")).cast("int") + 1
-    heads = ranked.select("id", "block", F.transform("s", lambda x: x["g"]).alias("grams"), F.explode(F.slice("s", F.lit(1), keep)).alias("h")).select("id", "block", F.col("h.g").alias("g"))
-    left, right = heads.select(F.col("id").alias("a"), "block", "g"), heads.select(F.col("id").alias("b"), "block", "g")
-    pairs = left.join(right, ["block", "g"]).where("a < b").select("a", "b").distinct()
-    sets = rows.select("id", "grams")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
-    common = F.size(F.array_intersect("ga", "gb"))
-    return both.select("a", "b", (common / (F.size("ga") + F.size("gb") - common)).alias("score")).where(F.col("score") >= cutoff)
+    rank = Window.partitionBy("block", "set").orderBy("n", "g")
+    ranked = flat.join(freq, ["block", "g"]).where("n > 1").select("block", "set", "size", "g", "n")
+    # Trigrams of one set only come first in its order but can be shared with no other.
+    alone = flat.join(freq, ["block", "g"]).where("n = 1").groupBy("block", "set").agg(F.count(F.lit(1)).alias("alone"))
+    placed = ranked.withColumn("at", F.row_number().over(rank)).join(alone, ["block", "set"], "left").withColumn("at", F.col("at") + F.coalesce("alone", F.lit(0)))
+    heads = checkpoint(placed.where(F.col("at") <= F.col("size") - F.ceil(F.lit(cutoff) * F.col("size") - 1e-9) + 1).select("block", "g", "set", "size", "at"))
+    a, b = (heads.select("block", "g", *[F.col(c).alias(n + c) for c in ("set", "size", "at")]) for n in ("a", "b"))
+    room = 1 + F.least(F.col("asize") - F.col("aat"), F.col("bsize") - F.col("bat"))
+    fit = (F.least("asize", "bsize") >= cutoff * F.greatest("asize", "bsize") - 1e-9) & (room >= cutoff / (1 + cutoff) * (F.col("asize") + F.col("bsize")) - 1e-9)
+    pairs = a.join(b, ["block", "g"]).where((F.col("aset") < F.col("bset")) & fit).select("block", "aset", "bset").distinct()
+    side = lambda n: sets.select("block", F.col("set").alias(n + "set"), F.col("grams").alias(n + "grams"))
+    both = pairs.join(side("a"), ["block", "aset"]).join(side("b"), ["block", "bset"])
+    common = F.size(F.array_intersect("agrams", "bgrams"))
+    near = both.select("block", "aset", "bset", (common / (F.size("agrams") + F.size("bgrams") - common)).alias("score")).where(F.col("score") >= cutoff)
+    ids = rows.select("block", "set", "id")
+    first, second = ids.withColumnsRenamed({"set": "aset", "id": "x"}), ids.withColumnsRenamed({"set": "bset", "id": "y"})
+    across = near.join(first, ["block", "aset"]).join(second, ["block", "bset"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "score")
+    same = ids.select("block", "set", F.col("id").alias("a")).join(ids.select("block", "set", F.col("id").alias("b")), ["block", "set"]).where("a < b").select("a", "b", F.lit(1.0).alias("score"))
+    return across.unionAll(same)
+
+
+def within_reach(a: str, b: str, cutoff: float) -> Column:
+    """Whether two names are of lengths that let their ratio, at most 2 * shorter / (a + b), reach the cutoff."""
+    return 2 * F.least(F.length(a), F.length(b)) >= cutoff * (F.length(a) + F.length(b)) - 1e-9
 
 
 def name_pairs(names: DataFrame, name: str, cutoff: float = NAME_CUTOFF) -> DataFrame:
@@ -60,25 +111,35 @@ def name_pairs(names: DataFrame, name: str, cutoff: float = NAME_CUTOFF) -> Data
     keyed = names.select(F.col(name).alias("name")).distinct().select("name", T.name_key(F.col("name")).alias("k")).where("k <> ''")
     words = keyed.select("name", "k", F.explode(F.array_distinct(F.filter(F.split("k", " "), lambda w: F.length(w) > 3))).alias("w"))
     a, b = words.select(F.col("name").alias("a"), F.col("k").alias("ka"), "w"), words.select(F.col("name").alias("b"), F.col("k").alias("kb"), "w")
-    pairs = a.join(b, "w").where("a < b").select("a", "b", "ka", "kb").distinct()
+    pairs = a.join(b, "w").where((F.col("a") < F.col("b")) & within_reach("ka", "kb", cutoff)).select("a", "b", "ka", "kb").distinct()
     return pairs.select("a", "b", T.name_ratio(F.col("ka"), F.col("kb")).alias("score")).where(F.col("score") >= cutoff)
 
 
-def merge_candidates(concepts: DataFrame, cutoff: float = NAME_CUTOFF, jaccard: float = TRIGRAM_CUTOFF, limit: int = 600) -> DataFrame:
-    """``a, b, score, reason`` of concepts ``slug, name, definition, aliases`` that may be the same.
+def merge_candidates(concepts: DataFrame, cutoff: float = NAME_CUTOFF, jaccard: float = TRIGRAM_CUTOFF, limit: int = 600, most_by_word: int | None = MOST_BY_WORD, most_by_domain: int | None = MOST_BY_DOMAIN) -> DataFrame:
+    """``a, b, score, reason`` of concepts ``slug, name, definition, aliases`` (and ``domain``) that may be the same.
 
-    The first rule that holds decides: alias match (1.0), name ratio, overlap of definitions.
-    Both definitions must have words. The ``limit`` best are returned, ties by slug.
+    Compared are concepts that share a word of over three letters of name or aliases, or the
+    domain; a word of more than ``most_by_word`` concepts and a domain of more than
+    ``most_by_domain`` tell too little and are no block (None: no limit). The first rule that
+    holds decides: alias match (1.0), name ratio, overlap of definitions. Both definitions
+    must have words. The ``limit`` best are returned, ties by slug.
     """
-    c = concepts.select("slug", T.name_key(F.col("name")).alias("k0"), T.name_key(F.substring("definition", 1, 400)).alias("d"), F.transform(F.coalesce("aliases", F.array().cast("array<string>")), lambda x: T.name_key(x)).alias("al"))
-    c = c.withColumn("k", F.when(F.col("k0") == "", F.replace("slug", F.lit("-"), F.lit(" "))).otherwise(F.col("k0")))
-    blocks = c.select("slug", F.explode(F.array_distinct(F.filter(F.split(F.array_join(F.array_append("al", F.col("k")), " "), " "), lambda w: F.length(w) > 3))).alias("w"))
+    domain = F.coalesce(F.nullif("domain", F.lit("")), F.lit("?")) if "domain" in concepts.columns else F.lit(None).cast("string")
+    c = concepts.select("slug", T.name_key(F.col("name")).alias("k0"), T.name_key(F.substring("definition", 1, 400)).alias("d"), F.transform(F.coalesce("aliases", F.array().cast("array<string>")), lambda x: T.name_key(x)).alias("al"), domain.alias("domain"))
+    c = checkpoint(c.withColumn("k", F.when(F.col("k0") == "", F.replace("slug", F.lit("-"), F.lit(" "))).otherwise(F.col("k0"))).drop("k0"))
+    words = c.select("slug", F.explode(F.array_distinct(F.filter(F.split(F.array_join(F.array_append("al", F.col("k")), " "), " "), lambda w: F.length(w) > 3))).alias("w"))
+    bounded = lambda df, most: df if most is None else df.join(df.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= most).select("w"), "w", "left_semi")
+    blocks = bounded(words, most_by_word).select("slug", F.concat(F.lit("w "), "w").alias("w"))
+    blocks = checkpoint(blocks.unionAll(bounded(c.where("domain is not null").select("slug", F.col("domain").alias("w")), most_by_domain).select("slug", F.concat(F.lit("d "), "w"))))
     pairs = blocks.select(F.col("slug").alias("a"), "w").join(blocks.select(F.col("slug").alias("b"), "w"), "w").where("a < b").select("a", "b").distinct()
     both = pairs.join(c.select(F.col("slug").alias("a"), F.col("k").alias("ka"), F.col("d").alias("da"), F.col("al").alias("ala")), "a").join(c.select(F.col("slug").alias("b"), F.col("k").alias("kb"), F.col("d").alias("db"), F.col("al").alias("alb")), "b")
     ga, gb = T.trigrams(F.col("da")), T.trigrams(F.col("db"))
     common = F.size(F.array_intersect(ga, gb))
     jac = F.when((F.col("da") != "") & (F.col("db") != ""), common / (F.size(ga) + F.size(gb) - common)).otherwise(0.0)
-    scored = both.withColumns({"ratio": T.name_ratio(F.col("ka"), F.col("kb")), "jac": jac, "alias": F.array_contains("ala", F.col("kb")) | F.array_contains("alb", F.col("ka"))})
+    judged = checkpoint(both.select("a", "b", "ka", "kb", jac.alias("jac"), (F.array_contains("ala", F.col("kb")) | F.array_contains("alb", F.col("ka"))).alias("alias")))
+    # Only names whose lengths allow the cutoff go to Python.
+    near = judged.where(~F.col("alias") & within_reach("ka", "kb", cutoff)).withColumn("ratio", T.name_ratio(F.col("ka"), F.col("kb")))
+    scored = near.unionByName(judged.where(F.col("alias") | ~within_reach("ka", "kb", cutoff)).withColumn("ratio", F.lit(0.0)))
     score = F.when(F.col("alias"), 1.0).when(F.col("ratio") >= cutoff, F.col("ratio")).when(F.col("jac") >= jaccard, F.col("jac"))
     reason = F.when(F.col("alias"), "alias match").when(F.col("ratio") >= cutoff, "name similarity").otherwise("definition overlap")
     return scored.select("a", "b", score.alias("score"), reason.alias("reason")).where("score is not null").orderBy(F.desc("score"), "a", "b").limit(limit)

@@ -32,27 +32,38 @@ def slice_rows(df: DataFrame, key: str, order: list[str], size: int, out: str =
     return df.withColumn(out, F.floor((F.row_number().over(w) - 1) / size).cast("int"))
 
 
+#: So many units are packed in one task; more are dealt to groups by hash, each with batches of its own.
+PACK_UNITS = 100_000
+
+
 def balanced_batches(units: DataFrame, unit: str, chars: str, target: int) -> DataFrame:
     """``unit, batch``: largest first, each into the emptiest batch so far (lowest number on ties).
 
-    There are max(1, total // max(1, target) + 1) batches. The rule is sequential over the
-    units (courses' lessons, after grouping), so it runs in one task over (unit, size) pairs only.
+    There are max(1, total // max(1, target) + 1) batches. The rule is sequential, so it is
+    applied to groups of about PACK_UNITS (unit, size) pairs, one task each; up to so many
+    units are one group. Batches are numbered through the groups.
     """
+    kind = dict(units.dtypes)[unit]
+    rows = units.select(F.col(unit).alias("unit"), F.col(chars).cast("long").alias("size"))
+    groups = units.count() // PACK_UNITS + 1
+    rows = rows.withColumn("group", F.pmod(F.xxhash64("unit"), F.lit(groups)))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         import heapq
 
-        pdf = pdf.sort_values([chars, unit], ascending=[False, True], kind="stable")
-        n = max(1, int(pdf[chars].sum()) // max(1, target) + 1)
-        heap, batch = [(0, i) for i in range(n)], []
-        for size in pdf[chars]:
+        pdf = pdf.sort_values(["size", "unit"], ascending=[False, True], kind="stable")
+        heap, batch = [(0, i) for i in range(int(pdf["size"].sum()) // max(1, target) + 1)], []
+        for size in pdf["size"]:
             load, i = heapq.heappop(heap)
             batch.append(i)
             heapq.heappush(heap, (load + int(size), i))
-        return pd.DataFrame({unit: pdf[unit], "batch": batch})
+        return pdf[["unit", "group"]].assign(batch=batch)
 
-    kind = dict(units.dtypes)[unit]
-    return units.select(unit, F.col(chars).cast("long").alias(chars)).withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(pack, f"{unit} {kind}, batch int")
+    packed = rows.groupBy("group").applyInPandas(pack, f"unit {kind}, group long, batch int")
+    # One row a group.
+    n = rows.groupBy("group").agg((F.floor(F.sum("size") / max(1, target)) + 1).alias("n"))
+    first = n.select("group", F.coalesce(F.sum("n").over(Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
+    return packed.join(F.broadcast(first), "group").select(F.col("unit").alias(unit), (F.col("first") + F.col("batch")).cast("int").alias("batch"))
 
 
 def bundle_text(files: DataFrame, unit: str, name: str, text: str, order: str) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from lumenpath.functions import text as T
 from lumenpath.operators import dag, graph, lessons, similarity, windows
 from lumenpath.operators.components import connected_components
-from lumenpath.plans import planner, quality
-from lumenpath.session import ship, table
+from lumenpath.plans import planner, quality, stages, usage
+from lumenpath.session import checkpoint, ship, table
+from lumenpath.sources import adapters, sinks
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -113,6 +114,21 @@ def classify_pages(spark, d):
     return table(spark, d, "pages").select("page_id", out.alias("kind"))
 
 
+_PATH = "regexp_replace(url, '^[A-Za-z]+://', '')"
+_NUM = "CAST(nullif(regexp_extract(path, '(?i){0}', 1), '') AS INTEGER)"
+
+
+@query(
+    f"WITH p AS (SELECT page_id, {_PATH} AS path FROM pages WHERE url IS NOT NULL), n AS (SELECT *, string_split(path, '/')[1] AS course, string_split(path, '/')[-1] AS file FROM p) SELECT page_id, course AS course_code, "
+    + f"coalesce({_NUM.format('(?:module|модуль)[-_ ]?([0-9]+)')}, 0) AS module_ordinal, coalesce({_NUM.format('(?:unit|lesson|тема|заняття)[-_ ]?([0-9]+)')}, 0) AS unit_ordinal, "
+    + "CASE " + " ".join(f"WHEN regexp_matches(lower(file), '{p}') THEN '{k}'" for p, k in adapters.BILINGUAL_KINDS) + " ELSE 'reading' END AS asset_kind FROM n"
+)
+def classify_paths(spark, d):
+    """The bilingual adapter's rules on the paths of all pages."""
+    said = adapters.get_adapter("kse")(F.regexp_replace("url", "^[A-Za-z]+://", ""))
+    return table(spark, d, "pages").where("url is not null").select("page_id", *[said[c].alias(c) for c in ("course_code", "module_ordinal", "unit_ordinal", "asset_kind")])
+
+
 @query("SELECT p_partkey, CASE " + " ".join(f"WHEN regexp_matches(lower(p_name), '{p}') THEN '{k}'" for p, k in T.KIND_HINTS) + " ELSE 'definition' END AS kind FROM part")
 def guess_kind_parts(spark, d):
     return table(spark, d, "part").select("p_partkey", T.guess_kind(F.col("p_name")).alias("kind"))
@@ -131,8 +147,8 @@ def sql_literals(spark, d):
     "SELECT source, count(*) AS n_files, CAST(sum(n) AS BIGINT) AS chars FROM c GROUP BY source"
 )
 def bundle_units(spark, d):
-    kept = table(spark, d, "documents").select("source", F.char_length("text").alias("n")).where("n >= 200")
-    return kept.groupBy("source").agg(F.count(F.lit(1)).alias("n_files"), F.sum("n").alias("chars"))
+    kept = table(spark, d, "documents").where(F.char_length("text") >= 200).select("source", F.col("doc_id").cast("string").alias("name"), "text", F.col("doc_id").alias("ord"))
+    return windows.bundle_text(kept, "source", "name", "text", "ord").select("source", "n_files", "chars")
 
 
 @query()
@@ -143,9 +159,7 @@ def batch_lpt(spark, d):
 
 @query("WITH k AS (SELECT *, bool_or(source <> 'src0') OVER () AS others FROM documents) SELECT doc_id, source FROM k WHERE source <> 'src0' OR NOT others")
 def skip_unless_all(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "source")
-    rest = docs.where("source <> 'src0'")
-    return docs if rest.isEmpty() else rest
+    return stages.skip_groups(table(spark, d, "documents").select("doc_id", "source"), "source", ["src0"])
 
 
 # Evidence and similarity
@@ -163,7 +177,7 @@ def verbatim_pairs(spark, d):
 )
 def verbatim_rate(spark, d):
     hits = verbatim_pairs(spark, d).select("item_id").distinct().withColumn("hit", F.lit(1))
-    b = table(spark, d, "benchmark").select("item_id").join(F.broadcast(hits), "item_id", "left")
+    b = table(spark, d, "benchmark").select("item_id").join(hits, "item_id", "left")
     return b.agg(F.count(F.lit(1)).alias("quotes"), F.count("hit").alias("verified")).select("quotes", "verified", F.bround(F.coalesce(F.try_divide("verified", "quotes"), F.lit(0.0)), 4).alias("rate"))
 
 
@@ -179,14 +193,15 @@ def similar_names_trigram(spark, d):
 
 
 @query(
-    f"WITH n AS (SELECT doc_id AS id, source, {KEY.format('substring(' + FOLD.format('text') + ', 1, 400)')} AS k FROM documents), "
+    f"WITH n AS (SELECT doc_id AS id, source, {KEY.format(FOLD.format('text'))} AS k FROM documents), "
     "p AS (SELECT id, source, '  ' || k || '  ' AS s FROM n WHERE k <> ''), g AS (SELECT DISTINCT id, source, substring(s, i, 3) AS g FROM (SELECT id, source, s, unnest(range(1, length(s) - 1)) AS i FROM p)), "
     "c AS (SELECT id, count(*) AS n FROM g GROUP BY id), j AS (SELECT x.id AS a, y.id AS b, count(*) AS i FROM g x JOIN g y ON x.source = y.source AND x.g = y.g AND x.id < y.id GROUP BY 1, 2) "
-    "SELECT a, b, i / (ca.n + cb.n - i) AS score FROM j JOIN c ca ON ca.id = a JOIN c cb ON cb.id = b WHERE i / (ca.n + cb.n - i) >= 0.62"
+    "SELECT a, b, i / (ca.n + cb.n - i) AS score FROM j JOIN c ca ON ca.id = a JOIN c cb ON cb.id = b WHERE i / (ca.n + cb.n - i) >= 0.9"
 )
 def similar_docs(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "source", F.substring(T.fold(F.col("text")), 1, 400).alias("head"))
-    return similarity.trigram_pairs(docs, "doc_id", "head", "source")
+    """Whole texts; 0.9, because long texts of one language share most of their trigrams (6 % of all pairs of one source reach 0.62)."""
+    docs = table(spark, d, "documents").select("doc_id", "source", T.fold(F.col("text")).alias("body"))
+    return similarity.trigram_pairs(docs, "doc_id", "body", "source", 0.9)
 
 
 @query()
@@ -241,14 +256,27 @@ def degree(spark, d):
     return graph.degrees(sequence_links(spark, d), _events(spark, d).select(F.col("event_type").alias("slug")).distinct())
 
 
+def _copies(spark, d):
+    """Links from the first document of each text to its copies."""
+    hashed = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h"))
+    return hashed.groupBy("h").agg(F.min("doc_id").alias("first")).join(hashed, "h").where("doc_id <> first").select(F.col("first").alias("src"), F.col("doc_id").alias("dst"))
+
+
+@query("SELECT doc_id AS node, min(doc_id) OVER (PARTITION BY text) AS component FROM documents")
+def components(spark, d):
+    """Groups of documents with the same text, by links between copies; a document without a copy is its own."""
+    nodes = table(spark, d, "documents").select(F.col("doc_id").alias("id"))
+    return nodes.join(connected_components(_copies(spark, d)), F.col("id") == F.col("node"), "left").select(F.col("id").alias("node"), F.coalesce("component", "id").alias("component"))
+
+
 @query(
-    "WITH RECURSIVE v AS (SELECT DISTINCT l_partkey AS p, l_suppkey AS s FROM lineitem WHERE l_quantity >= 50 AND l_discount >= 0.1), "
-    "e AS (SELECT 'p' || p AS a, 's' || s AS b FROM v UNION ALL SELECT 's' || s, 'p' || p FROM v), "
-    "r(node, label) AS (SELECT a, a FROM e UNION SELECT e.b, r.label FROM r JOIN e ON e.a = r.node) "
-    "SELECT node, min(label) AS component FROM r GROUP BY node"
+    "WITH RECURSIVE l AS (SELECT DISTINCT s_nationkey AS a, 100 + p_size AS b FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l), "
+    "r(node, label) AS (SELECT a, a FROM e UNION SELECT e.b, r.label FROM r JOIN e ON e.a = r.node) SELECT node, min(label) AS component FROM r GROUP BY node"
 )
-def components(spark, d):
-    e = table(spark, d, "lineitem").where("l_quantity >= 50 and l_discount >= 0.1").select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst")).distinct()
+def components_by_nation(spark, d):
+    """Nations and part sizes linked by every line of the whole table."""
+    li, s, p = table(spark, d, "lineitem").select("l_partkey", "l_suppkey"), table(spark, d, "supplier").select("s_suppkey", "s_nationkey"), table(spark, d, "part").select("p_partkey", "p_size")
+    e = li.join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(p, F.col("l_partkey") == F.col("p_partkey")).select(F.col("s_nationkey").alias("src"), (F.col("p_size") + 100).alias("dst")).distinct()
     return connected_components(e)
 
 
@@ -266,16 +294,70 @@ def _precedence(spark, d):
     return sequence_links(spark, d).select("src", "dst", F.col("n").cast("double").alias("strength"))
 
 
-@query()
+_DAG = (
+    f"WITH RECURSIVE {_STEPS}, o AS (SELECT src, dst, n, row_number() OVER (ORDER BY n, src, dst) AS k FROM e), "
+    "w(k, node) AS (SELECT k, dst FROM o UNION SELECT w.k, o.dst FROM w JOIN o ON o.src = w.node AND o.k > w.k), "
+    "kept AS (SELECT src, dst, n FROM o WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.k = o.k AND w.node = o.src)) "
+)
+
+
+@query(_DAG + "SELECT src, dst, CAST(n AS DOUBLE) AS strength FROM kept")
 def prereq_dag(spark, d):
     return dag.break_cycles(_precedence(spark, d))
 
 
-@query()
+@query(
+    _DAG + ", ends AS (SELECT src AS node FROM kept UNION SELECT dst FROM kept), far(node, level) AS (SELECT node, 0 FROM ends UNION SELECT kept.dst, far.level + 1 FROM far JOIN kept ON kept.src = far.node) "
+    "SELECT node, CAST(max(level) AS INTEGER) AS level FROM far GROUP BY node"
+)
 def topo_order(spark, d):
     return dag.levels(prereq_dag(spark, d))
 
 
+@query(_DAG + "SELECT DISTINCT src AS slug FROM kept WHERE src NOT IN (SELECT dst FROM kept)")
+def dag_roots(spark, d):
+    return graph.roots(prereq_dag(spark, d).withColumn("type", F.lit("prerequisite")))
+
+
+@query(
+    "WITH l AS (SELECT l_partkey AS s, l_suppkey AS d, CASE WHEN l_returnflag = 'N' THEN 'related' ELSE 'part_of' END AS type FROM lineitem), m AS (SELECT s - s % 7 AS src, d - d % 7 AS dst, type FROM l), "
+    "k AS (SELECT * FROM m WHERE src <> dst AND src IN (SELECT p_partkey FROM part) AND dst IN (SELECT p_partkey FROM part)) "
+    "SELECT CASE WHEN type = 'related' THEN least(src, dst) ELSE src END AS src, CASE WHEN type = 'related' THEN greatest(src, dst) ELSE dst END AS dst, type, count(*) AS n FROM k GROUP BY 1, 2, 3"
+)
+def canonical_links(spark, d):
+    """Every part leads through a chain of aliases to the multiple of seven below it; links of a symmetric type have sorted ends."""
+    key = F.col("p_partkey")
+    parts = table(spark, d, "part").select(key.alias("slug"))
+    aliases = table(spark, d, "part").where(key % 7 != 0).select(key.alias("alias"), (key - 1).alias("canonical"))
+    links = table(spark, d, "lineitem").select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst"), F.when(F.col("l_returnflag") == "N", "related").otherwise("part_of").alias("type"))
+    return graph.canonical_links(links, parts, aliases).groupBy("src", "dst", "type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT p_partkey AS alias, p_partkey - p_partkey % 3 AS canonical FROM part WHERE p_partkey % 3 <> 0 AND p_partkey - p_partkey % 3 IN (SELECT p_partkey FROM part)")
+def merge_groups(spark, d):
+    """Pairs judged the same make groups; the member named canonical most often stands for its group."""
+    parts, key = table(spark, d, "part").select(F.col("p_partkey").alias("slug")), F.col("slug")
+    said = parts.where(key % 3 != 0).select(key.alias("slug_a"), (key - key % 3).alias("slug_b"), F.lit(True).alias("same"), (key - key % 3).alias("canonical"))
+    return graph.merge_groups(said, parts)
+
+
+_RANK = "CASE type WHEN 'prerequisite' THEN 0 WHEN 'part_of' THEN 1 WHEN 'applies_to' THEN 2 WHEN 'contrasts_with' THEN 3 ELSE 4 END"
+
+
+@query(
+    "WITH l AS (SELECT DISTINCT p_brand AS src, p_type AS dst, ['prerequisite', 'part_of', 'applies_to', 'contrasts_with', 'related'][1 + p_size % 5] AS type FROM part) "
+    f"SELECT src, dst, type, row_number() OVER (ORDER BY {_RANK}, src, dst) - 1 AS place FROM l"
+)
+def ordered_links(spark, d):
+    """Links in the order of an export, numbered: a global sort, numbered inside partitions and shifted by their sizes."""
+    kinds = F.array(*[F.lit(k) for k in graph.LINK_ORDER])
+    links = table(spark, d, "part").select(F.col("p_brand").alias("src"), F.col("p_type").alias("dst"), F.get(kinds, (F.col("p_size") % 5).cast("int")).alias("type")).distinct()
+    placed = checkpoint(graph.by_rank(links).withColumn("at", F.monotonically_increasing_id()))
+    part, inside = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    before = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    return placed.withColumn("part", part).join(F.broadcast(before), "part").select("src", "dst", "type", (F.col("base") + inside).alias("place"))
+
+
 @query(
     "WITH m AS (SELECT p_brand AS brand, p_name, p_type, p_size, p_partkey FROM part), "
     "n AS (SELECT brand, arg_min(p_name, p_partkey) AS first_name, CAST(round_even(avg(p_size), 0) AS INTEGER) AS mean_size FROM m GROUP BY brand), "
@@ -304,10 +386,8 @@ def units_per_key_stats(spark, d):
 def quality_gate(spark, d):
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
     covered = docs.select("doc_id", "source").join(labels.select("doc_id"), "doc_id", "left_semi")
-    a = docs.agg(F.count_distinct("source").alias("expected"), F.count_if(F.char_length("text") < 20).alias("thin"))
-    b = covered.agg(F.count_distinct("source").alias("covered"))
-    c = labels.select("doc_id").join(docs.select("doc_id"), "doc_id", "left_anti").agg(F.count(F.lit(1)).alias("dangling"))
-    r = a.join(b, F.lit(True)).join(c, F.lit(True)).withColumn("coverage", F.bround(F.coalesce(F.try_divide("covered", "expected"), F.lit(0.0)), 4))
+    lost = quality.dangling(labels.select("doc_id"), docs, "doc_id", "doc_id").agg(F.count(F.lit(1)).alias("dangling"))
+    r = quality.coverage(docs, covered, "source").join(quality.thin(docs, "text"), F.lit(True)).join(lost, F.lit(True))
     return r.select("expected", "covered", "coverage", "dangling", "thin", ((F.col("coverage") >= quality.MIN_COVERAGE) & (F.col("dangling") == 0)).alias("passed"))
 
 
@@ -318,11 +398,14 @@ def quality_gate(spark, d):
 def cross_group_links(spark, d):
     s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     li = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey")
-    o = table(spark, d, "orders").select("o_orderkey", "o_custkey").join(table(spark, d, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
-    j = li.join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(o, F.col("l_orderkey") == F.col("o_orderkey")).where("s_nationkey <> c_nationkey").groupBy("s_nationkey", "c_nationkey").agg(F.count(F.lit(1)).alias("links"))
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    links = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(F.concat(F.lit("s"), "l_suppkey").alias("src"), F.concat(F.lit("c"), "o_custkey").alias("dst"))
+    nodes = s.select(F.concat(F.lit("s"), "s_suppkey").alias("node"), F.col("s_nationkey").alias("nation"))
+    nodes = nodes.unionAll(table(spark, d, "customer").select(F.concat(F.lit("c"), "c_custkey"), F.col("c_nationkey")))
+    across = quality.grouped_links(links, nodes, "node", "nation").where("src_group <> dst_group").groupBy("src_group", "dst_group").agg(F.count(F.lit(1)).alias("links"))
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
-    a, b = n.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("src")), n.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("dst"))
-    return j.join(a, "s_nationkey").join(b, "c_nationkey").select("src", "dst", "links")
+    a, b = n.select(F.col("n_nationkey").alias("src_group"), F.col("n_name").alias("src")), n.select(F.col("n_nationkey").alias("dst_group"), F.col("n_name").alias("dst"))
+    return across.join(a, "src_group").join(b, "dst_group").select("src", "dst", "links")
 
 
 # Lessons
@@ -380,9 +463,8 @@ def sessionise_lines(spark, d):
 
 @query("SELECT min(doc_id) AS doc_id, source FROM documents GROUP BY source, text")
 def keep_first_dedupe(spark, d):
-    # The least id alone identifies the first row, so a partial aggregate replaces a window over the texts.
     hashed = table(spark, d, "documents").select("doc_id", "source", F.sha2("text", 256).alias("h"))
-    return hashed.groupBy("source", "h").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "source")
+    return graph.keep_first(hashed, ["source", "h"], ["doc_id"]).select("doc_id", "source")
 
 
 @query("SELECT doc_id, source, CAST((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 45 AS INTEGER) AS slice FROM documents")
@@ -395,7 +477,8 @@ def slice_rows(spark, d):
 
 @query("SELECT o_custkey AS cust, CAST(month(o_orderdate) AS INTEGER) AS term, count(*) AS n FROM orders GROUP BY 1, 2 HAVING count(*) > 2")
 def plan_overload(spark, d):
-    return table(spark, d, "orders").groupBy(F.col("o_custkey").alias("cust"), F.month("o_orderdate").alias("term")).agg(F.count(F.lit(1)).alias("n")).where("n > 2")
+    plans = table(spark, d, "orders").select(F.col("o_custkey").alias("plan"), F.month("o_orderdate").alias("term"))
+    return planner.overloaded_terms(plans, F.lit(1), 2).select(F.col("plan").alias("cust"), "term", F.col("total").alias("n"))
 
 
 _PLAN = "SELECT o.o_custkey AS cust, l.l_partkey AS part, o.o_orderkey AS pos, l.l_linenumber AS line, o.o_orderdate AS day FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey"
@@ -404,19 +487,41 @@ _PLAN = "SELECT o.o_custkey AS cust, l.l_partkey AS part, o.o_orderkey AS pos, l
 def _plan(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    return o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("cust"), F.col("l_partkey").alias("part"), F.col("o_orderkey").alias("pos"), F.col("l_linenumber").alias("line"), F.col("o_orderdate").alias("day"))
+    return o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("plan"), F.col("l_partkey").alias("code"), F.col("o_orderkey").alias("pos"), F.col("l_linenumber").alias("line"), F.col("o_orderdate").alias("day"))
 
 
 @query(f"WITH p AS ({_PLAN}), w AS (SELECT *, lag(pos) OVER (PARTITION BY cust, part ORDER BY pos, line) AS before FROM p) SELECT cust, part, pos, before FROM w WHERE before IS NOT NULL")
 def plan_duplicates(spark, d):
-    w = Window.partitionBy("cust", "part").orderBy("pos", "line")
-    return _plan(spark, d).withColumn("before", F.lag("pos").over(w)).where("before is not null").select("cust", "part", "pos", "before")
+    return planner.repeated_courses(_plan(spark, d), ["pos", "line"], "pos").select(F.col("plan").alias("cust"), F.col("code").alias("part"), "pos", "before")
 
 
 @query(f"WITH p AS ({_PLAN}), w AS (SELECT *, lag(day) OVER (PARTITION BY cust, part ORDER BY pos, line) AS earlier FROM p) SELECT cust, part, pos FROM w WHERE earlier >= day")
 def plan_order(spark, d):
-    w = Window.partitionBy("cust", "part").orderBy("pos", "line")
-    return _plan(spark, d).withColumn("earlier", F.lag("day").over(w)).where("earlier >= day").select("cust", "part", "pos")
+    again = planner.repeated_courses(_plan(spark, d), ["pos", "line"], "day")
+    return again.where("before >= day").select(F.col("plan").alias("cust"), F.col("code").alias("part"), "pos")
+
+
+@query(
+    f"WITH p AS ({_PLAN}), t AS (SELECT cust, part, CAST(month(arg_max(day, (pos, line))) AS INTEGER) AS term FROM p GROUP BY 1, 2) "
+    "SELECT a.cust, a.part, a.term, a.part - 1 AS needs, b.term AS needs_term FROM t a JOIN t b ON b.cust = a.cust AND b.part = a.part - 1 WHERE b.term >= a.term"
+)
+def plan_prerequisites(spark, d):
+    """Every part asks for the one numbered before it; parts of a customer's plan that do not come in a later month than what they ask for."""
+    placed = _plan(spark, d).groupBy("plan", "code").agg(F.max_by(F.month("day"), F.struct("pos", "line")).alias("term"))
+    needs = table(spark, d, "part").select(F.col("p_partkey").alias("code"), (F.col("p_partkey") - 1).alias("needs"))
+    return planner.late_prerequisites(placed, needs).select(F.col("plan").alias("cust"), F.col("code").alias("part"), "term", "needs", "needs_term")
+
+
+@query(
+    f"WITH p AS ({_PLAN}), q AS (SELECT cust, part, CAST(month(day) AS INTEGER) AS term, lag(1) OVER (PARTITION BY cust, part ORDER BY pos, line) AS before FROM p), "
+    "c AS (SELECT cust, term, 'duplicate_course' AS type FROM q WHERE before IS NOT NULL UNION ALL SELECT cust, term, 'credit_overload' FROM q JOIN part ON p_partkey = part GROUP BY 1, 2 HAVING sum(p_size) > 250) SELECT cust, type, term, count(*) AS n FROM c GROUP BY 1, 2, 3"
+)
+def plan_conflicts(spark, d):
+    """Conflicts in the plans of all customers at once, counted by kind and term; no part asks for another here."""
+    plans = _plan(spark, d).select("plan", (F.col("pos") * 10 + F.col("line")).alias("pos"), F.col("code").cast("string").alias("code"), F.month("day").alias("term"))
+    courses = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("code"), F.col("p_size").alias("ects"), F.array().cast("array<string>").alias("prerequisites"))
+    found = planner.plan_conflicts(plans, courses, 250)
+    return found.groupBy(F.col("plan").alias("cust"), "type", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -425,11 +530,11 @@ def plan_order(spark, d):
     "SELECT cust, CAST(sum(p_size) AS BIGINT) AS total, sum(p_size) > 600 AS over_budget FROM todo JOIN part ON p_partkey = part GROUP BY cust"
 )
 def validate_plan_budget(spark, d):
-    o = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("cust"), F.col("o_orderstatus").alias("st"))
-    t = o.join(table(spark, d, "lineitem").select("l_orderkey", F.col("l_partkey").alias("part")), F.col("o_orderkey") == F.col("l_orderkey")).select("cust", "part", "st")
-    todo = t.where("st <> 'F'").join(t.where("st = 'F'").select("cust", "part").distinct(), ["cust", "part"], "left_anti")
-    priced = todo.join(table(spark, d, "part").select("p_partkey", "p_size"), F.col("part") == F.col("p_partkey"))
-    return priced.groupBy("cust").agg(F.sum("p_size").alias("total")).select("cust", "total", (F.col("total") > 600).alias("over_budget"))
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("plan"), F.col("o_orderstatus").alias("st"))
+    t = o.join(table(spark, d, "lineitem").select("l_orderkey", F.col("l_partkey").alias("code")), F.col("o_orderkey") == F.col("l_orderkey")).select("plan", "code", "st")
+    credits = table(spark, d, "part").select(F.col("p_partkey").alias("code"), F.col("p_size").alias("ects"))
+    said = planner.plan_totals(t.where("st <> 'F'"), t.where("st = 'F'"), credits, 600)
+    return said.select(F.col("plan").alias("cust"), "total", "over_budget")
 
 
 @query(
@@ -446,7 +551,7 @@ def waiver_coverage(spark, d):
 
 @query("SELECT p_brand AS brand, p_type AS kind, count(*) AS n FROM part GROUP BY 1, 2")
 def kind_distribution(spark, d):
-    return table(spark, d, "part").groupBy(F.col("p_brand").alias("brand"), F.col("p_type").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    return planner.kind_counts(table(spark, d, "part").select(F.col("p_brand").alias("brand"), F.col("p_type").alias("kind")), "brand")
 
 
 @query(
@@ -468,8 +573,8 @@ def compare_groups(spark, d):
 @query("SELECT n_name, r_name, (SELECT string_agg(m.n_name, '|' ORDER BY m.n_name) FROM nation m WHERE m.n_regionkey = n.n_regionkey) AS neighbours FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey")
 def export_star(spark, d):
     n, r = table(spark, d, "nation"), table(spark, d, "region")
-    joined = n.groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_list("n_name")), "|").alias("neighbours"))
-    return n.join(joined, "n_regionkey").join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name", "neighbours")
+    joined = n.groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_name")).alias("neighbours"))
+    return sinks.flat(n.join(joined, "n_regionkey").join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name", "neighbours"))
 
 
 @query(
@@ -477,8 +582,7 @@ def export_star(spark, d):
     "round(sum(CAST(l_quantity AS DOUBLE)) / 1e6 * coalesce(max(pin), 0) + count(*) / 1e6 * coalesce(max(pout), 0), 4) AS usd FROM lineitem LEFT JOIN p ON flag = l_returnflag GROUP BY 1"
 )
 def usage_cost(spark, d):
-    price = spark.createDataFrame([("A", 15.0, 75.0), ("N", 3.0, 15.0)], "flag string, pin double, pout double")
-    g = table(spark, d, "lineitem").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("calls"), F.sum("l_quantity").alias("q"))
-    j = g.join(F.broadcast(price), g.l_returnflag == price.flag, "left")
-    usd = F.col("q") / 1e6 * F.coalesce("pin", F.lit(0.0)) + F.col("calls") / 1e6 * F.coalesce("pout", F.lit(0.0))
-    return j.select(F.col("l_returnflag").alias("stage"), "calls", F.col("q").cast("long").alias("tokens_in"), F.round(usd, 4).alias("usd"))
+    price = spark.createDataFrame([("A", 15.0, 75.0), ("N", 3.0, 15.0)], "model string, price_in double, price_out double")
+    flag = F.col("l_returnflag")
+    calls = table(spark, d, "lineitem").select(flag.alias("stage"), flag.alias("model"), F.col("l_quantity").alias("tokens_in"), F.lit(1).alias("tokens_out"), F.lit(False).alias("cached"))
+    return usage.usage(calls, price).select("stage", "calls", F.col("tokens_in").cast("long").alias("tokens_in"), "usd")

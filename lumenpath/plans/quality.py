@@ -25,6 +25,32 @@ def component_sizes(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return named.groupBy("component").agg(F.count(F.lit(1)).alias("size")).orderBy(F.desc("size"), "component")
 
 
+def coverage(units: DataFrame, covered: DataFrame, unit: str) -> DataFrame:
+    """One row ``expected, covered, coverage`` (rounded half to even): units of ``units`` that are also in ``covered``."""
+    expected = units.select(unit).distinct()
+    seen = expected.join(covered.select(unit).distinct().withColumn("_seen", F.lit(1)), unit, "left")
+    counts = seen.agg(F.count(F.lit(1)).alias("expected"), F.count("_seen").alias("covered"))
+    return counts.withColumn("coverage", F.bround(F.coalesce(F.try_divide("covered", "expected"), F.lit(0.0)), 4))
+
+
+def thin(concepts: DataFrame, text: str) -> DataFrame:
+    """One row ``thin``: texts of fewer than THIN characters."""
+    return concepts.agg(F.count_if(F.char_length(text) < THIN).alias("thin"))
+
+
+def dangling(links: DataFrame, nodes: DataFrame, end: str, node: str) -> DataFrame:
+    """The links whose ``end`` is no node."""
+    return links.join(nodes.select(F.col(node).alias(end)), end, "left_anti")
+
+
+def grouped_links(links: DataFrame, nodes: DataFrame, node: str, group: str) -> DataFrame:
+    """``links(src, dst, ...)`` with the groups of both ends, ``src_group`` and ``dst_group``; links with an unknown end are left out."""
+    out = links
+    for end in ("src", "dst"):
+        out = out.join(nodes.select(F.col(node).alias(end), F.col(group).alias(f"{end}_group")), end)
+    return out
+
+
 def gate(quote_rate: float, coverage: float, cyclic: bool, dangling: int, orphans: int) -> list[str]:
     """Rules that failed. The quote rate is compared unrounded, the coverage rounded to four places."""
     failed = []
@@ -44,14 +70,12 @@ def gate(quote_rate: float, coverage: float, cyclic: bool, dangling: int, orphan
 def report(concepts: DataFrame, links: DataFrame, occurrences: DataFrame, units: DataFrame, verified: DataFrame | None = None) -> dict:
     """The quality report of ``concepts(slug, definition, courses, units, files)``, ``links(src, dst, type, origin)``,
     ``occurrences(slug, quote)`` and ``units(unit_id)``. ``verified(ok)`` has one row per quote."""
-    c = concepts.select("slug", F.array_sort("courses").alias("courses"))
-    ends = links.join(c.select(F.col("slug").alias("src"), F.col("courses").alias("cs")), "src").join(c.select(F.col("slug").alias("dst"), F.col("courses").alias("cd")), "dst")
+    ends = grouped_links(links, concepts.select("slug", F.array_sort("courses").alias("courses")), "slug", "courses")
     per_unit = concepts.select(F.explode("units").alias("unit_id")).groupBy("unit_id").agg(F.count(F.lit(1)).alias("n"))
-    expected, covered = units.select("unit_id").distinct(), per_unit.select("unit_id")
-    n_expected, n_covered = expected.count(), expected.join(covered, "unit_id", "left_semi").count()
+    n_expected, n_covered, _ = coverage(units, per_unit, "unit_id").first()
     sizes = [r["size"] for r in component_sizes(concepts, links).limit(10).collect()]
     checks = concepts.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.length("definition") < THIN).alias("thin"), F.count_if(F.size("files") == 0).alias("orphan"), F.count_if(F.size("courses") > 1).alias("multi")).first()
-    cross = ends.agg(F.count_if(F.col("cs") != F.col("cd")).alias("cross"), F.count(F.lit(1)).alias("known")).first()
+    cross = ends.agg(F.count_if(F.col("src_group") != F.col("dst_group")).alias("cross"), F.count(F.lit(1)).alias("known")).first()
     n_links = links.count()
     q = verified.agg(F.count_if("ok").alias("ok"), F.count(F.lit(1)).alias("n")).first() if verified is not None else None
     rate = q["ok"] / q["n"] if q and q["n"] else 0.0 if q else 1.0

@@ -22,6 +22,12 @@ VERDICTS = "verdicts array<struct<slug_a string, slug_b string, same boolean, ca
 BRIDGES = f"links array<struct<{LINK}>>"
 
 
+def skip_groups(rows: DataFrame, group: str, skipped: Iterable) -> DataFrame:
+    """``rows`` without the groups ``skipped``, unless nothing would be left: then all."""
+    rest = rows.where(~F.coalesce(F.col(group).isin(list(skipped)), F.lit(False)))
+    return rows if rest.isEmpty() else rest
+
+
 class GateFailed(RuntimeError):
     """The quality gate's rules that failed."""
 
@@ -124,7 +130,7 @@ def star(manifest: DataFrame, units: DataFrame, concepts: DataFrame, links: Data
     }
 
 
-def run(spark: SparkSession, root: str, out: str, adapter: str, calls: dict[str, Callable[[str], str]], courses: Iterable[str] = (), batch_chars: int = 160_000, min_chars: int = 1, force: Iterable[str] = (), stop_after: str | None = None, fail_on_gate: bool = True) -> dict:
+def run(spark: SparkSession, root: str, out: str, adapter: str, calls: dict[str, Callable[[str], str]], courses: Iterable[str] = (), batch_chars: int = 160_000, min_chars: int = 1, force: Iterable[str] = (), stop_after: str | None = None, fail_on_gate: bool = True, skip_modules: Iterable[int] = ()) -> dict:
     """Build the graph of the files under ``root`` into ``out``; return the stages made and the report.
 
     ``calls["extract"]`` answers the prompt of a batch with JSON (EXTRACTION); "merge",
@@ -142,6 +148,8 @@ def run(spark: SparkSession, root: str, out: str, adapter: str, calls: dict[str,
         manifest = manifest.where(F.upper("course_code").isin(wanted))
         if manifest.isEmpty():
             raise ValueError("no files of these courses")
+    if skip_modules:
+        manifest = skip_groups(manifest, "module_ordinal", skip_modules)
     result = {"made": s.made, "report": None}
     if ends("scan"):
         return result

@@ -150,7 +150,7 @@ def manifest(files: DataFrame, adapter: str) -> DataFrame:
     module = F.when(F.col("module_ordinal") == 0, "OM").otherwise(F.concat(F.lit("M"), F.col("module_ordinal")))
     out = out.withColumn("module_code", module).withColumn("unit_code", F.concat("module_code", F.lit("U"), "unit_ordinal"))
     out = out.withColumn("unit_id", F.concat("course_code", F.lit("-"), "unit_code"))
-    return out.orderBy("course_code", F.coalesce("module_ordinal", F.lit(0)), F.coalesce("unit_ordinal", F.lit(0)), "asset_kind", F.coalesce("asset_ordinal", F.lit(0)), F.coalesce("part_ordinal", F.lit(0)), "rel_path")
+    return out.orderBy("course_code", F.coalesce("module_ordinal", F.lit(0)), F.coalesce("unit_ordinal", F.lit(0)), F.coalesce("asset_ordinal", F.lit(0)), F.coalesce("part_ordinal", F.lit(0)), "filename", "rel_path")
 
 
 def relative(path: Column, root: str) -> Column:
@@ -161,5 +161,6 @@ def relative(path: Column, root: str) -> Column:
 
 def scan(spark: SparkSession, root: str, adapter: str) -> DataFrame:
     """Read a folder of files on any store that Spark reads, with hash and size, into a manifest."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    endings = ",".join(v for e in EXTENSIONS for v in (e, e.upper(), e.capitalize()))
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{" + endings + "}").load(root)
     return manifest(raw.select(relative(F.col("path"), root).alias("rel_path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes")), adapter)

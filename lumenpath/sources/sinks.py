@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenpath.functions.text import sql_literal
+from lumenpath.session import checkpoint
 
 
 def flat(df: DataFrame, sep: str = "|") -> DataFrame:
@@ -33,14 +34,33 @@ def write_json(tables: dict[str, DataFrame], root: str) -> None:
         df.write.mode("overwrite").json(f"{root}/{name}.json")
 
 
+def whole_json(tables: dict[str, DataFrame]) -> DataFrame:
+    """``value`` lines that make one JSON document when written as text in order: an object with an array for each table.
+
+    Lines are numbered, so that a sorted write keeps their order at any size.
+    """
+    out, names = None, list(tables)
+    for k, name in enumerate(names):
+        df = tables[name]
+        head = df.sparkSession.createDataFrame([(k, 0, 0, ("{" if k == 0 else "") + f'"{name}": [')], "part int, step int, at long, value string")
+        rows = checkpoint(df.select(F.lit(k).alias("part"), F.lit(1).alias("step"), F.monotonically_increasing_id().alias("at"), F.to_json(F.struct("*")).alias("value")))
+        first = rows.agg(F.min("at").alias("first"))
+        rows = rows.join(F.broadcast(first)).select("part", "step", "at", F.concat(F.when(F.col("at") == F.col("first"), "").otherwise(", "), F.col("value")).alias("value"))
+        tail = df.sparkSession.createDataFrame([(k, 2, 0, "]" + ("}" if k + 1 == len(names) else ","))], "part int, step int, at long, value string")
+        part = head.unionAll(rows).unionAll(tail)
+        out = part if out is None else out.unionAll(part)
+    return out.orderBy("part", "step", "at").select("value")
+
+
 def seed_sql(concepts: DataFrame, links: DataFrame) -> DataFrame:
-    """``section, statement`` rows that insert concepts, aliases and links, each only where absent."""
+    """``section, statement`` rows, in order of section one transaction, that insert concepts, aliases and links, each only where absent."""
     q = sql_literal
     c = concepts.select(F.lit(1).alias("section"), F.concat(F.lit("INSERT INTO concepts (slug, name, kind, definition, difficulty, domain, provenance, confidence) VALUES ("), F.concat_ws(", ", q(F.col("slug")), q(F.col("name")), q(F.col("kind")), q(F.col("definition")), F.col("difficulty").cast("string"), q(F.col("domain")), F.lit("'llm'"), F.lit("0.8")), F.lit(") ON CONFLICT (slug) DO NOTHING;")).alias("statement"))
     al = concepts.select("slug", F.explode("aliases").alias("a")).where("a <> ''")
     a = al.select(F.lit(2).alias("section"), F.concat(F.lit("INSERT INTO concept_aliases (concept_id, alias) SELECT id, "), q(F.col("a")), F.lit(" FROM concepts WHERE slug = "), q(F.col("slug")), F.lit(" ON CONFLICT DO NOTHING;")).alias("statement"))
     ln = links.select(F.lit(3).alias("section"), F.concat(F.lit("INSERT INTO concept_links (src_concept_id, dst_concept_id, type, strength, rationale, provenance) SELECT s.id, d.id, "), F.concat_ws(", ", F.concat(q(F.col("type")), F.lit("::link_type")), F.col("strength").cast("string"), q(F.col("rationale")), q(F.col("origin"))), F.lit(" FROM concepts s, concepts d WHERE s.slug = "), q(F.col("src")), F.lit(" AND d.slug = "), q(F.col("dst")), F.lit(" ON CONFLICT DO NOTHING;")).alias("statement"))
-    return c.unionAll(a).unionAll(ln)
+    edge = lambda n, text: concepts.sparkSession.createDataFrame([(n, text)], "section int, statement string")
+    return edge(0, "BEGIN;").unionAll(c).unionAll(a).unionAll(ln).unionAll(edge(4, "COMMIT;"))
 
 
 def graph_payload(concepts: DataFrame, links: DataFrame, occurrences: DataFrame, quote_chars: int = 400) -> DataFrame:
