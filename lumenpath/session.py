@@ -18,7 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, as named by ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) a temporary folder is set instead.
+    Only where that setting is absent on one machine (tests) a temporary folder is set
+    instead; on a cluster its absence is an error, since other executors would not see it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -26,6 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = sc._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="lumenpath-")
         sc.setCheckpointDir(named)
     elif not sc._jsc.sc().getCheckpointDir().isDefined():
@@ -39,8 +42,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared store, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only if ``df`` has at most ``max_rows`` rows; beyond that Spark picks a shuffle join."""
+    """Hint a broadcast only if ``df``, of narrow rows, has at most ``max_rows`` of them; beyond that Spark picks a shuffle join."""
     n = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).first()["n"]
     return F.broadcast(df) if n <= max_rows else df
 
