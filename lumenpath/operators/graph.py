@@ -61,12 +61,13 @@ def valid_links(links: DataFrame) -> DataFrame:
 def settle_aliases(aliases: DataFrame) -> DataFrame:
     """``alias, canonical`` with chains followed to their end, by pointer doubling; aliases on a cycle are left out."""
     left = aliases.where("alias <> canonical").groupBy("alias").agg(F.min("canonical").alias("canonical"))
-    left, n = checkpoint(left), -1
-    for _ in range(64):
+    left = checkpoint(left)
+    # Each round doubles the length followed; a chain that is longer than there are aliases is a cycle.
+    for _ in range(left.count().bit_length() + 1):
         step = left.select(F.col("alias").alias("_a"), F.col("canonical").alias("_c"))
         after = checkpoint(left.join(step, left.canonical == step["_a"], "left").select("alias", F.coalesce("_c", "canonical").alias("canonical"), F.col("_c").isNotNull().alias("more")))
-        n, left = after.where("more").count(), after.select("alias", "canonical")
-        if not n:
+        left = after.select("alias", "canonical")
+        if after.where("more").isEmpty():
             return left
     return left.join(left.select(F.col("alias").alias("_a")), F.col("canonical") == F.col("_a"), "left_anti")
 
