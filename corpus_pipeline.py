@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lumenpath.llm import bpe_automaton, decontaminate, language_id, near_copies, toxicity
 from lumenpath.llm.common import fold_of
 from lumenpath.llm.queries import vocabulary
-from lumenpath.session import shared_dir, table
+from lumenpath.session import remove, shared_dir, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document stays if its language is known with at least this probability.
@@ -57,10 +57,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
-    docs, folder = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over ``documents``, each written to the shared folder and read again; a stage's table goes when the next is whole."""
+    docs, folder, before = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}", None
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 WIDE_SPACES = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 #: A worker's table starts anew when it holds so many bytes.
-TABLE_BYTES = 144 << 20
+TABLE_BYTES = 64 << 20
 #: What an entry takes besides its characters and ids: the string's head, the number and the slot.
 ENTRY_BYTES = 150
 #: Longer words are not remembered apart from their chunk.
@@ -22,7 +22,7 @@ LONG_WORD = 64
 #: Texts are worked off in slices of about so many characters, cut at white space.
 SLICE_CHARS = 1_000_000
 #: So many characters are looked up at once.
-PASS_CHARS = 4_000_000
+PASS_CHARS = 2_500_000
 
 
 def key_size(key: str) -> int:

@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenpath.session import checkpoint, ship
 
 #: Characters that one vectorised pass handles at once; longer batches are cut between documents.
-PASS_CHARS = 1_500_000
+PASS_CHARS = 600_000
+
+
+#: Rows of an Arrow batch: texts are long, and a batch lies in memory on both sides.
+BATCH_ROWS, BATCH_SETTING = 2_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ship the package to the workers, and make Arrow batches smaller unless the session has a size of its own."""
+    ship(spark)
+    if spark.conf.get(BATCH_SETTING) == "10000":
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
 
 
 def fold_of(id_col: str, parts: int) -> Column:
@@ -22,7 +35,7 @@ def fold_of(id_col: str, parts: int) -> Column:
 
 def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text (null: empty); other columns cannot clash with the operators' own."""
-    ship(df.sparkSession)
+    prepare(df.sparkSession)
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
@@ -63,7 +76,7 @@ def keep_texts(df: DataFrame, start: Callable, text_col: str = "text") -> DataFr
 
     Rows are judged where they lie, each by its own text; nothing is shuffled and no key is needed. Null texts are empty.
     """
-    ship(df.sparkSession)
+    prepare(df.sparkSession)
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,8 +111,8 @@ def bounded_sample(df: DataFrame, keys: list[str], rows: int, size_col: str | No
     return df.where(F.pmod(F.xxhash64(*keys, F.lit("fit")), F.lit(1 << 20)) < int(share * (1 << 20)))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, size: int, longest: int) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of a bounded sample of the labelled documents, in order of id and text hash.
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, size: int, longest: int) -> DataFrame:
+    """``doc_id, th, text, label`` of a bounded sample of the labelled documents.
 
     ``labels(label_id, label)`` has distinct ids. The sample is taken of documents that have a
     label, not of labels: distinct pairs of id and text, about ``rows`` of them and ``size``
@@ -111,5 +124,23 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, size: int, lo
     marked = checkpoint(known.join(labels, known.doc_id == labels.label_id).select("label_id", "th", "size", "label"))
     picked = bounded_sample(marked, ["label_id", "th"], rows, "size", size).withColumnRenamed("th", "label_th").drop("size")
     found = texts.join(F.broadcast(picked), (F.col("doc_id") == F.col("label_id")) & (F.col("th") == F.col("label_th")))
-    got = found.groupBy("doc_id", "th").agg(F.min("text").alias("text"), F.min("label").alias("label")).orderBy("doc_id", "th").select("text", "label").toPandas()
-    return got["text"].tolist(), got["label"].to_numpy(dtype=float)
+    return found.groupBy("doc_id", "th").agg(F.min("text").alias("text"), F.min("label").alias("label"))
+
+
+def fitted(sample: DataFrame, fit: Callable[[list[str], np.ndarray], object]) -> object | None:
+    """What ``fit(texts, labels)`` makes of a bounded ``labelled_sample``, in order of id and text hash; None of an empty one.
+
+    The fit runs in one task, on an executor, so that the driver gets the model and no texts.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        texts, labels = [], []
+        for pdf in frames:
+            texts += pdf["text"].tolist()
+            labels += pdf["label"].tolist()
+        if texts:
+            yield pd.DataFrame({"model": [pickle.dumps(fit(texts, np.array(labels, dtype=float)))]})
+
+    rows = sample.repartition(1).sortWithinPartitions("doc_id", "th").select("text", "label")
+    got = rows.mapInPandas(run, "model binary").collect()
+    return pickle.loads(got[0]["model"]) if got else None

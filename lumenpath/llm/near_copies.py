@@ -6,8 +6,8 @@ many differ compares nearly everything with everything. So the trie self-join of
 ``simhash_trie`` finds the closest pairs, at RADIUS bits, and a second search finds the rest:
 each text has BANDS keys, each over the ROWS shingles that are least under hashes of the
 band's own. Two texts of similarity s share a given key with probability s**ROWS, so a pair
-of 0.8 shares none of the BANDS keys once in eight million. Every pair from either search is
-verified on the whole shingle sets.
+of 0.8 shares 13 of the BANDS keys on average, and fewer than COMMON once in 380,000. Every
+pair from either search is verified on the whole shingle sets.
 
 A bucket (one key) is first compared with its least member only, so a large group of near
 copies is not paired within itself. Members that are then still in different groups are
@@ -31,8 +31,10 @@ from lumenpath.session import broadcast_if_small, checkpoint
 
 WORDS, SIMILAR, RADIUS = 5, 0.8, 2
 BANDS, ROWS = 40, 5
+#: A candidate pair shares so many keys at least.
+COMMON = 2
 #: A bucket with more members in different groups is split by a second key.
-CROWD = 64
+CROWD = 8
 #: Up to so many nodes with candidates (a few tens of MB) are broadcast to pick their texts.
 NEED = 500_000
 #: Shingles of a long text are hashed in parts of so many.
@@ -95,11 +97,18 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, si
     picked = rows.join(broadcast_if_small(checkpoint(keys), NEED), F.col("key") == F.col("need_key")).select(F.col("node").alias("doc_id"), "text")
     sets = map_texts(picked, "doc_id long, grams array<long>", [("grams", pa.list_(pa.int64()))], lambda texts: [[shingle_set(t, words) for t in texts]])
     own = checkpoint(sets.groupBy(F.col("doc_id").alias("node")).agg(F.any_value("grams").alias("grams")))
-    both = pairs.join(own.select(F.col("node").alias("src"), F.col("grams").alias("a")), "src").join(own.select(F.col("node").alias("dst"), F.col("grams").alias("b")), "dst")
+    both = lookup(pairs, own.select(F.col("node").alias("src"), F.col("grams").alias("a")), "src").join(own.select(F.col("node").alias("dst"), F.col("grams").alias("b")), "dst")
     common = F.size(F.array_intersect("a", "b"))
     return checkpoint(both.where(common >= (F.size("a") + F.size("b") - common) * similar - 1e-9).select("src", "dst"))
 
 
+def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The ``pairs`` that share COMMON keys or more: what two texts with one passage in common seldom do."""
+    pairs, keys = checkpoint(pairs), nodes.select("node", "keys")
+    both = lookup(pairs, keys.select(F.col("node").alias("src"), F.col("keys").alias("a")), "src").join(keys.select(F.col("node").alias("dst"), F.col("keys").alias("b")), "dst")
+    return both.where(F.size(F.array_intersect("a", "b")) >= COMMON).select("src", "dst")
+
+
 def placed(rows: DataFrame, links: DataFrame) -> DataFrame:
     """``rows`` with ``part``, the component of their node over ``links``."""
     parts = connected_components(links).withColumnRenamed("component", "found")
@@ -135,8 +144,8 @@ def rest_pairs(rows: DataFrame, similar: float) -> DataFrame:
     bucket = Window.partitionBy("key")
     mixed = checkpoint(rows.withColumn("low", F.min("part").over(bucket)).withColumn("high", F.max("part").over(bucket)).where("low <> high").withColumn("n", F.count(F.lit(1)).over(bucket)).drop("low", "high"))
     few = pairs_between(mixed.where(F.col("n") <= CROWD), similar)
-    crowd = mixed.where(F.col("n") > CROWD).select("node", "size", "part", "keys", F.col("key").alias("one"), F.explode("keys").alias("two")).where("one < two")
-    split = crowd.withColumn("key", F.xxhash64("one", "two")).drop("one", "two")
+    crowd = mixed.where(F.col("n") > CROWD).select("node", "size", "part", "keys", F.col("key").alias("one"), F.explode("keys").alias("two")).where("one <> two")
+    split = crowd.withColumn("key", F.xxhash64(F.least("one", "two"), F.greatest("one", "two"))).drop("one", "two").distinct()
     a, b = (split.select("key", F.col("node").alias(n), F.col("size").alias(f"{n}_size"), F.col("part").alias(f"{n}_part")) for n in ("src", "dst"))
     many = a.join(b, "key").where((F.col("src") < F.col("dst")) & (F.col("src_part") != F.col("dst_part")) & sized("src_size", "dst_size", similar)).select("src", "dst")
     return few.unionAll(many).distinct()
@@ -149,9 +158,9 @@ def links(nodes: DataFrame, docs: DataFrame, words: int, similar: float) -> Data
     shared = checkpoint(members(bands))
     apart = placed(shared, found).join(placed(shared.select(F.col("hub.node").alias("node")).distinct(), found).select(F.col("node").alias("hub_node"), F.col("part").alias("hub_part")), F.col("hub.node") == F.col("hub_node"))
     stars = apart.where((F.col("part") != F.col("hub_part")) & sized("size", "hub.size", similar)).select(F.col("hub_node").alias("src"), F.col("node").alias("dst"))
-    found = checkpoint(found.unionAll(verified(stars.distinct(), nodes, docs, words, similar)))
+    found = checkpoint(found.unionAll(verified(likely(stars.distinct(), nodes), nodes, docs, words, similar)))
     rows = placed(shared.select("key", "node", "size"), found).join(nodes.select("node", "keys"), "node")
-    return found.unionAll(verified(rest_pairs(rows, similar), nodes, docs, words, similar))
+    return found.unionAll(verified(likely(rest_pairs(rows, similar), nodes), nodes, docs, words, similar))
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) -> DataFrame:

@@ -220,15 +220,19 @@ def write_shards(docs: DataFrame, vocab_path: str, folder: str, end_id: int = 1,
 
     The texts are dealt out by ranges of the id and sorted within them (one shuffle), then
     encoded and written where they lie. A task starts a new shard every SHARD_BYTES of ids.
-    Shards are written under a name of the attempt and renamed when whole, so a repeated or
-    speculative task leaves complete files only. Null ids come first; equal ids are ordered
-    by text; null texts are empty; an empty table gives no shard. The manifest is written
+    Shards have names of their attempt, and only the manifest tells which count: it lists those
+    of finished tasks, so a repeated or speculative task does no harm and nothing is renamed.
+    Null ids come first; equal ids are ordered by a hash of the text; null texts are empty; an
+    empty table gives no shard. The manifest is written
     beside the shards, so that the work is done once.
     """
     spark = docs.sparkSession
     with open(vocab_path, encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())
-    keyed = texts_of(docs, id_col, text_col).repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # A repeated id, null included, is split by a hash of the text, and equal rows by where they lie.
+    order = [F.col("doc_id").asc_nulls_first(), F.col("th"), F.col("row")]
+    placed = texts_of(docs, id_col, text_col).withColumn("th", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    keyed = placed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def run(batches):
         enc, part = library_table(vocab_path, spec.value), TaskContext.get().partitionId()
@@ -239,8 +243,7 @@ def write_shards(docs: DataFrame, vocab_path: str, folder: str, end_id: int = 1,
             w = state["writer"]
             w.close()
             w.out.close()
-            path = f"{root}/shard-{part:06d}-{state['k']:04d}.sst"
-            store.move(state["temp"], path)
+            path = state["path"]
             state.update(k=state["k"] + 1, writer=None)
             return pa.RecordBatch.from_pylist([{"path": path, "first_key": w.first, "n_docs": len(w.keys), "n_tokens": w.tokens}], schema=pa.schema([("path", pa.string()), ("first_key", pa.binary()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
@@ -250,8 +253,8 @@ def write_shards(docs: DataFrame, vocab_path: str, folder: str, end_id: int = 1,
                 flat, cuts = enc.encode(texts)
                 for k, doc_id in enumerate(ids):
                     if state["writer"] is None:
-                        state["temp"] = f"{root}/.{part:06d}-{uuid.uuid4().hex}"
-                        state["writer"] = Writer(store.open_output_stream(state["temp"]))
+                        state["path"] = f"{root}/shard-{part:06d}-{state['k']:04d}-{uuid.uuid4().hex[:12]}.sst"
+                        state["writer"] = Writer(store.open_output_stream(state["path"]))
                     state["writer"].add(key_of(doc_id), np.append(flat[cuts[k] : cuts[k + 1]], np.uint32(end_id)))
                     if state["writer"].tokens * 4 >= SHARD_BYTES:
                         yield close()

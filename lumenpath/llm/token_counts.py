@@ -33,7 +33,7 @@ UNITS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c))
 CHUNK_CHARS, OVERLAP_CHARS = 32_768, 512
 #: A worker's table of units starts anew when it holds so many bytes.
-TABLE_BYTES = 128 << 20
+TABLE_BYTES = 96 << 20
 
 
 class UnitCounts:

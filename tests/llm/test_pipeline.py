@@ -43,18 +43,23 @@ def not_toxic(docs, labels):
     return {d.doc_id for d in docs if toxicity.score([d.text or ""], model)[0] < 0.5}
 
 
-def first_of_near_copies(docs):
-    prints = {d.doc_id: int(simhash_trie.fingerprints_of([d.text or ""])[0]) for d in docs}
-    name = dict(zip(prints, prints))
+def first_of_near_copies(docs, near=None):
+    """Ids that name a group: by default groups of five-word shingle sets with a Jaccard similarity of 0.8 or more."""
+    sets = {}
+    for d in docs:
+        words = (d.text or "").encode().translate(simhash_trie.LOWER).split()
+        sets[d.doc_id] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    near = near or (lambda a, b: sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+    name = {d.doc_id: d.doc_id for d in docs}
     changed = True
     while changed:
         changed = False
-        for a in prints:
-            for b in prints:
-                if name[b] > name[a] and (prints[a] ^ prints[b]).bit_count() <= 2:
+        for a in name:
+            for b in name:
+                if name[b] > name[a] and near(a, b):
                     name[b], changed = name[a], True
     low = {}
-    for d in prints:
+    for d in name:
         low[name[d]] = min(d, low.get(name[d], d))
     return set(low.values())
 
@@ -106,6 +111,14 @@ def test_every_stage_equals_brute_force(spark):
     assert got == want and len(got) > 100
 
 
+@needs_tables
+def test_the_operator_keeps_the_first_of_each_group_at_two_bits(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    prints = {d.doc_id: int(simhash_trie.fingerprints_of([d.text or ""])[0]) for d in docs.collect()}
+    kept = {r.doc_id for r in simhash_trie.keep_first(docs).collect()}
+    assert kept == first_of_near_copies(docs.collect(), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2)
+
+
 @needs_tables
 def test_stages_take_nulls_and_an_empty_table(spark):
     import corpus_pipeline as p
