@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,6 +31,14 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker lives on for other tasks, and what it keeps is missed by them."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def fold_of(id_col: str, parts: int) -> Column:
     """crc32 of the id's decimal text (null: empty), modulo ``parts``."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(parts))
@@ -67,6 +78,7 @@ def map_texts(df: DataFrame, schema: str, names: list[str], kernel: Callable[[li
                 arrays = [ids.slice(at, end - at)] + [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(cols, list(out_schema)[1:])]
                 yield pa.RecordBatch.from_arrays(arrays, schema=out_schema)
                 at = end
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -94,6 +106,7 @@ def keep_texts(df: DataFrame, start: Callable, text_col: str = "text") -> DataFr
                     end += 1
                 yield batch.slice(begin, end - begin).filter(pa.array(np.asarray(keep(part), dtype=bool)))
                 begin = end
+        release()
 
     return df.mapInArrow(run, df.schema)
 
@@ -138,8 +151,12 @@ def fitted(sample: DataFrame, fit: Callable[[list[str], np.ndarray], object]) ->
         for pdf in frames:
             texts += pdf["text"].tolist()
             labels += pdf["label"].tolist()
-        if texts:
-            yield pd.DataFrame({"model": [pickle.dumps(fit(texts, np.array(labels, dtype=float)))]})
+            del pdf
+        made = pickle.dumps(fit(texts, np.array(labels, dtype=float))) if texts else None
+        del texts, labels
+        release()
+        if made:
+            yield pd.DataFrame({"model": [made]})
 
     rows = sample.repartition(1).sortWithinPartitions("doc_id", "th").select("text", "label")
     got = rows.mapInPandas(run, "model binary").collect()

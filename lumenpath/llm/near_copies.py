@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenpath.llm.common import map_texts, texts_of
+from lumenpath.llm.common import map_texts, release, texts_of
 from lumenpath.llm.simhash_trie import majority, shingle_hashes, trie_links
 from lumenpath.operators.components import connected_components
 from lumenpath.operators.skew import lookup
@@ -78,6 +78,7 @@ def described(docs: DataFrame, words: int) -> DataFrame:
                     "keys": pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())),
                 }
                 yield pa.RecordBatch.from_pydict(columns)
+        release()
 
     rows = texts_of(docs).select(key.alias("key"), "text")
     return rows.mapInArrow(run, "key struct<doc_id: bigint, th: bigint>, node long, fp long, size long, keys array<long>")
