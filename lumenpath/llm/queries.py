@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenpath.llm import bpe_automaton, decontaminate, language_id, quality, simhash_trie, sstable, syncmers, token_counts, toxicity, url_rules
+from lumenpath.llm import bpe_automaton, centroids, decontaminate, language_id, piece_bpe, quality, simhash_trie, sstable, syncmers, token_counts, toxicity, url_rules, whitening
 from lumenpath.llm.common import fold_of
 from lumenpath.session import table
 
@@ -68,8 +68,21 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.described(table(spark, sf_dir, "embeddings"))
+
+
+def op12_byte_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = piece_bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
+    return said.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components_of(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe_encode_decode, op2_syncmer_fingerprints, op3_decontamination, op4_language_id, op5_simhash_near_dedup, op6_token_counts, op7_token_id_shards, op8_quality, op9_toxicity, op10_url_filters)}
+    return {f.__name__: f for f in (op1_bpe_encode_decode, op2_syncmer_fingerprints, op3_decontamination, op4_language_id, op5_simhash_near_dedup, op6_token_counts, op7_token_id_shards, op8_quality, op9_toxicity, op10_url_filters, op11_centroid_clustering, op12_byte_bpe_encode_decode, op13_embedding_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
