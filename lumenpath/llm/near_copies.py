@@ -1,87 +1,178 @@
-"""One document of each group of near copies: SimHash links first, then a complete search.
+"""One document of each group of near copies: trie links between SimHashes, then a prefix-filter join of whole shingle sets.
 
 Near copies are texts whose distinct word shingles have a Jaccard similarity of SIMILAR or
 more. At 0.8 their 64-bit SimHashes differ in 9.7 bits on average, and a trie that lets so
-many differ compares nearly everything with everything. So the trie self-join of
-``simhash_trie`` finds the closest pairs, at RADIUS bits, and a second search finds the rest:
-each text has BANDS keys, each over the ROWS shingles that are least under hashes of the
-band's own. Two texts of similarity s share a given key with probability s**ROWS, so a pair
-of 0.8 shares 13 of the BANDS keys on average, and fewer than COMMON once in 380,000. Every
-pair from either search is verified on the whole shingle sets.
-
-A bucket (one key) is first compared with its least member only, so a large group of near
-copies is not paired within itself. Members that are then still in different groups are
-compared pair by pair, in the first band that a pair shares; where many are left, only those
-that share a second key of theirs are.
+many differ compares nearly everything with everything; so the trie self-join of
+``simhash_trie`` finds the closest pairs, at RADIUS bits, and the rest comes from the sets.
+
+All shingles are put in one order, rare ones first: by a count sketch of the corpus, then by
+hash. The order need not be exact for the filter to hold, it only has to be the same
+everywhere. Two sets of m and n shingles that are similar enough have at least
+c = SIMILAR / (1 + SIMILAR) * (m + n) in common, so they share one among the first m - c + 1
+and n - c + 1 of each: of equal sets the first ninth. Only the first fifth of a set are keys,
+each with its place, and two texts meet by a key that lies that far in front in both. What many texts share (licences, quotes, templates) comes last in the order: texts with a
+passage in common are not compared unless they are alike in nearly all the rest too.
+
+Of the keys of sets of over SAMPLE shingles only those with a hash below SAMPLE / n are
+taken, by the same rule everywhere, so a text has about SAMPLE / 4 keys at any length. For
+that, sets that may meet such a set have EXTRA * n keys more, and then any pair shares so
+many. A pair that shares no more than it must (one text inside another a quarter longer) is
+missed once in 300,000, a pair of equal lengths once in 10**12. Below that nothing is missed.
+
+Texts that share a key are first compared with one of them, so a large group of copies is
+not paired within itself: with the one of which most keys are shared, which is the original
+rather than one of its edited copies; then ROUNDS - 1 times with any. What is still in
+different groups is compared pair by pair, leaving out pairs within the group that most of a
+key's texts belong to. Every link is verified on whole shingle sets.
 """
 
 from __future__ import annotations
 
+import math
+import zlib
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenpath.llm.common import map_texts, release, texts_of
-from lumenpath.llm.simhash_trie import majority, shingle_hashes, trie_links
+from lumenpath.llm.shingles import shingle_runs, simhash
+from lumenpath.llm.simhash_trie import trie_links
+from lumenpath.llm.word_hash import mix
 from lumenpath.operators.components import connected_components
-from lumenpath.operators.skew import lookup
+from lumenpath.operators.skew import hot_bound, lookup
 from lumenpath.session import broadcast_if_small, checkpoint
 
 WORDS, SIMILAR, RADIUS = 5, 0.8, 2
-BANDS, ROWS = 40, 5
-#: A candidate pair shares so many keys at least.
-COMMON = 2
-#: A bucket with more members in different groups is split by a second key.
-CROWD = 8
+#: Keys beyond the least that a filter needs, the shingles up to which all keys count, and rounds with one other text, as above.
+EXTRA, SAMPLE, ROUNDS = 0.05, 320, 2
+#: The count sketch has one counter for so many characters of text, within these bounds (4 MB at 20 bits, 64 MB at most).
+SKETCH_CHARS, SKETCH_BITS = 1_000, (16, 24)
+#: Parts in which the sketch is merged, and groups of tasks that are merged first.
+PIECES, MERGE = 64, 256
 #: Up to so many nodes with candidates (a few tens of MB) are broadcast to pick their texts.
 NEED = 500_000
-#: Shingles of a long text are hashed in parts of so many.
-PART = 4_096
-_SEEDS = np.random.default_rng(17).integers(0, 1 << 32, (2, BANDS * ROWS), dtype=np.uint32)
-_XOR, _TIMES = _SEEDS[0], _SEEDS[1] | np.uint32(1)
+#: Texts are hashed in batches of about so many characters.
+PASS_CHARS = 400_000
 
 
 def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes (int64) of the word shingles; a shorter text is one shingle, one without words has none."""
-    return np.unique(np.array(shingle_hashes(text, words), dtype=np.uint64).view(np.int64))
+    return np.unique(shingle_runs([text], words)[0].view(np.int64))
+
+
+def batches_of(column, most: int = PASS_CHARS):
+    """(first, texts) of an Arrow column in parts of about ``most`` characters."""
+    at = 0
+    while at < len(column):
+        part, size, end = [], 0, at
+        while end < len(column) and size < most:
+            part.append(column[end].as_py())
+            size += len(part[-1])
+            end += 1
+        yield at, part
+        at = end
+
+
+def sketch_bits(chars: int) -> int:
+    return min(max(math.ceil(math.log2(max(1, chars / SKETCH_CHARS))), SKETCH_BITS[0]), SKETCH_BITS[1])
+
 
+def bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
 
-def band_keys(grams: np.ndarray) -> np.ndarray:
-    """One key (int64) for each band: the hash of the least values under the band's ROWS hashes, and of the band. None for an empty set."""
-    if not len(grams):
-        return np.zeros(0, dtype=np.int64)
-    low, least = grams.astype(np.uint32), np.full(BANDS * ROWS, np.uint32(0xFFFFFFFF))
-    for at in range(0, len(low), PART):
-        np.minimum(least, ((low[at : at + PART, None] ^ _XOR) * _TIMES).min(axis=0), out=least)
-    rows = least.reshape(BANDS, ROWS)
-    return np.array([xxhash.xxh64_intdigest(row.tobytes(), b) for b, row in enumerate(rows)], dtype=np.uint64).view(np.int64)
 
+def shingle_sketch(docs: DataFrame, words: int) -> np.ndarray:
+    """Counters (uint32) by the first bits of a shingle's hash: in how many texts shingles of the bucket are, copies included.
 
-def described(docs: DataFrame, words: int) -> DataFrame:
-    """``key, node, fp, size, keys`` of every row: ``node`` tells the shingle set, ``fp`` is its SimHash, ``keys`` the band keys."""
+    Every task adds up its own; counters are merged piece by piece, first within MERGE groups
+    of tasks. The driver gets the finished counters, of bounded number.
+    """
+    rows = texts_of(docs).select("text")
+    bits = sketch_bits(rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"])
+    piece = (1 << bits) // PIECES
+
+    def run(batches):
+        own = np.zeros(1 << bits, dtype=np.uint32)
+        for batch in batches:
+            for _, texts in batches_of(batch.column(0)):
+                found = np.concatenate([np.unique(r) for r in shingle_runs(texts, words)])
+                own += np.bincount(bucket(found, bits), minlength=1 << bits).astype(np.uint32)
+        release()
+        packed = [zlib.compress(own[k * piece : (k + 1) * piece].tobytes(), 1) for k in range(PIECES)]
+        group = TaskContext.get().partitionId() % MERGE
+        yield pa.RecordBatch.from_pydict({"piece": pa.array(range(PIECES), pa.int32()), "part": pa.array([group] * PIECES, pa.int32()), "counts": pa.array(packed, pa.binary())})
+
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(piece, dtype=np.uint64)
+        for packed in frame["counts"]:
+            total += np.frombuffer(zlib.decompress(packed), dtype=np.uint32)
+        merged = np.minimum(total, (1 << 32) - 1).astype(np.uint32)
+        return pd.DataFrame({"piece": frame["piece"].iloc[:1], "part": [0], "counts": [zlib.compress(merged.tobytes(), 1)]})
+
+    kind = "piece int, part int, counts binary"
+    parts = rows.mapInArrow(run, kind).groupBy("piece", "part").applyInPandas(add, kind).groupBy("piece").applyInPandas(add, kind)
+    out = np.zeros(1 << bits, dtype=np.uint32)
+    for r in parts.collect():
+        out[r["piece"] * piece : (r["piece"] + 1) * piece] = np.frombuffer(zlib.decompress(r["counts"]), dtype=np.uint32)
+    return out
+
+
+def extra_of(n: int, similar: float) -> int:
+    """How many keys beyond the least a pair with a set of ``n`` shingles must share, and one."""
+    return max(1, math.ceil(EXTRA * n)) if n > similar * SAMPLE else 1
+
+
+def keys_of(shingles: np.ndarray, sketch: np.ndarray, similar: float = SIMILAR) -> tuple[np.ndarray, np.ndarray]:
+    """(keys of a set of distinct shingle hashes, rare ones first; their places in the order)."""
+    n = len(shingles)
+    first = n - math.ceil(similar * n - 1e-9) + extra_of(n, similar)
+    counts = sketch[bucket(shingles, len(sketch).bit_length() - 1)]
+    keys = shingles[np.lexsort((shingles, counts))[:first]]
+    if n <= SAMPLE:
+        return keys, np.arange(len(keys))
+    # The key's own hash decides, so two texts that share a key agree on it up to their lengths.
+    places = np.flatnonzero(mix(keys.view(np.uint64)) < np.uint64(SAMPLE / n * 2.0**64))
+    return keys[places], places
+
+
+def described(docs: DataFrame, words: int, similar: float) -> DataFrame:
+    """``key, node, fp, size, keys, places`` of every row: ``node`` tells the shingle set, ``fp`` is its SimHash; keys and their places once a task for each node."""
+    sketch = docs.sparkSession.sparkContext.broadcast(shingle_sketch(docs, words))
     key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("th"))
 
     def run(batches):
+        counts, seen = sketch.value, set()
         for batch in batches:
-            texts = batch.column(1)
-            for at in range(0, len(texts), 256):
-                hashes = [np.array(shingle_hashes(texts[i].as_py(), words), dtype=np.uint64) for i in range(at, min(at + 256, len(texts)))]
-                sets = [np.unique(h.view(np.int64)) for h in hashes]
-                sizes = np.array([len(h) for h in hashes], dtype=np.int64)
+            for at, texts in batches_of(batch.column(1)):
+                nodes, fps, sizes, keys, places = [], [], [], [], []
+                for found in shingle_runs(texts, words):
+                    own = np.unique(found.view(np.int64))
+                    node = xxhash.xxh64_intdigest(own.tobytes()) - (1 << 63)
+                    nodes.append(node)
+                    fps.append(simhash(found))
+                    sizes.append(len(own))
+                    some, at_place = (None, None) if node in seen else keys_of(own, counts, similar)
+                    keys.append(some)
+                    places.append(at_place)
+                    seen.add(node)
                 columns = {
-                    "key": batch.column(0).slice(at, len(hashes)),
-                    "node": pa.array([xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets], pa.int64()),
-                    "fp": pa.array(majority(np.concatenate(hashes), sizes).view(np.int64)),
-                    "size": pa.array([len(s) for s in sets], pa.int64()),
-                    "keys": pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())),
+                    "key": batch.column(0).slice(at, len(nodes)),
+                    "node": pa.array(nodes, pa.int64()),
+                    "fp": pa.array(np.array(fps, dtype=np.uint64).view(np.int64)),
+                    "size": pa.array(sizes, pa.int64()),
+                    "keys": pa.array(keys, pa.list_(pa.int64())),
+                    "places": pa.array(places, pa.list_(pa.int32())),
                 }
                 yield pa.RecordBatch.from_pydict(columns)
         release()
 
     rows = texts_of(docs).select(key.alias("key"), "text")
-    return rows.mapInArrow(run, "key struct<doc_id: bigint, th: bigint>, node long, fp long, size long, keys array<long>")
+    return rows.mapInArrow(run, "key struct<doc_id: bigint, th: bigint>, node long, fp long, size long, keys array<long>, places array<int>")
 
 
 def sized(a: str, b: str, similar: float):
@@ -96,18 +187,12 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, si
     keys = nodes.join(broadcast_if_small(need, NEED), "node", "left_semi").select("node", F.col("key").alias("need_key"))
     rows = texts_of(docs).withColumn("key", F.struct(F.col("doc_id"), F.xxhash64("text").alias("th")))
     picked = rows.join(broadcast_if_small(checkpoint(keys), NEED), F.col("key") == F.col("need_key")).select(F.col("node").alias("doc_id"), "text")
-    sets = map_texts(picked, "doc_id long, grams array<long>", [("grams", pa.list_(pa.int64()))], lambda texts: [[shingle_set(t, words) for t in texts]])
+    sets = map_texts(picked, "doc_id long, grams array<long>", [("grams", pa.list_(pa.int64()))], lambda texts: [[np.unique(r.view(np.int64)) for r in shingle_runs(texts, words)]], pass_chars=PASS_CHARS)
     own = checkpoint(sets.groupBy(F.col("doc_id").alias("node")).agg(F.any_value("grams").alias("grams")))
-    both = lookup(pairs, own.select(F.col("node").alias("src"), F.col("grams").alias("a")), "src").join(own.select(F.col("node").alias("dst"), F.col("grams").alias("b")), "dst")
+    side = lambda name, grams: own.select(F.col("node").alias(name), F.col("grams").alias(grams))
+    both = lookup(lookup(pairs, side("src", "a"), "src").withColumnRenamed("src", "head"), side("dst", "b"), "dst", hot={})
     common = F.size(F.array_intersect("a", "b"))
-    return checkpoint(both.where(common >= (F.size("a") + F.size("b") - common) * similar - 1e-9).select("src", "dst"))
-
-
-def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The ``pairs`` that share COMMON keys or more: what two texts with one passage in common seldom do."""
-    pairs, keys = checkpoint(pairs), nodes.select("node", "keys")
-    both = lookup(pairs, keys.select(F.col("node").alias("src"), F.col("keys").alias("a")), "src").join(keys.select(F.col("node").alias("dst"), F.col("keys").alias("b")), "dst")
-    return both.where(F.size(F.array_intersect("a", "b")) >= COMMON).select("src", "dst")
+    return checkpoint(both.where(common >= (F.size("a") + F.size("b") - common) * similar - 1e-9).select(F.col("head").alias("src"), "dst"))
 
 
 def placed(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -126,42 +211,71 @@ def simhash_pairs(nodes: DataFrame, radius: int) -> DataFrame:
     return between.unionAll(shared.where("node <> head").select(F.col("head").alias("src"), F.col("node").alias("dst")))
 
 
-def members(bands: DataFrame) -> DataFrame:
-    """``key, node, size`` of every bucket with two nodes or more, and its least node ``hub``."""
-    buckets = bands.groupBy("key").agg(F.min(F.struct("node", "size")).alias("hub"), F.max("node").alias("last")).where("hub.node <> last").select("key", "hub")
-    return lookup(bands, buckets, "key")
+def each_key(rows: DataFrame) -> DataFrame:
+    """A row for each key, with its place."""
+    own = [c for c in rows.columns if c != "keys"]
+    return rows.select(*own, F.explode("keys").alias("k")).select(*own, "k.key", "k.place")
+
+
+def shared_keys(nodes: DataFrame) -> tuple[DataFrame, dict]:
+    """(``node, size, share, keys`` with the keys that another node has too and their share among all keys, the hot ones of these keys)."""
+    both = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.get("places", i).alias("place")))
+    flat = each_key(nodes.select("node", "size", F.size("keys").alias("all"), both.alias("keys")))
+    many = checkpoint(flat.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high").select("key", "n"))
+    bound = hot_bound(many.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"])
+    hot = {r["key"]: -(-r["n"] // bound) for r in many.where(F.col("n") >= bound).collect()}
+    rows = lookup(flat, many.select("key"), "key", hot=hot).groupBy("node")
+    made = rows.agg(F.max("size").alias("size"), (F.count(F.lit(1)) / F.max("all")).alias("share"), F.collect_list(F.struct("key", "place")).alias("keys"))
+    return checkpoint(made), hot
+
 
+def stars(rows: DataFrame, hot: dict, turn: int, similar: float) -> DataFrame:
+    """Pairs of each node of ``rows(node, size, share, part, keys)`` with one other: of the first nodes of its keys, in another part, the one of most keys.
 
-def pairs_between(rows: DataFrame, similar: float) -> DataFrame:
-    """Pairs of members of one bucket in different parts, each in the first key that both have."""
-    a, b = (rows.select(F.col("key"), F.col("node").alias(n), F.col("size").alias(f"{n}_size"), F.col("part").alias(f"{n}_part"), F.col("keys").alias(f"{n}_keys")) for n in ("src", "dst"))
-    met = a.join(b, "key").where((F.col("src") < F.col("dst")) & (F.col("src_part") != F.col("dst_part")) & sized("src_size", "dst_size", similar))
-    first = F.get(F.array_compact(F.transform("src_keys", lambda k, i: F.when(k == F.get("dst_keys", i), k))), F.lit(0))
-    return met.where(first == F.col("key")).select("src", "dst")
+    The first node of a key is the one with the largest ``share``, in later turns that with the
+    least hash, so it is the same one for most keys of a group.
+    """
+    flat = each_key(rows)
+    at = F.struct(-F.col("share") if turn == 0 else F.lit(0.0), F.xxhash64("node", F.lit(turn)))
+    hub = F.min(F.struct(at.alias("at"), "node", "size", "part")).alias("hub")
+    mixed = flat.groupBy("key").agg(hub, F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key", "hub")
+    met = lookup(flat, mixed, "key", hot=hot).where((F.col("part") != F.col("hub.part")) & sized("size", "hub.size", similar))
+    counted = met.groupBy("node", F.col("hub.node").alias("other")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("node").agg(F.max_by("other", F.struct("n", "other")).alias("src")).select("src", F.col("node").alias("dst"))
+
+
+def in_front(m: str, i: str, n: str, j: str, similar: float):
+    """Whether the places ``i`` and ``j`` of a key in sets of ``m`` and ``n`` shingles lie where a pair that is similar enough shares keys."""
+    extra = lambda size: F.when(F.col(size) > similar * SAMPLE, F.greatest(F.lit(1), F.ceil(EXTRA * F.col(size)))).otherwise(1)
+    least = F.ceil(similar / (1 + similar) * (F.col(m) + F.col(n)) - 1e-9)
+    room = F.least(extra(m), extra(n)) - least
+    return (F.col(i) < F.col(m) + room) & (F.col(j) < F.col(n) + room)
 
 
 def rest_pairs(rows: DataFrame, similar: float) -> DataFrame:
-    """Candidate pairs of ``rows(key, node, size, part, keys)`` whose members are in different parts of one bucket."""
-    bucket = Window.partitionBy("key")
-    mixed = checkpoint(rows.withColumn("low", F.min("part").over(bucket)).withColumn("high", F.max("part").over(bucket)).where("low <> high").withColumn("n", F.count(F.lit(1)).over(bucket)).drop("low", "high"))
-    few = pairs_between(mixed.where(F.col("n") <= CROWD), similar)
-    crowd = mixed.where(F.col("n") > CROWD).select("node", "size", "part", "keys", F.col("key").alias("one"), F.explode("keys").alias("two")).where("one <> two")
-    split = crowd.withColumn("key", F.xxhash64(F.least("one", "two"), F.greatest("one", "two"))).drop("one", "two").distinct()
-    a, b = (split.select("key", F.col("node").alias(n), F.col("size").alias(f"{n}_size"), F.col("part").alias(f"{n}_part")) for n in ("src", "dst"))
-    many = a.join(b, "key").where((F.col("src") < F.col("dst")) & (F.col("src_part") != F.col("dst_part")) & sized("src_size", "dst_size", similar)).select("src", "dst")
-    return few.unionAll(many).distinct()
+    """Pairs of nodes of ``rows(node, size, part, keys)`` in different parts that share a key which lies in front in both sets.
+
+    In every pair one node is not of the part that most nodes of the key belong to; these are few and are met with all.
+    """
+    flat = each_key(rows.select("node", "size", "part", "keys"))
+    main = flat.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("key", "main")
+    few = lookup(flat, main, "key").where("part <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "size", "part", "place")])
+    met = few.join(flat, "key").where((F.col("x_part") != F.col("part")) & sized("x_size", "size", similar) & in_front("x_size", "x_place", "size", "place", similar))
+    return met.select(F.least("x_node", "node").alias("src"), F.greatest("x_node", "node").alias("dst")).distinct()
 
 
 def links(nodes: DataFrame, docs: DataFrame, words: int, similar: float) -> DataFrame:
     """``src, dst`` nodes: verified links that connect what all pairs of at least ``similar`` connect."""
-    found = verified(simhash_pairs(nodes.where("size > 0"), RADIUS).distinct(), nodes, docs, words, similar)
-    bands = nodes.select("node", "size", F.explode("keys").alias("key"))
-    shared = checkpoint(members(bands))
-    apart = placed(shared, found).join(placed(shared.select(F.col("hub.node").alias("node")).distinct(), found).select(F.col("node").alias("hub_node"), F.col("part").alias("hub_part")), F.col("hub.node") == F.col("hub_node"))
-    stars = apart.where((F.col("part") != F.col("hub_part")) & sized("size", "hub.size", similar)).select(F.col("hub_node").alias("src"), F.col("node").alias("dst"))
-    found = checkpoint(found.unionAll(verified(likely(stars.distinct(), nodes), nodes, docs, words, similar)))
-    rows = placed(shared.select("key", "node", "size"), found).join(nodes.select("node", "keys"), "node")
-    return found.unionAll(verified(likely(rest_pairs(rows, similar), nodes), nodes, docs, words, similar))
+    full = nodes.where("size > 0")
+    rows, hot = shared_keys(full)
+    # At first every node is a part of its own.
+    pairs, found = simhash_pairs(full, RADIUS).unionAll(stars(rows.withColumn("part", F.col("node")), hot, 0, similar)), None
+    for turn in range(1, ROUNDS + 1):
+        near = verified(pairs.distinct(), nodes, docs, words, similar)
+        found = near if found is None else checkpoint(found.unionAll(near))
+        apart = checkpoint(placed(rows, found))
+        pairs = stars(apart, hot, turn, similar) if turn < ROUNDS else rest_pairs(apart, similar)
+    return found.unionAll(verified(pairs, nodes, docs, words, similar))
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) -> DataFrame:
@@ -171,11 +285,14 @@ def keep_first(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) ->
     ``similar``; groups are what links connect. Texts with equal shingles are one node, told
     by a 64-bit hash; null and empty texts are one node too. Rows are told apart by id and a
     hash of the text: rows that share an id but not the text are judged each by its own text,
-    and of rows that repeat both one stays. An empty table stays empty; all columns are kept.
+    and of rows that repeat both one stays. Very long texts are hashed in pieces. An empty
+    table stays empty; all columns are kept.
     """
-    rows = checkpoint(described(docs, words))
+    rows = checkpoint(described(docs, words, similar))
     best = F.struct(F.col("key.doc_id").isNull().alias("none"), F.col("key").alias("key"))
-    nodes = checkpoint(rows.groupBy("node").agg(F.min(best).alias("best"), F.any_value("fp").alias("fp"), F.max("size").alias("size"), F.any_value("keys").alias("keys")).select("node", "best", F.col("best.key").alias("key"), "fp", "size", "keys"))
+    facts = rows.groupBy("node").agg(F.min(best).alias("best"), F.min("fp").alias("fp"), F.max("size").alias("size"))
+    keys = rows.where("keys is not null").groupBy("node").agg(F.any_value(F.struct("keys", "places")).alias("own"))
+    nodes = checkpoint(facts.join(keys, "node").select("node", "best", F.col("best.key").alias("key"), "fp", "size", "own.keys", "own.places"))
     groups = placed(nodes.select("node", "best"), links(nodes, docs, words, similar)).groupBy("part").agg(F.min("best").alias("best"))
     key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
     marked = docs.withColumn("near_copy_key", key).dropDuplicates(["near_copy_key"])

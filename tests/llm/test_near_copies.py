@@ -14,10 +14,9 @@ def brute(texts):
     return set(up)
 
 
-def test_the_pipeline_drops_near_copies_of_similarity_080(spark, monkeypatch):
+def test_the_pipeline_drops_near_copies_of_similarity_080(spark):
     import corpus_pipeline
 
-    monkeypatch.setattr(near_copies, "CROWD", 6)  # so that crowded buckets are split too
     rng = random.Random(5)
     word = lambda: f"w{rng.randrange(3000)}"
     texts = [None, "", "one two", "ONE  two", "one two three"]
