@@ -36,7 +36,9 @@ def release() -> None:
     gc.collect()
     pa.default_memory_pool().release_unused()
     if sys.platform == "linux":
-        ctypes.CDLL(None).malloc_trim(0)
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+        if trim:
+            trim(0)
 
 
 def fold_of(id_col: str, parts: int) -> Column:
@@ -111,21 +113,24 @@ def keep_texts(df: DataFrame, start: Callable, text_col: str = "text") -> DataFr
     return df.mapInArrow(run, df.schema)
 
 
-def bounded_sample(df: DataFrame, keys: list[str], rows: int, size_col: str | None = None, size: int = 0) -> DataFrame:
-    """At most about ``rows`` rows (and about ``size`` of ``size_col``), chosen by a hash of ``keys``: the same at any partitioning.
+def below(share: float) -> int:
+    """The 64-bit hashes (long) under this are a ``share`` of all: the full range, so that the least share of a very large table is not cut to none."""
+    return min(int(share * 2.0**64), (1 << 64) - 1) - (1 << 63)
+
+
+def bounded_sample(df: DataFrame, keys: list[str], rows: int, size_col: str | None = None, size: int = 0) -> tuple[DataFrame, int]:
+    """(at most about ``rows`` rows, and about ``size`` of ``size_col``, chosen by a hash of ``keys``: the same at any partitioning; how many rows ``df`` has).
 
     Used only to fit classifiers. All rows are kept if they are within the bounds.
     """
     total = F.coalesce(F.sum(size_col), F.lit(0)) if size_col else F.lit(0)
     said = df.agg(F.count(F.lit(1)).alias("n"), total.alias("size")).first()
     share = min(1.0, rows / max(said["n"], 1), size / said["size"] if size_col and said["size"] else 1.0)
-    if share == 1.0:
-        return df
-    return df.where(F.pmod(F.xxhash64(*keys, F.lit("fit")), F.lit(1 << 20)) < int(share * (1 << 20)))
+    return (df if share == 1.0 else df.where(F.xxhash64(*keys, F.lit("fit")) < below(share))), said["n"]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, size: int, longest: int) -> DataFrame:
-    """``doc_id, th, text, label`` of a bounded sample of the labelled documents.
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, size: int, longest: int) -> tuple[DataFrame, int]:
+    """(``doc_id, th, text, label`` of a bounded sample of the labelled documents, how many of these there are).
 
     ``labels(label_id, label)`` has distinct ids. The sample is taken of documents that have a
     label, not of labels: distinct pairs of id and text, about ``rows`` of them and ``size``
@@ -133,15 +138,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, size: int, lo
     shuffled; the keys of the sample, at most about ``rows``, are broadcast to fetch the texts.
     """
     texts = texts_of(docs).withColumn("th", F.xxhash64("text"))
-    known = texts.select("doc_id", "th", F.octet_length("text").alias("size")).where(F.col("size") <= longest).distinct()
-    marked = checkpoint(known.join(labels, known.doc_id == labels.label_id).select("label_id", "th", "size", "label"))
-    picked = bounded_sample(marked, ["label_id", "th"], rows, "size", size).withColumnRenamed("th", "label_th").drop("size")
+    known = texts.select("doc_id", "th", F.octet_length("text").alias("size")).where(F.col("size") <= longest)
+    marked = checkpoint(known.join(labels, known.doc_id == labels.label_id).select("label_id", "th", "size", "label").distinct())
+    picked, n = bounded_sample(marked, ["label_id", "th"], rows, "size", size)
+    picked = picked.withColumnRenamed("th", "label_th").drop("size")
     found = texts.join(F.broadcast(picked), (F.col("doc_id") == F.col("label_id")) & (F.col("th") == F.col("label_th")))
-    return found.groupBy("doc_id", "th").agg(F.min("text").alias("text"), F.min("label").alias("label"))
+    return found.groupBy("doc_id", "th").agg(F.min("text").alias("text"), F.min("label").alias("label")), n
+
 
+def fitted(sample: DataFrame, known: int, fit: Callable[[list[str], np.ndarray], object]) -> object | None:
+    """What ``fit(texts, labels)`` makes of a bounded ``labelled_sample`` of ``known`` rows, in order of id and text hash.
 
-def fitted(sample: DataFrame, fit: Callable[[list[str], np.ndarray], object]) -> object | None:
-    """What ``fit(texts, labels)`` makes of a bounded ``labelled_sample``, in order of id and text hash; None of an empty one.
+    None if no row is known; a sample that is empty although some are is an error.
 
     The fit runs in one task, on an executor, so that the driver gets the model and no texts.
     """
@@ -160,4 +168,6 @@ def fitted(sample: DataFrame, fit: Callable[[list[str], np.ndarray], object]) ->
 
     rows = sample.repartition(1).sortWithinPartitions("doc_id", "th").select("text", "label")
     got = rows.mapInPandas(run, "model binary").collect()
+    if known and not got:
+        raise ValueError(f"no row of {known} labelled ones is in the sample")
     return pickle.loads(got[0]["model"]) if got else None

@@ -54,7 +54,7 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
     Counts are summed by Spark; the driver gets the matrix, whose size is fixed by FEATURES
     and the number of languages. The prior is uniform over languages.
     """
-    rows = bounded_sample(docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()), [id_col, text_col], FIT_DOCS)
+    rows, n = bounded_sample(docs.where(train & F.col(lang_col).isNotNull() & (F.col(text_col) != "")), [id_col, text_col], FIT_DOCS)
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
     def count(batches):
@@ -71,6 +71,8 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
 
     got = rows.mapInArrow(count, "lang string, feature long, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(got["lang"].unique())
+    if n and not langs:
+        raise ValueError(f"no row of {n} with a language is in the sample")
     counts = np.full((FEATURES, len(langs)), SMOOTHING)
     for j, lang in enumerate(langs):
         own = got[got["lang"] == lang]

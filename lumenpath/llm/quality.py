@@ -141,8 +141,8 @@ def fit_labelled(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int =
     """Fit on a bounded sample of the labelled documents outside the held-out fold. Without labels, None."""
     fold = F.pmod(F.crc32(F.col("label_id").cast("string")), F.lit(parts))
     marked = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("label")).where(F.col("label").isNotNull() & F.col("label_id").isNotNull() & (fold != held))
-    sample = labelled_sample(docs, marked.groupBy("label_id").agg(F.min("label").alias("label")), FIT_DOCS, FIT_BYTES, FIT_TEXT)
-    return fitted(sample, fit)
+    sample, known = labelled_sample(docs, marked.groupBy("label_id").agg(F.min("label").alias("label")), FIT_DOCS, FIT_BYTES, FIT_TEXT)
+    return fitted(sample, known, fit)
 
 
 def bag_slices(text: str) -> Iterator[str]:

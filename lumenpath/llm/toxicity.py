@@ -93,8 +93,8 @@ def fit_labelled(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int =
     """Fit on a bounded sample of the labelled documents outside the held-out fold. Without labels, no weights."""
     fold = F.pmod(F.crc32(F.col("label_id").cast("string")), F.lit(parts))
     marked = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("toxic").cast("int").alias("label")).where(F.col("label").isNotNull() & F.col("label_id").isNotNull() & (fold != held))
-    sample = labelled_sample(docs, marked.groupBy("label_id").agg(F.max("label").alias("label")), FIT_DOCS, FIT_BYTES, FIT_TEXT)
-    return fitted(sample, fit) or (np.zeros(0, np.int64), np.zeros(0), 0.0)
+    sample, known = labelled_sample(docs, marked.groupBy("label_id").agg(F.max("label").alias("label")), FIT_DOCS, FIT_BYTES, FIT_TEXT)
+    return fitted(sample, known, fit) or (np.zeros(0, np.int64), np.zeros(0), 0.0)
 
 
 def weights_of(model: tuple[np.ndarray, np.ndarray, float]) -> np.ndarray:

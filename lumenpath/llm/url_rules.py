@@ -75,7 +75,7 @@ def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT,
     bad = F.max(F.when((F.col("toxic") == 1) | (F.col("quality") == 0), 1).otherwise(0))
     marks = labels.where("doc_id is not null and (toxic is not null or quality is not null)").groupBy(F.col("doc_id").alias("mark_id")).agg(bad.alias("bad"))
     urls = pages.where("url is not null").select(F.col("page_id").cast("long").alias("page_id"), "url")
-    marked = bounded_sample(urls.join(marks, F.col("page_id") == F.col("mark_id")), ["mark_id"], FIT_PAGES)
+    marked, _ = bounded_sample(urls.join(marks, F.col("page_id") == F.col("mark_id")), ["mark_id"], FIT_PAGES)
     verdict = F.concat(F.lit(CLASS), F.when(F.col("bad") == 1, BLOCK).otherwise(ALLOW))
     baskets = checkpoint(marked.select(F.monotonically_increasing_id().alias("row"), tokens(host_of(F.col("url")), path_of(F.col("url"))).alias("items"), verdict.alias("class")))
     shares = {r["class"]: r["n"] for r in baskets.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -191,7 +191,7 @@ def test_held_out_rows(spark):
 def test_the_sample_is_bounded_by_rows_and_bytes(spark):
     docs = spark.createDataFrame([(i % 1000, f"text {i} " + "x" * 100) for i in range(3000)] + [(5, "y" * 5000)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, float(i % 2)) for i in range(3000)], "label_id long, label double")
-    texts = lambda *bounds: [r.text for r in labelled_sample(*bounds).collect()]
+    texts = lambda *bounds: [r.text for r in labelled_sample(*bounds)[0].collect()]
     whole = texts(docs, labels, 10_000, 1 << 30, 1000)
     assert len(whole) == 3000 and max(map(len, whole)) < 1000
     assert 200 < len(texts(docs, labels, 300, 1 << 30, 10_000)) < 400
