@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenpath.llm.chunk_table import PASS_CHARS, ChunkTable
-from lumenpath.llm.common import map_texts, texts_of
+from lumenpath.llm.common import held, map_texts, texts_of
 
 # The split pattern of the vocabulary file.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -203,9 +203,6 @@ class Encoder:
         return pa.ListArray.from_arrays(offsets, pa.array(ids.view(np.int32))), pc.binary_join(pa.ListArray.from_arrays(offsets, labels), " ")
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def compile_file(path: str) -> dict:
     """The parts of a vocabulary file that the automaton needs. Its size is fixed by the vocabulary."""
     with open(path, encoding="utf-8") as f:
@@ -213,13 +210,6 @@ def compile_file(path: str) -> dict:
     return {"model": {k: spec["model"][k] for k in ("vocab", "merges")}, "added_tokens": [{k: a[k] for k in ("id", "content")} for a in spec["added_tokens"]]}
 
 
-def encoder_of(name: str, spec: dict) -> Encoder:
-    """One encoder per Python worker and vocabulary; workers are reused by later tasks."""
-    if name not in _ENCODERS:
-        _ENCODERS[name] = Encoder(Automaton(spec))
-    return _ENCODERS[name]
-
-
 def encode_decode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", full: bool = True) -> DataFrame:
     """Encode every whole text and decode it again.
 
@@ -232,10 +222,10 @@ def encode_decode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text
     spec = docs.sparkSession.sparkContext.broadcast(compile_file(vocab_path))
 
     def start():
-        return encoder_of(vocab_path, spec.value).encode_all
+        return held(f"automaton {vocab_path}", lambda: Encoder(Automaton(spec.value))).encode_all
 
     names = [("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
-    said = map_texts(texts_of(docs, id_col, text_col), "doc_id long, ids array<int>, decoded string", names, None, start, PASS_CHARS)
+    said = map_texts(texts_of(docs, id_col, text_col), "doc_id long, ids array<int>, decoded string", names, None, start, min(PASS_CHARS, 1_000_000))
     digest = lambda text: F.sha2(F.encode(text, "UTF-8"), 256)
     ids = digest(F.array_join(F.col("ids").cast("array<string>"), " "))
     return said.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"), *(["ids", "decoded"] if full else []))

@@ -41,6 +41,34 @@ def release() -> None:
             trim(0)
 
 
+_HELD: dict[str, object] = {}
+_USED: set[str] = set()
+
+
+def held(name: str, make: Callable[[], object]) -> object:
+    """What ``make`` made under this name for an earlier task of this worker, else made now.
+
+    A worker holds one such thing (a vocabulary's table, an index): before another is made, the last one goes.
+    """
+    _USED.add(name)
+    if name not in _HELD:
+        _HELD.clear()
+        release()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def begin(start: Callable | None = None, kernel: Callable | None = None) -> Callable | None:
+    """``start()``, or ``kernel`` if there is none, with nothing held that this task does not use."""
+    _USED.clear()
+    work = start() if start else kernel
+    if _HELD.keys() - _USED:
+        for name in _HELD.keys() - _USED:
+            del _HELD[name]
+        release()
+    return work
+
+
 def fold_of(id_col: str, parts: int) -> Column:
     """crc32 of the id's decimal text (null: empty), modulo ``parts``."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(parts))
@@ -60,7 +88,7 @@ def map_texts(df: DataFrame, schema: str, names: list[str], kernel: Callable[[li
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = start() if start else kernel
+        work = begin(start, kernel)
         out_schema = None
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
@@ -94,7 +122,7 @@ def keep_texts(df: DataFrame, start: Callable, text_col: str = "text") -> DataFr
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep = start()
+        keep = begin(start)
         for batch in batches:
             texts, begin = batch.column(at), 0
             while begin < len(texts):
@@ -155,6 +183,7 @@ def fitted(sample: DataFrame, known: int, fit: Callable[[list[str], np.ndarray],
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begin()
         texts, labels = [], []
         for pdf in frames:
             texts += pdf["text"].tolist()

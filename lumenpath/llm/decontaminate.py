@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenpath.llm.common import keep_texts, texts_of
+from lumenpath.llm.common import held, keep_texts, texts_of
 
 SHINGLE, SIMILARITY, RADIUS, BLOCKS, FAMILIES, WIDTH = 5, 0.8, 11, 4, 4, 16
 #: The items are broadcast; a larger benchmark is worked off in parts of about so many bytes and items. An item takes some 10 KB of the index.
@@ -206,17 +206,6 @@ class Index:
                 best[item_id] = (s, start, width)
 
 
-_INDEX: dict[str, Index] = {}
-
-
-def index_of(name: str, items: list[tuple[int, str]]) -> Index:
-    """The index of one benchmark part, built once per Python worker; a worker keeps one at a time."""
-    if name not in _INDEX:
-        _INDEX.clear()
-        _INDEX[name] = Index(items)
-    return _INDEX[name]
-
-
 def benchmark_parts(benchmark: DataFrame, item_col: str, text_col: str) -> list[DataFrame]:
     """The benchmark in parts whose size is checked, each small enough to broadcast."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).alias("text"))
@@ -240,7 +229,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         items = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in part.where("text is not null").collect()])
 
         def run(batches, items=items, name=uuid.uuid4().hex):
-            index = index_of(name, items.value)
+            index = held(f"index {name}", lambda: Index(items.value))
             for batch in batches:
                 rows = [(doc.as_py(), *m) for doc, text in zip(batch.column(0), batch.column(1)) for m in index.matches(text.as_py())]
                 if rows:
@@ -259,7 +248,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id")
         items = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in part.where("text is not null").collect()])
 
         def start(items=items, name=uuid.uuid4().hex):
-            index = index_of(name, items.value)
+            index = held(f"index {name}", lambda: Index(items.value))
             return lambda texts: [not index.matches(t) for t in texts]
 
         docs = keep_texts(docs, start)

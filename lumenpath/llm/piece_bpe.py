@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from lumenpath.llm.bpe_automaton import byte_characters
 from lumenpath.llm.chunk_table import ENTRY_BYTES, SLICE_CHARS, TABLE_BYTES, key_size
-from lumenpath.llm.common import map_texts, texts_of
+from lumenpath.llm.common import held, map_texts, texts_of
 from lumenpath.llm.token_counts import SPACE, SPACES, UNITS
 
 # The split pattern of the rank files.
@@ -219,16 +219,6 @@ def binaries(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-_CODECS: dict[str, PieceCodec] = {}
-
-
-def codec_of(path: str, lines: bytes) -> PieceCodec:
-    """One codec per Python worker and vocabulary; workers are reused by later tasks."""
-    if path not in _CODECS:
-        _CODECS[path] = PieceCodec(serialise(ranks_of(lines)))
-    return _CODECS[path]
-
-
 def encode_decode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids, decoded`` of every whole text.
 
@@ -242,7 +232,7 @@ def encode_decode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text
         lines = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def start():
-        codec = codec_of(vocab_path, lines.value)
+        codec = held(f"pieces {vocab_path}", lambda: PieceCodec(serialise(ranks_of(lines.value))))
 
         def kernel(texts: list[str]) -> list:
             ids, cuts = codec.encode(texts)

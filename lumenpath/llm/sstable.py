@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from lumenpath.llm.bpe_automaton import byte_characters, in_byte_characters, pieces, words
 from lumenpath.llm.chunk_table import ChunkTable
-from lumenpath.llm.common import texts_of
+from lumenpath.llm.common import held, texts_of
 from lumenpath.session import shared_dir
 
 MAGIC = b"LPSST\x00\x00\x01"
@@ -201,16 +201,6 @@ def table_of_library(vocab: str) -> ChunkTable:
     return ChunkTable(lambda w: [t.id for t in model.tokenize(in_byte_characters(w, shown))], words, lambda t: pieces(t, strings), added)
 
 
-_TABLES: dict[str, ChunkTable] = {}
-
-
-def library_table(path: str, vocab: str) -> ChunkTable:
-    """One table per Python worker and vocabulary; workers are reused by later tasks."""
-    if path not in _TABLES:
-        _TABLES[path] = table_of_library(vocab)
-    return _TABLES[path]
-
-
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
 
@@ -235,7 +225,7 @@ def write_shards(docs: DataFrame, vocab_path: str, folder: str, end_id: int = 1,
     keyed = placed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def run(batches):
-        enc, part = library_table(vocab_path, spec.value), TaskContext.get().partitionId()
+        enc, part = held(f"library {vocab_path}", lambda: table_of_library(spec.value)), TaskContext.get().partitionId()
         store, root = open_folder(folder)
         state = {"k": 0, "writer": None}
 

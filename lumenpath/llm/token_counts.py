@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lumenpath.llm.bpe_automaton import pieces
-from lumenpath.llm.common import map_texts, texts_of
+from lumenpath.llm.common import held, map_texts, texts_of
 
 # The characters of Unicode's White_Space.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -101,15 +101,6 @@ def count_spliced(counts: UnitCounts, text: str, size: int = CHUNK_CHARS, overla
     return total + len(left.ends) - left.until(since), used
 
 
-_COUNTERS: dict[str, UnitCounts] = {}
-
-
-def counter_of(path: str, vocab: str) -> UnitCounts:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = UnitCounts(vocab)
-    return _COUNTERS[path]
-
-
 def token_counts(docs: DataFrame, vocab_path: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit, n_chunks`` of every whole text.
 
@@ -121,7 +112,7 @@ def token_counts(docs: DataFrame, vocab_path: str, limit: int = 512, id_col: str
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def start():
-        counts = counter_of(vocab_path, spec.value)
+        counts = held(f"counts {vocab_path}", lambda: UnitCounts(spec.value))
 
         def one(text: str) -> tuple[int, int]:
             n = used = 0
