@@ -58,7 +58,7 @@ def held(name: str, make: Callable[[], object]) -> object:
     return _HELD[name]
 
 
-def begin(start: Callable | None = None, kernel: Callable | None = None) -> Callable | None:
+def task_start(start: Callable | None = None, kernel: Callable | None = None) -> Callable | None:
     """``start()``, or ``kernel`` if there is none, with nothing held that this task does not use."""
     _USED.clear()
     work = start() if start else kernel
@@ -88,7 +88,7 @@ def map_texts(df: DataFrame, schema: str, names: list[str], kernel: Callable[[li
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = begin(start, kernel)
+        work = task_start(start, kernel)
         out_schema = None
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
@@ -122,7 +122,7 @@ def keep_texts(df: DataFrame, start: Callable, text_col: str = "text") -> DataFr
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep = begin(start)
+        keep = task_start(start)
         for batch in batches:
             texts, begin = batch.column(at), 0
             while begin < len(texts):
@@ -183,7 +183,7 @@ def fitted(sample: DataFrame, known: int, fit: Callable[[list[str], np.ndarray],
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        begin()
+        task_start()
         texts, labels = [], []
         for pdf in frames:
             texts += pdf["text"].tolist()

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenpath.llm.common import begin, map_texts, release, texts_of
+from lumenpath.llm.common import map_texts, release, task_start, texts_of
 from lumenpath.llm.shingles import shingle_runs, simhash
 from lumenpath.llm.simhash_trie import trie_links
 from lumenpath.llm.word_hash import mix
@@ -97,7 +97,7 @@ def shingle_sketch(docs: DataFrame, words: int) -> np.ndarray:
     piece = (1 << bits) // PIECES
 
     def run(batches):
-        begin()
+        task_start()
         own = np.zeros(1 << bits, dtype=np.uint32)
         for batch in batches:
             for _, texts in batches_of(batch.column(0)):
@@ -147,7 +147,7 @@ def described(docs: DataFrame, words: int, similar: float) -> DataFrame:
     key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("th"))
 
     def run(batches):
-        begin()
+        task_start()
         counts, seen = sketch.value, set()
         for batch in batches:
             for at, texts in batches_of(batch.column(1)):
