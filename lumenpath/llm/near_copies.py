@@ -21,7 +21,7 @@ missed once in 300,000, a pair of equal lengths once in 10**12. Below that nothi
 
 Texts that share a key are first compared with one of them, so a large group of copies is
 not paired within itself: with the one of which most keys are shared, which is the original
-rather than one of its edited copies; then ROUNDS - 1 times with any. What is still in
+rather than one of its edited copies; further ROUNDS take any other. What is still in
 different groups is compared pair by pair, leaving out pairs within the group that most of a
 key's texts belong to. Every link is verified on whole shingle sets.
 """
@@ -29,6 +29,7 @@ key's texts belong to. Every link is verified on whole shingle sets.
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 
 import numpy as np
@@ -45,11 +46,11 @@ from lumenpath.llm.simhash_trie import trie_links
 from lumenpath.llm.word_hash import mix
 from lumenpath.operators.components import connected_components
 from lumenpath.operators.skew import hot_bound, lookup
-from lumenpath.session import broadcast_if_small, checkpoint
+from lumenpath.session import broadcast_if_small, checkpoint, remove, shared_dir
 
 WORDS, SIMILAR, RADIUS = 5, 0.8, 2
 #: Keys beyond the least that a filter needs, the shingles up to which all keys count, and rounds with one other text, as above.
-EXTRA, SAMPLE, ROUNDS = 0.05, 320, 2
+EXTRA, SAMPLE, ROUNDS = 0.05, 320, 1
 #: The count sketch has one counter for so many characters of text, within these bounds (4 MB at 20 bits, 64 MB at most).
 SKETCH_CHARS, SKETCH_BITS = 1_000, (16, 24)
 #: Parts in which the sketch is merged, and groups of tasks that are merged first.
@@ -290,11 +291,15 @@ def keep_first(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) ->
     and of rows that repeat both one stays. Very long texts are hashed in pieces. An empty
     table stays empty; all columns are kept.
     """
-    rows = checkpoint(described(docs, words, similar))
+    folder = f"{shared_dir(docs.sparkSession)}/near-copies-{uuid.uuid4().hex}"
+    # A written table and no checkpoint, which would hash all texts twice.
+    described(docs, words, similar).write.parquet(folder)
+    rows = docs.sparkSession.read.parquet(folder)
     best = F.struct(F.col("key.doc_id").isNull().alias("none"), F.col("key").alias("key"))
     facts = rows.groupBy("node").agg(F.min(best).alias("best"), F.min("fp").alias("fp"), F.max("size").alias("size"))
     keys = rows.where("keys is not null").groupBy("node").agg(F.any_value(F.struct("keys", "places")).alias("own"))
     nodes = checkpoint(facts.join(keys, "node").select("node", "best", F.col("best.key").alias("key"), "fp", "size", "own.keys", "own.places"))
+    remove(docs.sparkSession, folder)
     groups = placed(nodes.select("node", "best"), links(nodes, docs, words, similar)).groupBy("part").agg(F.min("best").alias("best"))
     key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
     marked = docs.withColumn("near_copy_key", key).dropDuplicates(["near_copy_key"])
