@@ -2,26 +2,59 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenpath.operators.skew import hot_keys, lookup
 from lumenpath.session import checkpoint
 
+#: Up to so many different edges (a few MB) are joined by union-find in one task; the result is the same.
+FINISH_EDGES = 100_000
+
+
+def joined(edges: DataFrame) -> DataFrame:
+    """``node, component`` of a bounded table ``edges(a, b)``, by union-find; the least node of a component names it."""
+    kind = dict(edges.dtypes)["a"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(frames, ignore_index=True)
+        if not len(rows):
+            return
+        at, names = pd.factorize(pd.concat([rows["a"], rows["b"]]), sort=True)
+        up = list(range(len(names)))
+
+        def root(x: int) -> int:
+            while up[x] != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        for x, y in zip(at[: len(rows)].tolist(), at[len(rows) :].tolist()):
+            x, y = root(x), root(y)
+            up[max(x, y)] = min(x, y)
+        yield pd.DataFrame({"node": names, "component": names[[root(x) for x in range(len(up))]]})
+
+    return edges.repartition(1).mapInPandas(run, f"node {kind}, component {kind}")
+
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Return ``(node, component)`` for every node that some edge touches.
 
     ``component`` is the smallest node reachable. Edges are undirected; self loops,
     repeated edges and edges with a null end are ignored, and an empty edge table gives
-    an empty result. Each round lowers labels over the edges and then follows the label
-    of the label, so rounds grow with the logarithm of the diameter. Every round is
-    checkpointed; one number and a bounded list of hot keys per round reach the driver. A
-    node with very many edges, or the label of a very large component, is looked up by
-    broadcast, so that neither lands in one task.
+    an empty result. Up to FINISH_EDGES different edges are joined at once. Of more, each
+    round lowers labels over the edges and then follows the label of the label, so rounds
+    grow with the logarithm of the diameter. Every round is checkpointed; one number and a
+    bounded list of hot keys per round reach the driver. A node with very many edges, or the
+    label of a very large component, is dealt into parts, so that neither lands in one task.
     """
     pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null and a <> b")
-    both = checkpoint(pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    once = checkpoint(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    if once.count() <= FINISH_EDGES:
+        return checkpoint(joined(once))
+    both = checkpoint(once.unionAll(once.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     hubs = hot_keys(both, "b")
     labels = checkpoint(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
     while True:

@@ -1,3 +1,8 @@
+import random
+
+from pyspark.sql import functions as F
+
+from lumenpath.operators import components, skew
 from lumenpath.plans import catalog
 
 
@@ -13,3 +18,24 @@ def test_components_of_all_links_equal_union_find(spark, tmp_path):
         up = {n: low if u == high else u for n, u in up.items()}
     got = catalog.queries()["components_whole"](spark, str(tmp_path)).collect()
     assert {r.node: r.component for r in got} == up and len(got) == len(up)
+
+
+def test_components_are_the_same_joined_at_once_or_in_rounds(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(f"n{rng.randrange(400)}", f"n{rng.randrange(400)}") for _ in range(230)] + [(None, "n1"), ("n2", None), ("é", "z"), ("z", "\U0001f600")]
+    rows += [("hub", f"h{i}") for i in range(300)] + [(f"c{i:03d}", f"c{i + 1:03d}") for i in range(60)]
+    edges = spark.createDataFrame(rows, "src string, dst string")
+    once = {tuple(r) for r in components.connected_components(edges).collect()}
+    monkeypatch.setattr(components, "FINISH_EDGES", 0)
+    assert {tuple(r) for r in components.connected_components(edges).collect()} == once
+    assert components.connected_components(edges.limit(0)).count() == 0
+
+
+def test_a_hot_key_is_dealt_into_parts(spark):
+    big = spark.range(20_000).select((F.col("id") % 7).alias("k"), "id").withColumn("k", F.when(F.col("id") % 3 == 0, 99).otherwise(F.col("k")))
+    small = spark.createDataFrame([(k, f"v{k}") for k in [*range(5), 99]], "k long, v string")
+    hot = skew.hot_keys(big, "k")
+    assert set(hot) == {*range(7), 99} and hot[99] > 60 and sum(hot.values()) <= 2 * skew.HOT_SHARE
+    for how in ("inner", "left"):
+        got, want = skew.lookup(big, small, "k", how), big.join(small, "k", how)
+        assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
