@@ -20,9 +20,10 @@ def joined(edges: DataFrame) -> DataFrame:
     kind = dict(edges.dtypes)["a"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(frames, ignore_index=True)
-        if not len(rows):
+        parts = list(frames)
+        if not parts:
             return
+        rows = pd.concat(parts, ignore_index=True)
         at, names = pd.factorize(pd.concat([rows["a"], rows["b"]]), sort=True)
         up = list(range(len(names)))
 

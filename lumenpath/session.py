@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -48,6 +49,12 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files and checkpoints that nothing refers to any more: it does so when the driver collects its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only if ``df``, of narrow rows, has at most ``max_rows`` of them; beyond that Spark picks a shuffle join."""
     n = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).first()["n"]
