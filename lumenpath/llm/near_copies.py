@@ -46,7 +46,7 @@ from lumenpath.llm.simhash_trie import trie_links
 from lumenpath.llm.word_hash import mix
 from lumenpath.operators.components import connected_components
 from lumenpath.operators.skew import hot_bound, lookup
-from lumenpath.session import broadcast_if_small, checkpoint, remove, shared_dir
+from lumenpath.session import broadcast_if_small, checkpoint, remove, shared_dir, sweep
 
 WORDS, SIMILAR, RADIUS = 5, 0.8, 2
 #: Keys beyond the least that a filter needs, the shingles up to which all keys count, and rounds with one other text, as above.
@@ -271,10 +271,12 @@ def links(nodes: DataFrame, docs: DataFrame, words: int, similar: float) -> Data
     """``src, dst`` nodes: verified links that connect what all pairs of at least ``similar`` connect."""
     full = nodes.where("size > 0")
     rows, hot = shared_keys(full)
+    sweep(docs.sparkSession)
     # At first every node is a part of its own.
     pairs, found = simhash_pairs(full, RADIUS).unionAll(stars(rows.withColumn("part", F.col("node")), hot, 0, similar)), None
     for turn in range(1, ROUNDS + 1):
         near = verified(pairs.distinct(), nodes, docs, words, similar)
+        sweep(docs.sparkSession)
         found = near if found is None else checkpoint(found.unionAll(near))
         apart = checkpoint(placed(rows, found))
         pairs = stars(apart, hot, turn, similar) if turn < ROUNDS else rest_pairs(apart, similar)
@@ -300,6 +302,7 @@ def keep_first(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) ->
     keys = rows.where("keys is not null").groupBy("node").agg(F.any_value(F.struct("keys", "places")).alias("own"))
     nodes = checkpoint(facts.join(keys, "node").select("node", "best", F.col("best.key").alias("key"), "fp", "size", "own.keys", "own.places"))
     remove(docs.sparkSession, folder)
+    sweep(docs.sparkSession)
     groups = placed(nodes.select("node", "best"), links(nodes, docs, words, similar)).groupBy("part").agg(F.min("best").alias("best"))
     key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
     marked = docs.withColumn("near_copy_key", key).dropDuplicates(["near_copy_key"])
