@@ -13,7 +13,7 @@ from pyspark.sql.types import DoubleType, StringType
 # Fixed values that results depend on.
 NAME_STOPWORDS = ["the", "a", "an", "of", "and", "in", "for", "to", "as", "on"]
 TOKEN_STOPWORDS = ["a", "an", "the", "of", "in", "on", "for", "with", "to", "and", "or", "is", "are"]
-TYPOGRAPHY = {"‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "-", "‑": "-", " ": " ", "­": "", "​": "", "‌": "", "‍": "", "﻿": ""}
+TYPOGRAPHY = {"‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "-", "\u2011": "-", "\u00ad": "", "\u200b": "", "\u200c": "", "\u200d": "", "\ufeff": "", "\u00a0": " "}
 BOILERPLATE = r"(?im)^\s*(?:©\s*20\d\d[^\n]{0,40}|All Rights Reserved|Page \d+ of \d+|Tel:[^\n]*|[a-z0-9.-]+\.(?:edu|com)\s*|MODULE \d+ UNIT \d+|(?:Video|Podcast) \d+ Transcript)\s*$"
 KIND_HINTS = [
     (r"\b(theorem|law|rule|paradox|principle|hypothesis|lemma)\b", "principle"),

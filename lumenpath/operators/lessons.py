@@ -30,7 +30,8 @@ NOISE = (
     r"|\d+h?\s*(?:problem\s+solving|class\s+hours?)?|activity|content|module|topics|briefly|recap|examples?|properties"
     r"|their\s+properties|applications?|some\s+applications.*|and\s+\(?possibly\)?.*)\.?\s*$"
 )
-ADMIN_WORDS = "h hr hrs hour hours class problem solving session sessions week weeks test tests homework quiz quizzes exam exams preparation revision practice lecture lectures materials block blocks before after for content".split()
+# Words that make no topic by themselves.
+ADMIN_WORDS = ["h", "hr", "hrs", "hour", "hours", "class", "problem", "solving", "session", "sessions", "week", "weeks", "test", "tests", "homework", "quiz", "quizzes", "exam", "exams", "preparation", "revision", "practice", "lecture", "lectures", "materials", "block", "blocks", "before", "after", "for", "content"]
 GERUNDS = r"(?i)^(?:using|usage of|building|finding|preparation for|operations with)\s+"
 NAME_CHARS, HEADING_CHARS, QUOTE_CHARS, CONFIDENCE = (3, 58), 45, 300, 0.6
 

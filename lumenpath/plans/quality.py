@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenpath.operators.components import connected_components
 from lumenpath.operators.dag import is_acyclic
+from lumenpath.session import checkpoint
 
 # The gate's thresholds and the expected size of a unit.
 MIN_QUOTE_RATE, MIN_COVERAGE, PER_UNIT, THIN = 0.90, 0.95, (5, 10), 20
@@ -14,8 +15,12 @@ MIN_QUOTE_RATE, MIN_COVERAGE, PER_UNIT, THIN = 0.90, 0.95, (5, 10), 20
 
 def spread(counts: DataFrame, n: str) -> DataFrame:
     """One row: least, most, upper median and how many lie outside PER_UNIT."""
-    upper = F.get(F.array_sort(F.collect_list(n)), F.floor(F.count(n) / 2).cast("int"))
-    return counts.agg(F.min(n).alias("min_n"), F.max(n).alias("max_n"), upper.alias("median_n"), F.count_if(~F.col(n).between(*PER_UNIT)).alias("out_of_range"))
+    # One row for each different count: there are few of them, however many rows are counted.
+    kinds = counts.where(F.col(n).isNotNull()).groupBy(F.col(n).alias("n")).agg(F.count(F.lit(1)).alias("rows"))
+    placed = kinds.select("n", "rows", F.sum("rows").over(Window.orderBy("n")).alias("upto"), F.sum("rows").over(Window.partitionBy(F.lit(0))).alias("every"))
+    upper = F.min(F.when(F.col("upto") > F.floor(F.col("every") / 2), F.col("n")))
+    outside = F.coalesce(F.sum(F.when(~F.col("n").between(*PER_UNIT), F.col("rows"))), F.lit(0))
+    return placed.agg(F.min("n").alias("min_n"), F.max("n").alias("max_n"), upper.alias("median_n"), outside.alias("out_of_range"))
 
 
 def component_sizes(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -73,7 +78,8 @@ def report(concepts: DataFrame, links: DataFrame, occurrences: DataFrame, units:
     ends = grouped_links(links, concepts.select("slug", F.array_sort("courses").alias("courses")), "slug", "courses")
     per_unit = concepts.select(F.explode("units").alias("unit_id")).groupBy("unit_id").agg(F.count(F.lit(1)).alias("n"))
     n_expected, n_covered, _ = coverage(units, per_unit, "unit_id").first()
-    sizes = [r["size"] for r in component_sizes(concepts, links).limit(10).collect()]
+    parts = checkpoint(component_sizes(concepts, links))
+    sizes = [r["size"] for r in parts.orderBy(F.desc("size"), "component").limit(10).collect()]
     checks = concepts.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.length("definition") < THIN).alias("thin"), F.count_if(F.size("files") == 0).alias("orphan"), F.count_if(F.size("courses") > 1).alias("multi")).first()
     cross = ends.agg(F.count_if(F.col("src_group") != F.col("dst_group")).alias("cross"), F.count(F.lit(1)).alias("known")).first()
     n_links = links.count()
@@ -95,7 +101,7 @@ def report(concepts: DataFrame, links: DataFrame, occurrences: DataFrame, units:
         "units_expected": n_expected,
         "units_covered": n_covered,
         "concepts_per_unit": spread(per_unit, "n").first().asDict(),
-        "components": component_sizes(concepts, links).count(),
+        "components": parts.count(),
         "component_sizes": sizes,
         "thin_definitions": checks["thin"],
         "prerequisite_acyclic": not cyclic,

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Names inside office files.
 SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 
 
