@@ -36,6 +36,7 @@ def written(spark, folder, docs, labels, pages=()):
     spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {extra}").write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(*r, "extra") for r in labels], "doc_id long, quality int, toxic int, text string").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta", 0.1), (1, None, 0.2), (None, "", 0.3)], "item_id long, text string, similarity double").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
     spark.createDataFrame([(*p, "v", "r") for p in pages], "page_id long, url string, verdict string, rule string").write.parquet(f"{folder}/pages.parquet")
     return str(folder)
 
