@@ -1,22 +1,26 @@
 """Prerequisite order: peeling, cycle breaking and exact topological order.
 
-An edge is dropped if and only if it is the weakest of some cycle: if its end leads back to
-its start over stronger edges. That rule names the same edges whatever the order of the work,
-so a graph may be cut into parts: the strong components of the stronger half of the edges
-decide which edges of the weaker half go, and both halves go on by themselves. Parts of at
-most CORE_EDGES edges are finished on the driver by the same rule; larger ones stay in Spark.
+Edges are taken from the strongest to the weakest, and one is kept if and only if it closes no
+cycle with those kept before it. So what is left has no cycle, and every edge that went would
+close one again. Only edges inside a strong component can go, and components do not concern each
+other: each of at most CORE_EDGES edges is worked off in one task of its own, by an incremental
+topological order. Of a larger one the stronger half of the edges goes first and the weaker half
+meets what it kept; both fall into components again. The result is the same at every bound.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections import defaultdict
+from collections import defaultdict, deque
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenpath.session import checkpoint
+from lumenpath.session import checkpoint, ship
 
+#: Up to so many edges (some 100 MB in memory) of one component are finished in one task.
 CORE_EDGES = 200_000
 
 
@@ -35,49 +39,94 @@ def is_acyclic(edges: DataFrame) -> bool:
 
 
 def break_cycles(edges: DataFrame) -> DataFrame:
-    """``edges(src, dst, strength)`` without those that are the weakest of some cycle; equal strengths are ordered by (src, dst).
+    """``edges(src, dst, strength)`` without those that close a cycle with stronger ones that stay.
 
-    Self-loops go. What is left has no cycle, and every edge that went lay on one. Of repeated
-    edges all go or stay; the least strength counts.
+    Equal strengths are ordered by (src, dst), a null strength is the weakest. Self-loops go,
+    edges with a null end stay. Of repeated edges all go or stay; the least strength counts.
+    An empty table gives an empty result.
     """
+    ship(edges.sparkSession)
     looped = edges.where("src = dst").select("src", "dst").distinct()
     once = edges.where("src <> dst").groupBy("src", "dst").agg(F.min("strength").alias("strength"))
     core = cyclic_core(once)
     # Numbered along a global sort: ascending numbers are ascending strength.
-    ranked = checkpoint(core.orderBy("strength", "src", "dst").withColumn("rank", F.monotonically_increasing_id()))
-    gone = looped
-    for found in _weakest(ranked.select(F.col("src").alias("u"), F.col("dst").alias("v"), "rank", F.lit(True).alias("open"))):
-        gone = gone.unionAll(ranked.join(found, "rank", "left_semi").select("src", "dst"))
+    ranked = checkpoint(core.orderBy("strength", "src", "dst").select("src", "dst", F.monotonically_increasing_id().alias("rank"), F.lit(False).alias("kept")))
+    closing = _closing(ranked)
+    gone = looped.unionAll(ranked.join(closing, "rank", "left_semi").select("src", "dst"))
     return edges.join(gone, ["src", "dst"], "left_anti")
 
 
-def _weakest(part: DataFrame) -> list[DataFrame]:
-    """Frames ``rank`` of the open edges of ``part(u, v, rank, open)`` that are the weakest of a cycle in it."""
-    spark, todo, out = part.sparkSession, [part], []
-    while todo:
-        part = checkpoint(todo.pop())
-        said = part.agg(F.count(F.lit(1)).alias("n"), F.count_if("open").alias("open"), F.min(F.when(F.col("open"), F.col("rank"))).alias("low"), F.percentile_approx(F.when(F.col("open"), F.col("rank")), 0.5).alias("mid")).first()
-        if not said["open"]:
-            continue
-        if said["n"] <= CORE_EDGES:
-            rows = [(int(r["rank"]), r["u"], r["v"], r["open"]) for r in part.collect()]
-            out.append(spark.createDataFrame([(x,) for x in weakest_of_cycles(rows)], "rank long"))
-            continue
-        mid = said["low"] if said["open"] == 1 else max(said["mid"], said["low"] + 1)
-        strong = strong_components(part.where(F.col("rank") >= mid).select(F.col("u").alias("src"), F.col("v").alias("dst")))
-        named = part
-        for end in ("u", "v"):
-            named = named.join(strong.select(F.col("node").alias(end), F.col("part").alias(f"{end}_part")), end, "left").withColumn(f"{end}_part", F.coalesce(f"{end}_part", end))
-        named = checkpoint(named.withColumn("inside", F.col("u_part") == F.col("v_part")))
-        if said["open"] == 1:
-            out.append(named.where(F.col("open") & F.col("inside")).select("rank"))
+def _closing(edges: DataFrame) -> DataFrame:
+    """``rank`` of the edges of ``edges(src, dst, rank, kept)`` that would close a cycle; those marked ``kept`` have none and stay."""
+    named = edges
+    parts = checkpoint(strong_components(edges.select("src", "dst")))
+    for end in ("src", "dst"):
+        named = named.join(parts.select(F.col("node").alias(end), F.col("part").alias(f"{end}_part")), end)
+    inside = named.where("src_part = dst_part").select("src", "dst", "rank", "kept", F.col("src_part").alias("part"))
+    free = F.when(~F.col("kept"), F.col("rank"))
+    sizes = checkpoint(inside.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.count(free).alias("free"), F.min(free).alias("low"), F.percentile_approx(free, 0.5).alias("mid")))
+    small = inside.join(sizes.where(F.col("n") <= CORE_EDGES).select("part"), "part")
+    out = checkpoint(small.groupBy("part").applyInPandas(_closing_of_part, "rank long"))
+    large = sizes.where((F.col("n") > CORE_EDGES) & (F.col("free") > 0))
+    if large.isEmpty():
+        return out
+    rest = checkpoint(inside.join(large.select("part", "free", F.greatest("mid", F.col("low") + 1).alias("mid")), "part"))
+    # The only free edge of a strong component closes a cycle with the kept ones.
+    out = out.unionAll(rest.where((F.col("free") == 1) & ~F.col("kept")).select("rank"))
+    rest, high = rest.where("free > 1"), F.col("kept") | (F.col("rank") >= F.col("mid"))
+    if rest.isEmpty():
+        return out
+    strong = _closing(rest.where(high).select("src", "dst", "rank", "kept"))
+    weak = _closing(checkpoint(rest.join(strong, "rank", "left_anti").select("src", "dst", "rank", high.alias("kept"))))
+    return checkpoint(out.unionAll(strong).unionAll(weak))
+
+
+def _closing_of_part(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values(["kept", "rank"], ascending=False)
+    gone = closing_edges(list(zip(rows["src"], rows["dst"])))
+    return pd.DataFrame({"rank": rows["rank"].iloc[gone].astype("int64")})
+
+
+def closing_edges(edges: list[tuple]) -> list[int]:
+    """Positions of the edges that close a cycle with those kept before them.
+
+    A topological order is kept up to date: an edge that follows it costs nothing; one against
+    it is searched for from both ends, inside the stretch of the order between them.
+    """
+    place, kids, parents, gone = {}, defaultdict(list), defaultdict(list), []
+    for i, (u, v) in enumerate(edges):
+        for node in (u, v):
+            place.setdefault(node, len(place))
+        if u == v:
+            gone.append(i)
             continue
-        out.append(named.where((F.col("rank") < mid) & F.col("open") & F.col("inside")).select("rank"))
-        todo.append(named.where((F.col("rank") >= mid) & F.col("inside")).select("u", "v", "rank", "open"))
-        # Outside the components the stronger half only connects.
-        rest = named.where(~F.col("inside")).select(F.col("u_part").alias("u"), F.col("v_part").alias("v"), "rank", (F.col("open") & (F.col("rank") < mid)).alias("open"))
-        todo.append(rest)
-    return out
+        if place[u] > place[v]:
+            found = _both_ways(kids, parents, place, v, u)
+            if found is None:
+                gone.append(i)
+                continue
+            ahead, behind = found
+            moved = sorted(behind, key=place.get) + sorted(ahead, key=place.get)
+            place.update(zip(moved, sorted(place[x] for x in moved)))
+        kids[u].append(v)
+        parents[v].append(u)
+    return gone
+
+
+def _both_ways(kids: dict, parents: dict, place: dict, first: object, last: object) -> tuple[set, set] | None:
+    """What ``first`` leads to and what leads to ``last`` between their places; None if a path joins them."""
+    low, high = place[first], place[last]
+    ahead, behind, front, back = {first}, {last}, deque([first]), deque([last])
+    while front or back:
+        forward = bool(front) and (not back or len(ahead) <= len(behind))
+        near, seen, met, todo = (kids, ahead, behind, front) if forward else (parents, behind, ahead, back)
+        for x in near[todo.popleft()]:
+            if x in met:
+                return None
+            if x not in seen and low < place[x] < high:
+                seen.add(x)
+                todo.append(x)
+    return ahead, behind
 
 
 def strong_components(edges: DataFrame) -> DataFrame:
@@ -85,16 +134,16 @@ def strong_components(edges: DataFrame) -> DataFrame:
 
     Rounds of colouring: every node takes the largest node that leads to it; what leads to
     the owner of a colour inside the colour is a strong component. Rounds grow with the
-    length of paths; what is left is finished on the driver at CORE_EDGES edges.
+    length of paths; what is left is finished in one task at CORE_EDGES edges.
     """
-    spark, out = edges.sparkSession, None
+    out = None
+    ship(edges.sparkSession)
     kind = f"node {dict(edges.dtypes)['src']}, part {dict(edges.dtypes)['src']}"
     left = cyclic_core(edges.where("src <> dst").distinct())
     while True:
         n = left.count()
         if n <= CORE_EDGES:
-            small = _tarjan([(r["src"], r["dst"]) for r in left.collect()])
-            rest = spark.createDataFrame(list(small.items()), kind)
+            rest = left.select("src", "dst").repartition(1).mapInPandas(_parts_of_small, kind)
             return rest if out is None else out.unionAll(rest)
         colour, moved = checkpoint(left.select(F.explode(F.array("src", "dst")).alias("node")).distinct().withColumn("colour", F.col("node"))), 1
         while moved:
@@ -115,6 +164,13 @@ def strong_components(edges: DataFrame) -> DataFrame:
         left = cyclic_core(left)
 
 
+def _parts_of_small(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows = [edge for f in frames for edge in zip(f["src"], f["dst"])]
+    found = _tarjan(rows)
+    if found:
+        yield pd.DataFrame({"node": list(found), "part": list(found.values())})
+
+
 def _tarjan(edges: list[tuple]) -> dict:
     """Node -> one node of its strong component, for components of two nodes or more."""
     kids = defaultdict(list)
@@ -136,9 +192,9 @@ def _tarjan(edges: list[tuple]) -> dict:
                 if path:
                     low[path[-1][0]] = min(low[path[-1][0]], low[u])
                 if low[u] == number[u]:
-                    at = stack.index(u) if stack[-1] != u else len(stack) - 1
-                    group = stack[at:]
-                    del stack[at:]
+                    group = [stack.pop()]
+                    while group[-1] != u:
+                        group.append(stack.pop())
                     on.difference_update(group)
                     if len(group) > 1:
                         out.update(dict.fromkeys(group, u))
@@ -152,29 +208,6 @@ def _tarjan(edges: list[tuple]) -> dict:
     return out
 
 
-def weakest_of_cycles(rows: list[tuple]) -> list[int]:
-    """Ranks of the open edges among ``(rank, u, v, open)`` that are the weakest of a cycle: the rule of ``_weakest``, in memory."""
-    todo, gone = [sorted(rows, key=lambda r: r[0])], []
-    while todo:
-        part = todo.pop()
-        free = [r[0] for r in part if r[3]]
-        if not free:
-            continue
-        mid = free[len(free) // 2]
-        strong = _tarjan([(u, v) for rank, u, v, _ in part if rank >= mid])
-        inside, rest = [], []
-        for rank, u, v, is_open in part:
-            a, b = strong.get(u, u), strong.get(v, v)
-            if a != b:
-                rest.append((rank, a, b, is_open and rank < mid))
-            elif rank < mid or len(free) == 1:
-                gone += [rank] if is_open else []
-            else:
-                inside.append((rank, u, v, is_open))
-        todo += [inside, rest] if len(free) > 1 else []
-    return gone
-
-
 def topological_order(nodes: list[str], edges: list[tuple[str, str]]) -> tuple[list[str], list[str]]:
     """(order, rest) of a small set such as the courses of a plan: always the smallest ready node next.
 

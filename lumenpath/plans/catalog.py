@@ -294,10 +294,14 @@ def _precedence(spark, d):
     return sequence_links(spark, d).select("src", "dst", F.col("n").cast("double").alias("strength"))
 
 
+# Strongest first; ``p`` holds the pairs (x, y) such that the edges kept so far lead from x to y.
 _DAG = (
-    f"WITH RECURSIVE {_STEPS}, o AS (SELECT src, dst, n, row_number() OVER (ORDER BY n, src, dst) AS k FROM e), "
-    "w(k, node) AS (SELECT k, dst FROM o UNION SELECT w.k, o.dst FROM w JOIN o ON o.src = w.node AND o.k > w.k), "
-    "kept AS (SELECT src, dst, n FROM o WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.k = o.k AND w.node = o.src)) "
+    f"WITH RECURSIVE {_STEPS}, o AS (SELECT src, dst, n, row_number() OVER (ORDER BY n DESC, src DESC, dst DESC) AS k FROM e WHERE src <> dst), "
+    "g AS (SELECT 0::BIGINT AS k, NULL::VARCHAR AS src, NULL::VARCHAR AS dst, NULL::BIGINT AS n, true AS stays, []::STRUCT(x VARCHAR, y VARCHAR)[] AS p "
+    "UNION ALL SELECT o.k, o.src, o.dst, o.n, NOT list_contains(g.p, {'x': o.dst, 'y': o.src}), CASE WHEN list_contains(g.p, {'x': o.dst, 'y': o.src}) THEN g.p ELSE "
+    "list_distinct(g.p || [{'x': o.src, 'y': o.dst}] || [{'x': q.x, 'y': o.dst} FOR q IN g.p IF q.y = o.src] || [{'x': o.src, 'y': q.y} FOR q IN g.p IF q.x = o.dst] "
+    "|| flatten([[{'x': q.x, 'y': t.y} FOR t IN g.p IF t.x = o.dst] FOR q IN g.p IF q.y = o.src])) END FROM g JOIN o ON o.k = g.k + 1), "
+    "kept AS (SELECT src, dst, n FROM g WHERE stays AND k > 0) "
 )
 
 
