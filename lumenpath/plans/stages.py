@@ -12,7 +12,7 @@ from lumenpath.functions import text as T
 from lumenpath.operators import graph, similarity, windows
 from lumenpath.plans import assemble, models, quality
 from lumenpath.session import checkpoint, ship
-from lumenpath.sources import adapters, documents, sinks
+from lumenpath.sources import adapters, changes, documents, sinks
 
 STAGES = ["scan", "texts", "bundle", "extract", "consolidate", "graph", "validate", "export"]
 CONCEPT = "slug string, name string, kind string, definition string, difficulty int, domain string, aliases array<string>, occurrences array<struct<rel_path string, role string, quote string, confidence double>>"
@@ -32,8 +32,13 @@ class GateFailed(RuntimeError):
     """The quality gate's rules that failed."""
 
 
+#: A keyed table is cut into so many folders by a hash of its key; a change rewrites only the folders it touches.
+BUCKETS = 256
+
+
 class Stages:
-    """Stage tables under one folder. A stage that is made again makes all later ones again too."""
+    """Stage tables under one folder. A stage that is made again makes all later ones again too;
+    a keyed stage that is brought up to date makes those again that have no keys."""
 
     def __init__(self, spark: SparkSession, out: str, force: Iterable[str] = ()) -> None:
         unknown = sorted(set(force) - set(STAGES))
@@ -42,19 +47,94 @@ class Stages:
         self.spark, self.out = spark, out.rstrip("/")
         self.made, self.redo_from = [], min([STAGES.index(s) for s in force], default=len(STAGES))
 
+    def _mark(self, stage: str):
+        mark = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.out}/{stage}/_FINISHED")
+        return mark.getFileSystem(self.spark._jsc.hadoopConfiguration()), mark
+
+    def finished(self, stage: str) -> bool:
+        store, mark = self._mark(stage)
+        return STAGES.index(stage) < self.redo_from and store.exists(mark)
+
+    def _begin(self, *stages: str) -> None:
+        for stage in stages:
+            store, mark = self._mark(stage)
+            store.delete(mark, False)
+
+    def _end(self, stage: str) -> None:
+        store, mark = self._mark(stage)
+        store.create(mark, True).close()
+        self.made.append(stage)
+
     def tables(self, stage: str, names: list[str], make: Callable[[], Iterable[DataFrame]]) -> list[DataFrame]:
         """The stage's tables: read if the stage was finished, else made. The mark is set when all are whole."""
-        folder, at = f"{self.out}/{stage}", STAGES.index(stage)
-        mark = self.spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_FINISHED")
-        store = mark.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if at >= self.redo_from or not store.exists(mark):
-            store.delete(mark, False)
-            self.redo_from = min(self.redo_from, at)
+        if not self.finished(stage):
+            # Later stages lose their marks now, so that a run that stops in between leaves nothing stale.
+            self._begin(*STAGES[STAGES.index(stage) :])
             for name, df in zip(names, make()):
-                df.write.mode("overwrite").parquet(f"{folder}/{name}")
-            store.create(mark, True).close()
-            self.made.append(stage)
-        return [self.spark.read.parquet(f"{folder}/{name}") for name in names]
+                df.write.mode("overwrite").parquet(f"{self.out}/{stage}/{name}")
+            self._end(stage)
+        return [self.spark.read.parquet(f"{self.out}/{stage}/{name}") for name in names]
+
+    def rewrite(self, stage: str, name: str, rows: DataFrame) -> None:
+        """Put ``rows``, which must not be read from it, in the place of a finished stage's table."""
+        self._begin(stage)
+        rows.write.mode("overwrite").parquet(f"{self.out}/{stage}/{name}")
+        self._end(stage)
+
+    def live(self, stage: str, name: str) -> DataFrame:
+        """The rows of a keyed table that are not marked as gone."""
+        return self.spark.read.parquet(f"{self.out}/{stage}/{name}").where(~F.col("gone")).drop("gone", "bucket")
+
+    def keyed(self, stage: str, keys: dict[str, str], changes: Callable[[], DataFrame], make: Callable[[DataFrame | None], Iterable]) -> list[DataFrame]:
+        """The tables ``keys`` (name -> key column) of a stage, brought up to date.
+
+        ``changes()`` names the keys whose rows no longer fit what the stage is made of;
+        ``make(those)`` returns each table's rows for its own concerned keys, as
+        ``(rows, concerned)``, and ``make(None)`` all rows with None. Only folders that hold a
+        concerned key are written. A key without rows leaves a row marked ``gone``.
+        """
+        if not self.finished(stage):
+            # Later stages lose their marks now, so that a run that stops in between leaves nothing stale.
+            self._begin(*STAGES[STAGES.index(stage) :])
+            for (name, key), (rows, _) in zip(keys.items(), make(None)):
+                self._write(f"{self.out}/{stage}/{name}", _bucketed(rows, key).unionByName(_no_row(rows)))
+            self._end(stage)
+            return [self.live(stage, name) for name in keys]
+        those = checkpoint(changes())
+        if not those.isEmpty():
+            made = [(name, key, checkpoint(_bucketed(rows, key)), checkpoint(concerned)) for (name, key), (rows, concerned) in zip(keys.items(), make(those))]
+            # A run that stops from here on finds no mark and makes the stage whole again.
+            self._begin(stage, *STAGES[STAGES.index("consolidate") :])
+            for name, key, rows, concerned in made:
+                self._merge(f"{self.out}/{stage}/{name}", key, rows, concerned)
+            self._end(stage)
+        return [self.live(stage, name) for name in keys]
+
+    def _merge(self, path: str, key: str, rows: DataFrame, concerned: DataFrame) -> None:
+        at = [r["bucket"] for r in concerned.select(_bucket(key)).distinct().collect()]
+        old = self.spark.read.parquet(path).where(F.col("bucket").isin(at))
+        lost = old.join(concerned, key, "left_semi").join(rows, key, "left_anti").dropDuplicates([key])
+        # What is gone keeps its key and, of batches, the number, which is not given again.
+        stays = {key, "bucket", "batch"}
+        stones = lost.select(*[F.col(c) if c in stays else F.lit(True).alias(c) if c == "gone" else F.lit(None).cast(lost.schema[c].dataType).alias(c) for c in lost.columns])
+        self._write(path, old.join(concerned, key, "left_anti").unionByName(rows).unionByName(stones))
+
+    def _write(self, path: str, rows: DataFrame) -> None:
+        rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def _bucketed(rows: DataFrame, key: str) -> DataFrame:
+    return rows.select("*", F.lit(False).alias("gone"), _bucket(key))
+
+
+def _no_row(like: DataFrame) -> DataFrame:
+    """One row marked as gone, so that a table without rows has its columns."""
+    one = like.sparkSession.range(1)
+    return one.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema], F.lit(True).alias("gone"), F.lit(-1).alias("bucket"))
 
 
 def must_hold(key: str) -> Callable[[str], None]:
@@ -136,13 +216,24 @@ def run(spark: SparkSession, root: str, out: str, adapter: str, calls: dict[str,
     ``calls["extract"]`` answers the prompt of a batch with JSON (EXTRACTION); "merge",
     "duplicates" (VERDICTS) and "bridge" (BRIDGES) may be left out. Good answers are kept, so
     that no prompt is paid for twice, even if its stage is forced. Finished stages are read
-    again: use a new folder for other files or settings, or force the first stage concerned.
+    again. Files that were added, changed (by size or time, then by hash) or deleted below
+    ``root`` since, or that ``courses`` and ``skip_modules`` now let in or out, are noticed:
+    their texts, their units, the batches that held these, and those batches' answers are made
+    again, then the stages from "consolidate" on, which look at the whole graph. Other
+    settings are not noticed: use a new folder, or force the first stage concerned.
     """
     ship(spark)
     s, ends = Stages(spark, out, force), lambda stage: stop_after == stage
     if stop_after is not None and stop_after not in STAGES:
         raise ValueError(f"unknown stage {stop_after!r}")
-    (manifest,) = s.tables("scan", ["manifest"], lambda: [adapters.scan(spark, root, adapter)])
+    if s.finished("scan"):
+        stored = spark.read.parquet(f"{s.out}/scan/manifest")
+        files_now = adapters.manifest(changes.listing(spark, root), adapter)
+        if not changes.touched(stored, files_now, "rel_path", ["bytes", "modified"]).isEmpty():
+            again = checkpoint(changes.rescan(spark, root, adapter, stored))
+            s.rewrite("scan", "manifest", again)
+    (manifest,) = s.tables("scan", ["manifest"], lambda: [changes.rescan(spark, root, adapter)])
+    everything = manifest
     wanted = [c.upper() for c in courses]
     if wanted:
         manifest = manifest.where(F.upper("course_code").isin(wanted))
@@ -154,30 +245,49 @@ def run(spark: SparkSession, root: str, out: str, adapter: str, calls: dict[str,
     if ends("scan"):
         return result
 
-    def texts():
-        read = documents.extract(documents.load(spark, root), min_chars)
-        return [read.select(adapters.relative(F.col("path"), root).alias("rel_path"), T.clean(F.col("text"), True).alias("text"), "status", "error")]
+    def texts(those):
+        wanted = None if those is None else everything.join(those, "rel_path", "left_semi")
+        read = documents.extract(changes.contents(spark, root, wanted), min_chars)
+        named = everything.select("path", "rel_path", "sha256").join(read, "path")
+        return [(named.select("rel_path", "sha256", T.clean(F.col("text"), True).alias("text"), "status", "error").withColumn("chars", F.length("text")), those)]
 
-    (text,) = s.tables("texts", ["texts"], texts)
+    (text,) = s.keyed("texts", {"texts": "rel_path"}, lambda: changes.touched(s.live("texts", "texts"), everything, "rel_path", ["sha256"]), texts)
     if ends("texts"):
         return result
 
-    def bundle():
-        order = F.struct("asset_kind", F.coalesce("asset_ordinal", F.lit(0)), F.coalesce("part_ordinal", F.lit(0)), "rel_path")
-        files = manifest.join(text.where((F.col("status") == "ok") & (F.length("text") >= min_chars)).select("rel_path", "text"), "rel_path").withColumn("ord", order)
-        units = windows.bundle_text(files, "unit_id", "rel_path", "text", "ord").join(manifest.groupBy("unit_id").agg(F.min("course_code").alias("course")), "unit_id")
-        units = checkpoint(units)
-        return [units, windows.balanced_batches(units, "unit_id", "chars", batch_chars), files.select("unit_id", "rel_path", "text")]
-
-    units, batches, files = s.tables("bundle", ["units", "batches", "files"], bundle)
+    order = F.struct("asset_kind", F.coalesce("asset_ordinal", F.lit(0)), F.coalesce("part_ordinal", F.lit(0)), "rel_path")
+    good = text.where((F.col("status") == "ok") & (F.col("chars") >= min_chars)).select("rel_path", "text")
+    sources = manifest.join(good, "rel_path").withColumn("ord", order)
+
+    def bundle(those):
+        mine = sources if those is None else sources.join(those, "unit_id", "left_semi")
+        units = windows.bundle_text(mine, "unit_id", "rel_path", "text", "ord").join(manifest.groupBy("unit_id").agg(F.min("course_code").alias("course")), "unit_id")
+        units, kept = checkpoint(units), mine.select("unit_id", "rel_path", "sha256", "text")
+        if those is None:
+            return [(units, None), (windows.balanced_batches(units, "unit_id", "chars", batch_chars), None), (kept, None)]
+        # Batches that held a concerned unit are packed again, under numbers never given before.
+        before, was = spark.read.parquet(f"{s.out}/bundle/batches"), s.live("bundle", "batches")
+        opened = was.join(was.join(those, "unit_id", "left_semi").select("batch").distinct(), "batch", "left_semi")
+        loose = checkpoint(opened.select("unit_id").unionAll(those).distinct())
+        sizes = s.live("bundle", "units").join(those, "unit_id", "left_anti").select("unit_id", "chars").unionAll(units.select("unit_id", "chars"))
+        packed = windows.balanced_batches(checkpoint(sizes.join(loose, "unit_id", "left_semi")), "unit_id", "chars", batch_chars)
+        first = before.agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0] + 1
+        return [(units, those), (packed.withColumn("batch", F.col("batch") + first), loose), (kept, those)]
+
+    units, batches, files = s.keyed("bundle", {"units": "unit_id", "batches": "unit_id", "files": "unit_id"}, lambda: changes.touched(s.live("bundle", "files"), sources, "unit_id", ["rel_path", "sha256"]), bundle)
     if ends("bundle"):
         return result
 
-    def extract():
-        answers = models.ask_all(batch_prompts(units, batches), calls["extract"], must_hold("units"), f"{s.out}/answers/extract")
-        return extracted(models.require_most(answers), batches)
+    named = F.format_string("b%06d", "batch").alias("id")
+
+    def extract(those):
+        mine = batches if those is None else batches.join(those.select(F.col("id")), named == F.col("id"), "left_semi")
+        answers = models.ask_all(batch_prompts(units, mine), calls["extract"], must_hold("units"), f"{s.out}/answers/extract")
+        found = extracted(models.require_most(answers), mine)
+        return [(df.withColumn("id", F.col("ord.batch")), those) for df in found] + [(mine.select(named).distinct(), those)]
 
-    mentions, occurrences, links = s.tables("extract", ["mentions", "occurrences", "links"], extract)
+    keys = {"mentions": "id", "occurrences": "id", "links": "id", "asked": "id"}
+    mentions, occurrences, links = [df.drop("id") for df in s.keyed("extract", keys, lambda: changes.touched(s.live("extract", "asked"), batches.select(named), "id", []), extract)[:3]]
     parts = (mentions, occurrences, links, units.select("unit_id", "course"), files.select("unit_id", "rel_path"))
     if ends("extract"):
         return result

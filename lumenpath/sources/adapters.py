@@ -65,6 +65,10 @@ def registered() -> list[str]:
     return sorted(_ADAPTERS)
 
 
+#: File names with one of the extensions, as stores match them.
+ENDINGS = "*.{" + ",".join(v for e in EXTENSIONS for v in (e, e.upper(), e.capitalize())) + "}"
+
+
 def _number(c: Column, pattern: str, group: int = 1) -> Column:
     return F.try_to_number(F.nullif(F.regexp_extract(c, pattern, group), F.lit("")), F.lit("999999999")).cast("int")
 
@@ -161,6 +165,5 @@ def relative(path: Column, root: str) -> Column:
 
 def scan(spark: SparkSession, root: str, adapter: str) -> DataFrame:
     """Read a folder of files on any store that Spark reads, with hash and size, into a manifest."""
-    endings = ",".join(v for e in EXTENSIONS for v in (e, e.upper(), e.capitalize()))
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{" + endings + "}").load(root)
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", ENDINGS).load(root)
     return manifest(raw.select(relative(F.col("path"), root).alias("rel_path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes")), adapter)
