@@ -1,4 +1,4 @@
-"""Prerequisite order: peeling, cycle breaking and exact topological order.
+"""Prerequisite order: levels, cycle breaking and exact topological order.
 
 Edges are taken from the strongest to the weakest, and one is kept if and only if it closes no
 cycle with those kept before it. So what is left has no cycle, and every edge that went would
@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumenpath.operators.skew import lookup
 from lumenpath.session import checkpoint, ship
 
 #: Up to so many edges (some 100 MB in memory) of one component are finished in one task.
@@ -25,17 +26,29 @@ CORE_EDGES = 200_000
 
 
 def cyclic_core(edges: DataFrame) -> DataFrame:
-    """Edges left after peeling sources and sinks: empty if and only if the graph has no cycle."""
-    core, n = checkpoint(edges), -1
-    while (m := core.count()) != n and m:
-        n = m
-        core = core.join(core.select(F.col("dst").alias("src")).distinct(), "src", "left_semi")
-        core = checkpoint(core.join(core.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi"))
-    return core
+    """Edges left after peeling sources and sinks: empty if and only if the graph has no cycle.
+
+    What has no level lies on a cycle or behind one; of that, what has none against the
+    direction of the edges either lies on a cycle or between two. Edges with a null end go.
+    """
+    ahead = checkpoint(_between(edges, _unlevelled(edges)))
+    if ahead.isEmpty():
+        return ahead
+    return checkpoint(_between(ahead, _unlevelled(ahead.select(F.col("dst").alias("src"), F.col("src").alias("dst")))))
+
+
+def _unlevelled(edges: DataFrame) -> DataFrame:
+    return levels(edges.select("src", "dst")).where("level is null").select("node")
+
+
+def _between(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    for end in ("src", "dst"):
+        edges = edges.join(nodes.select(F.col("node").alias(end)), end, "left_semi")
+    return edges
 
 
 def is_acyclic(edges: DataFrame) -> bool:
-    return cyclic_core(edges.select("src", "dst")).isEmpty()
+    return _unlevelled(edges).isEmpty()
 
 
 def break_cycles(edges: DataFrame) -> DataFrame:
@@ -232,17 +245,97 @@ def topological_order(nodes: list[str], edges: list[tuple[str, str]]) -> tuple[l
 
 
 def levels(edges: DataFrame) -> DataFrame:
-    """``node, level`` of a graph of any size: level = rounds of peeling before all prerequisites are gone; cyclic nodes null."""
-    left = checkpoint(edges.select("src", "dst").distinct())
-    todo = checkpoint(left.select(F.explode(F.array("src", "dst")).alias("node")).distinct())
-    done, level = None, 0
-    while not todo.isEmpty():
-        ready = checkpoint(todo.join(left.select(F.col("dst").alias("node")), "node", "left_anti").withColumn("level", F.lit(level)))
-        if ready.isEmpty():
-            ready = todo.withColumn("level", F.lit(None).cast("int"))
-            return ready if done is None else done.unionAll(ready)
-        done = ready if done is None else done.unionAll(ready)
-        todo = checkpoint(todo.join(ready, "node", "left_anti"))
-        left = checkpoint(left.join(ready.select(F.col("node").alias("src")), "src", "left_anti"))
-        level += 1
-    return done if done is not None else todo.withColumn("level", F.lit(0))
+    """``node, level`` of the nodes of ``edges(src, dst)``: the most edges on a path that ends there.
+
+    Null for nodes on a cycle or behind one. Repeated edges count once, a self-loop is a
+    cycle, an edge with a null end names its other end and no more. An empty table gives an
+    empty result.
+
+    Rounds of contraction, until CORE_EDGES edges are left for one task. A node with one
+    prerequisite left hangs on it by ``level = max(least, level of the prerequisite + steps)``.
+    Such rules compose, so chains and trees of any length are drawn together by pointer
+    doubling, in as many steps as their length has binary digits; their nodes wait until the
+    level they hang on is known. Sources go in the same round. Each round ends a layer of
+    what is left: the nodes where chains meet. The result is the same at every bound.
+    """
+    ship(edges.sparkSession)
+    named = edges.select(F.explode(F.array("src", "dst")).alias("node")).where("node is not null").distinct()
+    open_nodes = checkpoint(named.withColumn("least", F.lit(0).cast("long")))
+    left = checkpoint(edges.where("src is not null and dst is not null").select("src", "dst").distinct().withColumn("steps", F.lit(1).cast("long")))
+    hung: list[DataFrame] = []
+    done = edges.sparkSession.createDataFrame([], f"node {dict(edges.dtypes)['src']}, level long")
+    while left.count() > CORE_EDGES:
+        into = left.groupBy("dst").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("src") == F.col("dst")).alias("looped"), F.min("src").alias("to"), F.max("steps").alias("steps"))
+        state = checkpoint(open_nodes.join(into.withColumnRenamed("dst", "node"), "node", "left"))
+        ready = state.where("n is null").select("node", F.col("least").alias("level"))
+        single = checkpoint(state.where("n = 1 and not looped").select("node", "to", "least", "steps"))
+        if ready.isEmpty() and single.isEmpty():
+            break
+        drawn, lost = _drawn_together(single)
+        hung.append(drawn)
+        done = checkpoint(done.unionAll(ready).unionAll(lost.select("node", F.lit(None).cast("long"))))
+        # Edges into meeting nodes start where their source hangs now, or have a known level.
+        meeting = checkpoint(state.where("n > 1 or looped").select("node", "least"))
+        kept = left.join(meeting.select(F.col("node").alias("dst")), "dst", "left_semi")
+        hangs = drawn.select(F.col("node").alias("src"), "to", F.col("least").alias("more"), F.col("steps").alias("further"))
+        kept = lookup(kept, hangs, "src", "left").select("dst", F.coalesce("to", "src").alias("src"), (F.col("steps") + F.coalesce("further", F.lit(0))).alias("steps"), (F.col("steps") + F.col("more")).alias("more"))
+        known = ready.withColumnRenamed("node", "src").withColumn("known", F.lit(True)).unionAll(lost.select(F.col("node").alias("src"), F.lit(None).cast("long"), F.lit(True)))
+        kept = checkpoint(lookup(kept, known, "src", "left").withColumn("known", F.coalesce("known", F.lit(False))))
+        reached = kept.select(F.col("dst").alias("node"), F.greatest("more", F.when(F.col("known"), F.col("level") + F.col("steps"))).alias("at_least")).groupBy("node").agg(F.max("at_least").alias("at_least"))
+        open_nodes = checkpoint(meeting.join(reached, "node", "left").select("node", F.greatest("least", "at_least").alias("least")))
+        # What waits for a node on a cycle waits for itself.
+        start = F.when(F.col("known"), F.col("dst")).otherwise(F.col("src"))
+        left = checkpoint(kept.where("not known or level is null").select(start.alias("src"), "dst", "steps").groupBy("src", "dst").agg(F.max("steps").alias("steps")))
+    done = done.unionAll(_finished(open_nodes, left))
+    while hung:
+        drawn, done = hung.pop(), checkpoint(done)
+        told = lookup(drawn.withColumnRenamed("node", "waiting"), done.withColumnRenamed("node", "to"), "to")
+        done = done.unionAll(told.select("waiting", F.when(F.col("level").isNotNull(), F.greatest("least", F.col("level") + F.col("steps")))))
+    return done.select("node", F.col("level").cast("int").alias("level"))
+
+
+def _drawn_together(single: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``single(node, to, least, steps)`` with every ``to`` outside of it, and the nodes for which there is none: they circle or lead into a circle."""
+    going, ended, reach, n = single, single.sparkSession.createDataFrame([], single.schema), 1, single.count()
+    while True:
+        there = going.select(F.col("node").alias("to"), F.col("to").alias("next"), F.col("least").alias("more"), F.col("steps").alias("further"))
+        past = ended.select(F.col("node").alias("to"), F.col("to").alias("next"), F.col("least").alias("more"), F.col("steps").alias("further"))
+        step = checkpoint(lookup(going, there.unionAll(past), "to", "left"))
+        ended = checkpoint(ended.unionAll(step.where("next is null").select("node", "to", "least", "steps")))
+        going = step.where("next is not null").select("node", F.col("next").alias("to"), F.greatest("least", F.col("more") + F.col("steps")).alias("least"), (F.col("steps") + F.col("further")).alias("steps"))
+        reach *= 2
+        if going.isEmpty() or reach > 2 * n:
+            return ended, going
+
+
+def _finished(nodes: DataFrame, left: DataFrame) -> DataFrame:
+    """``node, level`` of ``nodes(node, least)``; those that an edge of ``left`` leads to in one task if there are at most CORE_EDGES edges, else null."""
+    ends = left.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    free = nodes.join(ends, "node", "left_anti").select("node", F.col("least").alias("level"))
+    mine = nodes.join(ends, "node", "left_semi")
+    if left.count() > CORE_EDGES:
+        return free.unionAll(mine.select("node", F.lit(None).cast("long")))
+    kind = dict(nodes.dtypes)["node"]
+    rows = left.select("src", "dst", "steps").unionAll(mine.select(F.lit(None).cast(kind), "node", "least"))
+    return free.unionAll(rows.repartition(1).mapInPandas(_levels_of_small, f"node {kind}, level long"))
+
+
+def _levels_of_small(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows with a null ``src`` give a node's least level."""
+    level, need, kids = {}, defaultdict(int), defaultdict(list)
+    for f in frames:
+        for u, v, steps, named in zip(f["src"], f["dst"], f["steps"], f["src"].isna()):
+            if named:
+                level[v] = steps
+            else:
+                need[v] += 1
+                kids[u].append((v, steps))
+    ready = [node for node in level if not need[node]]
+    for u in ready:
+        for v, steps in kids[u]:
+            level[v] = max(level[v], level[u] + steps)
+            need[v] -= 1
+            if not need[v]:
+                ready.append(v)
+    if level:
+        yield pd.DataFrame({"node": list(level), "level": pd.array([None if need[node] else level[node] for node in level], dtype="Int64")})
