@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenpath.session import checkpoint
+
 
 def carry_forward(df: DataFrame, key: str, order: str, value: Column, out: str) -> DataFrame:
     """The last non-null value up to each row."""
@@ -32,38 +33,36 @@ def slice_rows(df: DataFrame, key: str, order: list[str], size: int, out: str =
     return df.withColumn(out, F.floor((F.row_number().over(w) - 1) / size).cast("int"))
 
 
-#: So many units are packed in one task; more are dealt to groups by hash, each with batches of its own.
-PACK_UNITS = 100_000
+def running_sums(df: DataFrame, order: list[Column], value: str, out: str) -> DataFrame:
+    """``df`` with the sum of ``value`` (long) over all rows before each one in ``order``, which must leave no ties.
+
+    A range sort, then sums inside its partitions, then one row a partition to carry over; no
+    task sees more than a partition.
+    """
+    placed = checkpoint(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_id", 33)))
+    inside = F.sum(value).over(Window.partitionBy("_part").orderBy("_id").rowsBetween(Window.unboundedPreceding, 0)) - F.col(value)
+    carried = F.coalesce(F.sum("_sum").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # One row a partition of the sort.
+    before = placed.groupBy("_part").agg(F.sum(value).alias("_sum")).select("_part", carried.alias("_carried"))
+    return placed.withColumn(out, inside).join(F.broadcast(before), "_part").withColumn(out, F.col(out) + F.col("_carried")).drop("_id", "_part", "_carried")
 
 
 def balanced_batches(units: DataFrame, unit: str, chars: str, target: int) -> DataFrame:
-    """``unit, batch``: largest first, each into the emptiest batch so far (lowest number on ties).
-
-    There are max(1, total // max(1, target) + 1) batches. The rule is sequential, so it is
-    applied to groups of about PACK_UNITS (unit, size) pairs, one task each; up to so many
-    units are one group. Batches are numbered through the groups.
+    """``unit, batch``: units in a row, largest first (ties by name), cut where each batch's equal share of the characters ends.
+
+    There are n = total // max(1, target) + 1 shares of ceil(total / n) characters, at most
+    ``target``; a unit belongs to the share it begins in, so a batch exceeds a share by less
+    than its last, smallest unit. A unit larger than a share leaves the numbers of those it
+    covers unused. Null sizes count as 0; units without a character are in the last batch.
+    The rule is the same at every size, unlike filling the emptiest batch, one unit after
+    the other.
     """
-    kind = dict(units.dtypes)[unit]
-    rows = units.select(F.col(unit).alias("unit"), F.col(chars).cast("long").alias("size"))
-    groups = units.count() // PACK_UNITS + 1
-    rows = rows.withColumn("group", F.pmod(F.xxhash64("unit"), F.lit(groups)))
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        import heapq
-
-        pdf = pdf.sort_values(["size", "unit"], ascending=[False, True], kind="stable")
-        heap, batch = [(0, i) for i in range(int(pdf["size"].sum()) // max(1, target) + 1)], []
-        for size in pdf["size"]:
-            load, i = heapq.heappop(heap)
-            batch.append(i)
-            heapq.heappush(heap, (load + int(size), i))
-        return pdf[["unit", "group"]].assign(batch=batch)
-
-    packed = rows.groupBy("group").applyInPandas(pack, f"unit {kind}, group long, batch int")
-    # One row a group.
-    n = rows.groupBy("group").agg((F.floor(F.sum("size") / max(1, target)) + 1).alias("n"))
-    first = n.select("group", F.coalesce(F.sum("n").over(Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
-    return packed.join(F.broadcast(first), "group").select(F.col("unit").alias(unit), (F.col("first") + F.col("batch")).cast("int").alias("batch"))
+    rows = units.select(F.col(unit).alias("unit"), F.coalesce(F.col(chars).cast("long"), F.lit(0)).alias("size"))
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    n = total // max(1, target) + 1
+    share = max(1, -(-total // n))
+    placed = running_sums(rows, [F.desc("size"), F.asc("unit")], "size", "before")
+    return placed.select(F.col("unit").alias(unit), F.least(F.expr(f"before div {share}"), F.lit(n - 1)).cast("int").alias("batch"))
 
 
 def bundle_text(files: DataFrame, unit: str, name: str, text: str, order: str) -> DataFrame:

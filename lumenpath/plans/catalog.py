@@ -151,9 +151,13 @@ def bundle_units(spark, d):
     return windows.bundle_text(kept, "source", "name", "text", "ord").select("source", "n_files", "chars")
 
 
-@query()
-def batch_lpt(spark, d):
-    ship(spark)
+@query(
+    "WITH c AS (SELECT source, sum(length(text)) AS size FROM documents WHERE length(text) >= 200 GROUP BY source), "
+    "r AS (SELECT *, sum(size) OVER (ORDER BY size DESC, source NULLS FIRST ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total FROM c), "
+    "n AS (SELECT *, total // 160000 + 1 AS n FROM r) "
+    "SELECT source, CAST(least(before // greatest(1, (total + n - 1) // n), n - 1) AS INTEGER) AS batch FROM n"
+)
+def balanced_batches(spark, d):
     return windows.balanced_batches(bundle_units(spark, d), "source", "chars", 160_000)
 
 

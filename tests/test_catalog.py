@@ -48,6 +48,6 @@ def test_broken_graph_is_acyclic_and_ordered(spark):
 
 
 def test_batches_conserve_units(spark):
-    out, units = catalog.queries()["batch_lpt"](spark, SF).toPandas(), catalog.queries()["bundle_units"](spark, SF).toPandas()
+    out, units = catalog.queries()["balanced_batches"](spark, SF).toPandas(), catalog.queries()["bundle_units"](spark, SF).toPandas()
     assert sorted(out["source"]) == sorted(units["source"])
     assert out["batch"].max() <= int(units["chars"].sum()) // 160_000

@@ -3,6 +3,7 @@
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lumenpath.operators import graph, similarity, skew, windows
@@ -92,13 +93,33 @@ def test_trigram_pairs_equal_counting(spark):
         assert {(r.a, r.b): round(r.score, 9) for r in got} == want and len(got) == len(want)
 
 
-def test_batches_through_groups(spark, monkeypatch):
-    units = spark.createDataFrame([(f"u{i}", 10 + i % 7) for i in range(50)], "unit string, chars int")
-    one = {r.unit: r.batch for r in windows.balanced_batches(units, "unit", "chars", 100).collect()}
-    assert len(one) == 50 and set(one.values()) == set(range(7))
-    monkeypatch.setattr(windows, "PACK_UNITS", 20)
-    some = windows.balanced_batches(units, "unit", "chars", 100).collect()
-    assert len(some) == 50 and set(r.batch for r in some) == set(range(max(r.batch for r in some) + 1))
+def cut(sizes, target):
+    """Batch of each unit: largest first, cut at equal shares."""
+    total = sum(sizes.values())
+    n = total // max(1, target) + 1
+    share, before, out = max(1, -(-total // n)), 0, {}
+    for name in sorted(sizes, key=lambda x: (-sizes[x], x)):
+        out[name] = min(before // share, n - 1)
+        before += sizes[name]
+    return out
+
+
+@pytest.mark.parametrize("sizes", [[10 + i % 7 for i in range(50)], [900, 900, 5, 0, 0, 3] + [1] * 400, [0, 0], [7], []])
+def test_batches_are_equal_shares(spark, sizes):
+    names = {f"u{i}": n for i, n in enumerate(sizes)}
+    units = spark.createDataFrame(list(names.items()), "unit string, chars int").repartition(7)
+    got = {r.unit: r.batch for r in windows.balanced_batches(units, "unit", "chars", 100).collect()}
+    assert got == cut(names, 100)
+    for batch in set(got.values()):
+        inside = sorted(names[u] for u in got if got[u] == batch)
+        assert sum(inside) - inside[0] <= 100
+
+
+def test_running_sums_over_many_partitions(spark):
+    rng = random.Random(2)
+    rows = [(i, rng.randrange(1_000)) for i in range(3_000)]
+    got = windows.running_sums(spark.createDataFrame(rows, "id int, n long").repartition(13), [F.asc("id")], "n", "before").collect()
+    assert {r.id: r.before for r in got} == {i: sum(n for _, n in rows[:i]) for i, _ in rows}
 
 
 def test_one_document_of_all_tables(spark):
