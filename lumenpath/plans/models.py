@@ -8,18 +8,24 @@ from __future__ import annotations
 
 import random
 import time
+import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from lumenpath.functions import text as T
-from lumenpath.session import checkpoint
+from lumenpath.session import checkpoint, remove, ship
 
 # Rows a call, links a bridge call may return, and the share of a context window for input.
 PAIRS_PER_CALL, NAMES_PER_CALL, BRIDGES_PER_CALL, MAX_BRIDGES, INPUT_SHARE = 60, 90, 45, 14, 0.45
 CARD_CHARS, INDEX_CHARS, MAX_WAIT = 260, 120, 30.0
+#: Calls that one task has under way at a time.
+CALLS_AT_ONCE = 8
+#: What ``ask_all`` counts over different prompts: those asked, answers kept from the table and found in notes, retries, failures, characters sent and received.
+ACCOUNT = ("calls", "kept", "noted", "retries", "failed", "chars_in", "chars_out")
 
 
 def batch_chars(context_tokens: int, chars_per_token: float = 4.0) -> int:
@@ -43,32 +49,86 @@ def answer(prompt: str, call: Callable[[str], str], check: Callable[[str], objec
     return None, error, tries - 1
 
 
-def ask_all(requests: DataFrame, call: Callable[[str], str], check: Callable[[str], object] = lambda _: None, cache: str | None = None, tries: int = 3, wait: float = 1.0) -> DataFrame:
+def ask_all(requests: DataFrame, call: Callable[[str], str], check: Callable[[str], object] = lambda _: None, cache: str | None = None, tries: int = 3, wait: float = 1.0, at_once: int = CALLS_AT_ONCE, seen: Observation | None = None) -> DataFrame:
     """``request_id, answer, error, retries, cached`` for ``requests(request_id, prompt)``.
 
     ``cache`` is the path of the table of earlier answers; only good ones are added to it.
+    A task has up to ``at_once`` calls under way. Each good answer is noted beside the cache
+    as soon as it is there, so that neither a second attempt of a lost task nor another run
+    after a failed one asks for it again; the notes go once the table holds their answers.
+    Equal prompts are one call. A null prompt is an error and no call. ``seen`` is filled
+    with the counts of ACCOUNT in the pass that asks.
     """
+    ship(requests.sparkSession)
+    spark, notes, known = requests.sparkSession, None, None
     keyed = requests.select("request_id", "prompt", T.cache_key(F.col("prompt")).alias("key"))
-    spark, known = requests.sparkSession, None
     if cache:
         path = spark._jvm.org.apache.hadoop.fs.Path(cache)
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            known = checkpoint(spark.read.parquet(cache).select("key", "answer").dropDuplicates(["key"]))
-    todo = keyed.join(known, "key", "left_anti") if known is not None else keyed
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        notes = f"{fs.makeQualified(path).toString()}-notes"
+        known = spark.read.parquet(cache) if fs.exists(path) else None
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    todo = keyed.where("prompt is not null").select("key", "prompt").repartition(tasks, "key").groupBy("key").agg(F.min("prompt").alias("prompt"))
+    if known is None:
+        todo = todo.withColumn("kept", F.lit(None).cast("string"))
+    else:
+        todo = todo.join(known.groupBy("key").agg(F.min("answer").alias("kept")), "key", "left")
 
     def run(batches):
-        for pdf in batches:
-            rows = [(r.request_id, r.key, *answer(r.prompt, call, check, tries, wait)) for r in pdf.itertuples()]
-            yield pd.DataFrame(rows, columns=["request_id", "key", "answer", "error", "retries"])
-
-    kind = dict(requests.dtypes)["request_id"]
-    fresh = checkpoint(todo.mapInPandas(run, f"request_id {kind}, key string, answer string, error string, retries int"))
+        log = Notes(notes) if notes else None
+
+        def one(key, prompt, kept):
+            if kept is not None:
+                return key, kept, None, 0, "kept", 0
+            said = log.read(key) if log else None
+            if said is not None:
+                return key, said, None, 0, "noted", 0
+            said, error, retries = answer(prompt, call, check, tries, wait)
+            if log and error is None:
+                log.write(key, said)
+            return key, said, error, retries, "asked", len(prompt) * (retries + 1)
+
+        with ThreadPoolExecutor(at_once) as pool:
+            for pdf in batches:
+                yield pd.DataFrame(list(pool.map(one, pdf["key"], pdf["prompt"], pdf["kept"])), columns=["key", "answer", "error", "retries", "state", "sent"])
+
+    told = todo.mapInPandas(run, "key string, answer string, error string, retries int, state string, sent long")
+    if seen is not None:
+        asked = F.col("state") == "asked"
+        counts = (F.count_if(asked), F.count_if(F.col("state") == "kept"), F.count_if(F.col("state") == "noted"), F.sum("retries"), F.count("error"), F.sum("sent"), F.sum(F.when(asked, F.length("answer"))))
+        told = told.observe(seen, *[F.coalesce(c, F.lit(0)).cast("long").alias(name) for name, c in zip(ACCOUNT, counts)])
+    told = checkpoint(told)
     if cache:
-        fresh.where("error is null").select("key", "answer").write.mode("append").parquet(cache)
-    out = fresh.select("request_id", "answer", "error", "retries", F.lit(False).alias("cached"))
-    if known is not None:
-        out = out.unionAll(keyed.join(known, "key").select("request_id", "answer", F.lit(None).cast("string"), F.lit(0), F.lit(True)))
-    return out
+        told.where("error is null and state <> 'kept'").select("key", "answer").write.mode("append").parquet(cache)
+        remove(spark, notes)
+    error = F.when(F.col("prompt").isNull(), F.lit("ValueError: no prompt")).otherwise(F.col("error"))
+    return keyed.join(told, "key", "left").select("request_id", "answer", error.alias("error"), F.coalesce("retries", F.lit(0)).alias("retries"), F.coalesce(F.col("state") != "asked", F.lit(False)).alias("cached"))
+
+
+class Notes:
+    """Good answers of one question each, as small files named by their key in a shared folder."""
+
+    def __init__(self, folder: str):
+        from pyarrow import fs
+
+        # Hadoop writes file:/a for file:///a, and has a name of its own for the S3 scheme.
+        uri = folder.replace("file:/", "file:///", 1) if not folder.startswith("file://") else folder
+        self.fs, self.folder = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+        self.fs.create_dir(self.folder, recursive=True)
+
+    def read(self, key: str) -> str | None:
+        try:
+            with self.fs.open_input_stream(f"{self.folder}/{key}") as f:
+                return f.read().decode()
+        except FileNotFoundError:
+            return None
+
+    def write(self, key: str, said: str) -> None:
+        """Whole or not at all: written under a name of its own, then moved."""
+        part = f"{self.folder}/{uuid.uuid4().hex}.part"
+        with self.fs.open_output_stream(part) as f:
+            f.write(said.encode())
+        self.fs.move(part, f"{self.folder}/{key}")
 
 
 def require_most(answers: DataFrame) -> DataFrame:

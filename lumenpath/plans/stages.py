@@ -5,12 +5,12 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lumenpath.functions import text as T
 from lumenpath.operators import graph, similarity, windows
-from lumenpath.plans import assemble, models, quality
+from lumenpath.plans import assemble, models, quality, usage
 from lumenpath.session import checkpoint, ship
 from lumenpath.sources import adapters, changes, documents, sinks
 
@@ -110,6 +110,12 @@ class Stages:
             self._end(stage)
         return [self.live(stage, name) for name in keys]
 
+    def account(self, kind: str, counts: dict) -> None:
+        """Add one row ``kind, calls, kept, ..., tokens_in, tokens_out, at`` to the run's account; tokens are estimated from characters."""
+        rows = self.spark.createDataFrame([(kind, *[int(counts[c]) for c in models.ACCOUNT])], f"kind string, {', '.join(f'{c} long' for c in models.ACCOUNT)}")
+        tokens = [F.ceil(F.col(f"chars_{way}") / usage.CHARS_PER_TOKEN).alias(f"tokens_{way}") for way in ("in", "out")]
+        rows.select("*", *tokens, F.current_timestamp().alias("at")).write.mode("append").parquet(f"{self.out}/account")
+
     def _merge(self, path: str, key: str, rows: DataFrame, concerned: DataFrame) -> None:
         at = [r["bucket"] for r in concerned.select(_bucket(key)).distinct().collect()]
         old = self.spark.read.parquet(path).where(F.col("bucket").isin(at))
@@ -168,23 +174,29 @@ def extracted(answers: DataFrame, batches: DataFrame) -> tuple[DataFrame, DataFr
     return mentions, occ, links
 
 
-def asked(prompts: DataFrame, call: Callable[[str], str] | None, schema: str, key: str, cache: str, most: int | None = None) -> DataFrame:
-    """The items under ``key`` of every good answer with ``request_id`` and position ``n``; nothing without a callable."""
-    empty = prompts.sparkSession.createDataFrame([], "request_id string, answer string")
-    answers = models.ask_all(prompts, call, must_hold(key), cache).where("error is null") if call else empty
+def asked(prompts: DataFrame, call: Callable[[str], str] | None, schema: str, key: str, cache: str, most: int | None = None, account: Callable[[str, dict], None] = lambda *_: None) -> DataFrame:
+    """The items under ``key`` of every good answer with ``request_id`` and position ``n``; nothing without a callable.
+
+    ``account`` gets the name of the cache and the counts of the calls.
+    """
+    answers = prompts.sparkSession.createDataFrame([], "request_id string, answer string")
+    if call:
+        seen = Observation()
+        answers = models.ask_all(prompts, call, must_hold(key), cache, seen=seen).where("error is null")
+        account(cache.rpartition("/")[2], seen.get)
     items: Column = F.from_json("answer", schema)[key]
     return answers.select("request_id", F.posexplode(F.slice(items, 1, most) if most else items).alias("n", "i")).select("request_id", "n", "i.*")
 
 
-def consolidated(parts: tuple, calls: dict[str, Callable[[str], str]], cache: str) -> tuple[DataFrame, DataFrame]:
+def consolidated(parts: tuple, calls: dict[str, Callable[[str], str]], cache: str, account: Callable[[str, dict], None] = lambda *_: None) -> tuple[DataFrame, DataFrame]:
     """Merges ``alias, canonical`` and bridge links, as the callables for "merge", "duplicates" and "bridge" judge."""
     concepts = assemble.build(*parts).concepts
     pairs = models.pair_prompts(similarity.merge_candidates(concepts), concepts)
-    said = asked(pairs, calls.get("merge"), VERDICTS, "verdicts", f"{cache}/merge")
-    said = said.unionByName(asked(models.name_prompts(concepts), calls.get("duplicates"), VERDICTS, "verdicts", f"{cache}/duplicates"))
+    said = asked(pairs, calls.get("merge"), VERDICTS, "verdicts", f"{cache}/merge", account=account)
+    said = said.unionByName(asked(models.name_prompts(concepts), calls.get("duplicates"), VERDICTS, "verdicts", f"{cache}/duplicates", account=account))
     merges = checkpoint(graph.merge_groups(said, concepts))
     merged = assemble.build(*parts, merges=merges).concepts if "bridge" in calls else concepts
-    found = asked(models.name_prompts(merged, models.BRIDGES_PER_CALL), calls.get("bridge"), BRIDGES, "links", f"{cache}/bridge", models.MAX_BRIDGES)
+    found = asked(models.name_prompts(merged, models.BRIDGES_PER_CALL), calls.get("bridge"), BRIDGES, "links", f"{cache}/bridge", models.MAX_BRIDGES, account)
     return merges, found.select("src", "dst", "type", "strength", "rationale", F.lit("bridge").alias("origin"), F.struct(F.col("request_id").alias("batch"), F.lit(0).alias("pos"), "n").alias("ord"))
 
 
@@ -282,7 +294,9 @@ def run(spark: SparkSession, root: str, out: str, adapter: str, calls: dict[str,
 
     def extract(those):
         mine = batches if those is None else batches.join(those.select(F.col("id")), named == F.col("id"), "left_semi")
-        answers = models.ask_all(batch_prompts(units, mine), calls["extract"], must_hold("units"), f"{s.out}/answers/extract")
+        seen = Observation()
+        answers = models.ask_all(batch_prompts(units, mine), calls["extract"], must_hold("units"), f"{s.out}/answers/extract", seen=seen)
+        s.account("extract", seen.get)
         found = extracted(models.require_most(answers), mine)
         return [(df.withColumn("id", F.col("ord.batch")), those) for df in found] + [(mine.select(named).distinct(), those)]
 
@@ -291,7 +305,7 @@ def run(spark: SparkSession, root: str, out: str, adapter: str, calls: dict[str,
     parts = (mentions, occurrences, links, units.select("unit_id", "course"), files.select("unit_id", "rel_path"))
     if ends("extract"):
         return result
-    merges, bridges = s.tables("consolidate", ["merges", "bridges"], lambda: consolidated(parts, calls, f"{s.out}/answers"))
+    merges, bridges = s.tables("consolidate", ["merges", "bridges"], lambda: consolidated(parts, calls, f"{s.out}/answers", s.account))
     if ends("consolidate"):
         return result
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Characters a token is taken to have.
+CHARS_PER_TOKEN = 4.0
+
 
 def cost(tokens_in, tokens_out, price_in, price_out):
     """Dollars of one or more calls; prices are per million tokens, an unknown model costs nothing."""
@@ -21,7 +24,7 @@ def usage(calls: DataFrame, prices: DataFrame) -> DataFrame:
     return paid.groupBy("stage").agg(*[F.sum(c).alias(c) for c in ("calls", "cached", "tokens_in", "tokens_out")], F.round(F.sum("usd"), 4).alias("usd"))
 
 
-def estimated_calls(prompts: DataFrame, answers: DataFrame, stage: str, model: str, chars_per_token: float = 4.0) -> DataFrame:
+def estimated_calls(prompts: DataFrame, answers: DataFrame, stage: str, model: str, chars_per_token: float = CHARS_PER_TOKEN) -> DataFrame:
     """``calls`` rows of one stage, tokens estimated from characters: a retry sends the prompt again, a kept answer sends nothing."""
     both = prompts.select("request_id", "prompt").join(answers.select("request_id", "answer", "retries", "cached"), "request_id")
     sent = F.when(F.col("cached"), 0).otherwise(F.length("prompt") * (F.col("retries") + 1))

@@ -1,12 +1,20 @@
 import io
+import os
+import sys
 import tarfile
+import time
+import uuid
 
 import pytest
+from pyspark import cloudpickle
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from lumenpath.plans import assemble, models
 from lumenpath.sources import course_archive
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MENTION = "unit_id string, slug string, name string, kind string, difficulty int, domain string, definition string, aliases array<string>, ord int"
 OCC = "unit_id string, slug string, rel_path string, role string, quote string, confidence double, ord int"
 LINK = "src string, dst string, type string, strength double, rationale string, origin string, ord int"
@@ -85,6 +93,67 @@ def test_answers_are_cached_retried_and_counted(spark, tmp_path):
     assert {tuple(r) for r in models.repair_unit_ids(said, want).select("batch", "pos", "unit_id").collect()} == {("b", 0, "u1"), ("b", 1, "u2"), ("c", 0, "y")}
 
 
+def counted(folder, fail=None):
+    """A model that leaves a file for every call, works a while, and takes its process down at the prompt ``fail``."""
+    place = str(folder)
+    os.makedirs(place, exist_ok=True)
+
+    def call(p):
+        if p == fail:
+            time.sleep(1.5)
+            os._exit(1)
+        with open(os.path.join(place, f"{p}.{uuid.uuid4().hex}"), "w"):
+            pass
+        time.sleep(0.1)
+        return p.upper()
+
+    return call
+
+
+def test_a_task_that_dies_pays_for_no_answer_twice(spark, tmp_path):
+    req = spark.range(12).selectExpr("cast(id as int) request_id", "concat('p', id) prompt").coalesce(1)
+    cache, paid = f"{tmp_path}/cache", tmp_path / "paid"
+    with pytest.raises(Exception):
+        models.ask_all(req, counted(paid, "p5"), cache=cache, wait=0)
+    before = sorted(n.split(".")[0] for n in os.listdir(paid))
+    assert len(before) > 4 and len(set(before)) == len(before)
+    seen = Observation()
+    got = models.ask_all(req, counted(paid), cache=cache, wait=0, seen=seen)
+    assert {r.request_id: r.answer for r in got.collect()} == {i: f"P{i}" for i in range(12)}
+    assert sorted(n.split(".")[0] for n in os.listdir(paid)) == sorted(f"p{i}" for i in range(12))
+    n = len(before)
+    assert (seen.get["calls"], seen.get["noted"], seen.get["retries"], seen.get["failed"]) == (12 - n, n, 0, 0)
+    assert not os.path.exists(f"{cache}-notes") and got.where("cached").count() == n
+
+
+def test_calls_run_at_once_and_equal_prompts_are_one(spark, tmp_path):
+    req = spark.createDataFrame([(i, f"q{i % 30}") for i in range(60)] + [(60, None)], "request_id int, prompt string").coalesce(1)
+    paid = tmp_path / "paid"
+    for cache in (None, f"{tmp_path}/cache", f"{tmp_path}/cache"):
+        rows = {r.request_id: r for r in models.ask_all(req, counted(paid), cache=cache).collect()}
+        assert len(rows) == 61 and all(rows[i].answer == f"Q{i % 30}" for i in range(60))
+        assert rows[60].answer is None and rows[60].error == "ValueError: no prompt"
+    assert len(os.listdir(paid)) == 60
+
+
+def test_calls_of_a_task_are_under_way_at_once(spark, tmp_path):
+    place = str(tmp_path)
+
+    def call(p):
+        open(os.path.join(place, p), "w").close()
+        until = time.time() + 10
+        while len(os.listdir(place)) < 3 and time.time() < until:
+            time.sleep(0.05)
+        return str(len(os.listdir(place)))
+
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = models.ask_all(spark.createDataFrame([(i, f"q{i}") for i in range(3)], "request_id int, prompt string"), call, at_once=3)
+        assert [r.answer for r in got.collect()] == ["3"] * 3
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def archive(files):
     out = io.BytesIO()
     with tarfile.open(fileobj=out, mode="w:gz") as tar:

@@ -57,6 +57,10 @@ def test_run_resumes_forces_and_exports(spark, root, tmp_path):
     assert links == {("limits-value", "derivatives", "prerequisite"), ("events", "limits-value", "prerequisite"), ("events", "limits-value", "related")}
     assert [r.reason for r in spark.read.parquet(f"{out}/graph/rejects").collect()] == ["bridge to unknown slug"]
 
+    account = {r.kind: r for r in spark.read.parquet(f"{out}/account").collect()}
+    assert {k: (r.calls, r.kept, r.noted, r.retries, r.failed) for k, r in account.items()} == {k: (1, 0, 0, 0, 0) for k in ("extract", "merge", "bridge")}
+    assert account["bridge"].chars_out == len(bridge("")) and account["bridge"].tokens_out == -(-len(bridge("")) // 4)
+
     def fails(prompt):
         raise RuntimeError("must not be asked again")
 
@@ -66,6 +70,8 @@ def test_run_resumes_forces_and_exports(spark, root, tmp_path):
     # A forced stage is answered from the kept answers and makes the later ones again.
     forced = stages.run(spark, str(root), out, "syllabus", none, force=["extract"])
     assert forced["made"] == stages.STAGES[3:] and forced["report"] == first["report"]
+    whole = spark.read.parquet(f"{out}/account").groupBy("kind").sum("calls", "kept").collect()
+    assert {tuple(r) for r in whole} == {("extract", 1, 1), ("merge", 1, 1), ("bridge", 1, 1)}
     with pytest.raises(ValueError, match="unknown stages"):
         stages.run(spark, str(root), out, "syllabus", CALLS, force=["paint"])
     with pytest.raises(ValueError, match="no files"):
