@@ -161,6 +161,16 @@ def balanced_batches(spark, d):
     return windows.balanced_batches(bundle_units(spark, d), "source", "chars", 160_000)
 
 
+@query(
+    "WITH r AS (SELECT doc_id, coalesce(length(text), 0) AS size, sum(coalesce(length(text), 0)) OVER (ORDER BY coalesce(length(text), 0) DESC, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) - coalesce(length(text), 0) AS before, sum(coalesce(length(text), 0)) OVER () AS total FROM documents), "
+    "n AS (SELECT *, total // 160000 + 1 AS n FROM r) "
+    "SELECT doc_id, CAST(least(before // greatest(1, (total + n - 1) // n), n - 1) AS INTEGER) AS batch FROM n"
+)
+def document_batches(spark, d):
+    units = table(spark, d, "documents").select("doc_id", F.char_length("text").alias("chars"))
+    return windows.balanced_batches(units, "doc_id", "chars", 160_000)
+
+
 @query("WITH k AS (SELECT *, bool_or(source <> 'src0') OVER () AS others FROM documents) SELECT doc_id, source FROM k WHERE source <> 'src0' OR NOT others")
 def skip_unless_all(spark, d):
     return stages.skip_groups(table(spark, d, "documents").select("doc_id", "source"), "source", ["src0"])
