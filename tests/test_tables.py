@@ -2,12 +2,15 @@
 
 import json
 import random
+from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 import pytest
 from pyspark.sql import functions as F
 
 from lumenpath.operators import graph, similarity, skew, windows
 from lumenpath.plans import planner, stages, usage
+from lumenpath.session import shared_dir
 from lumenpath.sources import sinks
 
 
@@ -93,6 +96,28 @@ def test_trigram_pairs_equal_counting(spark):
         assert {(r.a, r.b): round(r.score, 9) for r in got} == want and len(got) == len(want)
 
 
+def test_trigram_pairs_of_many_runs_take_less_room_than_the_texts(spark, monkeypatch):
+    """Runs of few sets, one size of more sets than a run, null blocks and ids; trigrams are never rows of their own."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(4, 9))) for _ in range(3_000)]
+    texts = [" ".join(rng.choice(words) for _ in range(500)) for _ in range(60)]
+    # Copies with some words changed, and different sets of one size.
+    texts += [" ".join(w if rng.random() > 0.04 else rng.choice(words) for w in texts[k % 60].split()) for k in range(60)] + [f"{a}{b}{c}" for a in "xyz" for b in "xyz" for c in "uvw"] + [texts[0]]
+    items = [(i, t, f"s{i % 2}") for i, t in enumerate(texts)] + [(None, texts[0], "s0"), (900, texts[0], None), (901, None, "s0")]
+    grams = [{f"  {t}  "[k : k + 3] for k in range(len(t) + 2)} for t in texts]
+    score = lambda i, j: len(grams[i] & grams[j]) / len(grams[i] | grams[j])
+    want = {(i, j): s for i in range(len(texts)) for j in range(i + 2, len(texts), 2) if (s := score(i, j)) >= 0.7}
+    frame = spark.createDataFrame(items, "id long, t string, s string")
+    folder = Path(unquote(urlparse(shared_dir(spark)).path))
+    size = lambda: sum(f.stat().st_size for f in folder.rglob("part-*"))
+    before = size()
+    got = similarity.trigram_pairs(frame, "id", "t", "s", 0.7).collect()
+    assert {(r.a, r.b): r.score for r in got} == want and len(got) == len(want) > 20
+    assert size() - before < sum(len(t) for t in texts)
+    monkeypatch.setattr(similarity, "RUNS", (7, 7))
+    assert {(r.a, r.b): r.score for r in similarity.trigram_pairs(frame, "id", "t", "s", 0.7).collect()} == want
+
+
 def cut(sizes, target):
     """Batch of each unit: largest first, cut at equal shares."""
     total = sum(sizes.values())
