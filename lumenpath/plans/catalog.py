@@ -297,11 +297,20 @@ def components_by_nation(spark, d):
 @query()
 def components_whole(spark, d):
     """``node, component`` over every part-supplier link; parts and suppliers without one are components of their own."""
-    links = table(spark, d, "lineitem").select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst")).distinct()
-    own = table(spark, d, "part").select(F.concat(F.lit("p"), "p_partkey").alias("id")).unionAll(table(spark, d, "supplier").select(F.concat(F.lit("s"), "s_suppkey")))
-    ends = links.select(F.explode(F.array("src", "dst")).alias("id"))
-    nodes = own.unionAll(ends).where("id is not null").distinct()
-    return nodes.join(connected_components(links), F.col("id") == F.col("node"), "left").select(F.col("id").alias("node"), F.coalesce("component", "id").alias("component"))
+    lines = table(spark, d, "lineitem").select(F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supplier"))
+    every = lambda rows, name: rows.unionAll(lines.select(name)).where(F.col(name).isNotNull()).distinct()
+    parts = every(table(spark, d, "part").select(F.col("p_partkey").alias("part")), "part")
+    suppliers = every(table(spark, d, "supplier").select(F.col("s_suppkey").alias("supplier")), "supplier")
+    # A supplier is drawn to its least part, so that all nodes are numbers of parts.
+    linked = lines.where("part is not null and supplier is not null")
+    first = checkpoint(linked.groupBy("supplier").agg(F.min("part").alias("first")))
+    found = connected_components(linked.join(first, "supplier"), "first", "part")
+    placed = checkpoint(parts.join(found, F.col("part") == F.col("node"), "left").select("part", F.coalesce("component", "part").alias("at")))
+    names = checkpoint(placed.groupBy("at").agg(F.min(F.concat(F.lit("p"), "part")).alias("component")))
+    of_parts = placed.join(names, "at").select(F.concat(F.lit("p"), "part").alias("node"), "component")
+    drawn = suppliers.join(first, "supplier", "left").join(placed.withColumnRenamed("part", "first"), "first", "left").join(names, "at", "left")
+    own = F.concat(F.lit("s"), "supplier")
+    return of_parts.unionAll(drawn.select(own.alias("node"), F.coalesce("component", own).alias("component")))
 
 
 def _precedence(spark, d):

@@ -39,3 +39,11 @@ def test_a_hot_key_is_dealt_into_parts(spark):
     for how in ("inner", "left"):
         got, want = skew.lookup(big, small, "k", how), big.join(small, "k", how)
         assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_edges_of_a_task_are_thinned_to_a_forest_before_they_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(components, "CHUNK", 1_000)
+    edges = spark.range(0, 20_000, 1, 2).select((F.hash("id") % 150).cast("long").alias("a"), (F.hash("id", F.lit(1)) % 150).cast("long").alias("b")).where("a <> b")
+    few = components.thinned(edges)
+    assert few.count() <= 2 * 300
+    assert {tuple(r) for r in components.connected_components(few, "a", "b").collect()} == {tuple(r) for r in components.joined(edges).collect()}
