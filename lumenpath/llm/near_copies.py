@@ -183,10 +183,26 @@ def sized(a: str, b: str, similar: float):
     return F.least(a, b) >= F.greatest(a, b) * similar - 1e-9
 
 
+def likely(pairs: DataFrame, nodes: DataFrame, similar: float) -> DataFrame:
+    """The ``pairs`` whose keys do not rule out that the sets are similar enough.
+
+    Of the two sets' last keys one comes first in the order; all that the other set has in
+    common with that set's keys are keys of both. What is not among the keys is at most the
+    rest of a set, so so many keys must be shared as are left of the least in common. Sets
+    of which only a sample are keys pass.
+    """
+    side = lambda name, n: nodes.select(F.col("node").alias(name), F.col("size").alias(f"{n}_size"), F.col("keys").alias(n))
+    both = lookup(lookup(pairs, side("src", "a"), "src").withColumnRenamed("src", "head"), side("dst", "b"), "dst", hot={})
+    least = F.ceil(similar / (1 + similar) * (F.col("a_size") + F.col("b_size")) - 1e-9)
+    rest = F.greatest(F.col("a_size") - F.size("a"), F.col("b_size") - F.size("b"))
+    sampled = F.greatest("a_size", "b_size") > SAMPLE
+    return both.where(sized("a_size", "b_size", similar) & (sampled | (F.size(F.array_intersect("a", "b")) >= least - rest))).select(F.col("head").alias("src"), "dst")
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, similar: float) -> DataFrame:
     """The ``pairs`` (``src, dst``) whose shingle sets are similar enough. Only texts of nodes with candidates are hashed again."""
-    pairs = checkpoint(pairs)
-    need = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    pairs = checkpoint(likely(pairs, nodes, similar))
+    need = checkpoint(pairs.select(F.col("src").alias("node")).unionAll(pairs.select("dst")).distinct())
     keys = nodes.join(broadcast_if_small(need, NEED), "node", "left_semi").select("node", F.col("key").alias("need_key"))
     rows = texts_of(docs).withColumn("key", F.struct(F.col("doc_id"), F.xxhash64("text").alias("th")))
     picked = rows.join(broadcast_if_small(checkpoint(keys), NEED), F.col("key") == F.col("need_key")).select(F.col("node").alias("doc_id"), "text")
@@ -223,12 +239,13 @@ def each_key(rows: DataFrame) -> DataFrame:
 def shared_keys(nodes: DataFrame) -> tuple[DataFrame, dict]:
     """(``node, size, share, keys`` with the keys that another node has too and their share among all keys, the hot ones of these keys)."""
     both = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.get("places", i).alias("place")))
-    flat = each_key(nodes.select("node", "size", F.size("keys").alias("all"), both.alias("keys")))
+    # Most keys are one node's only: what is shuffled of them holds no more than the key, its node and its place.
+    flat = each_key(nodes.select("node", both.alias("keys")))
     many = checkpoint(flat.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high").select("key", "n"))
     bound = hot_bound(many.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"])
     hot = {r["key"]: -(-r["n"] // bound) for r in many.where(F.col("n") >= bound).collect()}
-    rows = lookup(flat, many.select("key"), "key", hot=hot).groupBy("node")
-    made = rows.agg(F.max("size").alias("size"), (F.count(F.lit(1)) / F.max("all")).alias("share"), F.collect_list(F.struct("key", "place")).alias("keys"))
+    rows = lookup(flat, many.select("key"), "key", hot=hot).groupBy("node").agg(F.collect_list(F.struct("key", "place")).alias("keys"))
+    made = rows.join(nodes.select("node", "size", F.size("keys").alias("all")), "node").select("node", "size", (F.size("keys") / F.col("all")).alias("share"), "keys")
     return checkpoint(made), hot
 
 

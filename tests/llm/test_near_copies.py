@@ -131,3 +131,21 @@ def test_runs_do_not_depend_on_batches_or_pieces(monkeypatch):
     assert [r.tolist() for r in shingles.shingle_runs(texts, 5)] == want
     run = np.random.default_rng(1).integers(0, 1 << 64, 20_001, dtype=np.uint64)
     assert shingles.simhash(run) == int(simhash_trie.majority(run, np.array([len(run)]))[0]) and shingles.simhash(run[:0]) == 0
+
+
+def test_pairs_that_share_too_few_keys_are_not_hashed_again(spark):
+    """A rare key in common is no candidate yet; near copies are."""
+    from pyspark.sql import functions as F
+
+    from lumenpath.session import checkpoint
+
+    rng = random.Random(3)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    line, own = words(8), words(100)
+    texts = [" ".join(words(60) + line + words(60)) for _ in range(30)] + [" ".join(own), " ".join(own[:-3])]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    nodes = checkpoint(near_copies.described(docs, 5, 0.8))
+    every = nodes.select(F.col("node").alias("src"), F.col("key.doc_id").alias("i")).crossJoin(nodes.select(F.col("node").alias("dst"), F.col("key.doc_id").alias("j"))).where("i < j")
+    left = near_copies.likely(every.select("src", "dst"), nodes, 0.8)
+    by_node = {r.node: r.key.doc_id for r in nodes.collect()}
+    assert {(by_node[r.src], by_node[r.dst]) for r in left.collect()} == {(30, 31)}
