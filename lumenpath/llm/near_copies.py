@@ -31,6 +31,8 @@ from __future__ import annotations
 import math
 import uuid
 import zlib
+from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -46,7 +48,7 @@ from lumenpath.llm.simhash_trie import trie_links
 from lumenpath.llm.word_hash import mix
 from lumenpath.operators.components import connected_components
 from lumenpath.operators.skew import hot_bound, lookup
-from lumenpath.session import broadcast_if_small, checkpoint, remove, shared_dir, sweep
+from lumenpath.session import broadcast_if_small, checkpoint, remove, settled, shared_dir
 
 WORDS, SIMILAR, RADIUS = 5, 0.8, 2
 #: Keys beyond the least that a filter needs, the shingles up to which all keys count, and rounds with one other text, as above.
@@ -57,6 +59,8 @@ SKETCH_CHARS, SKETCH_BITS = 1_000, (16, 24)
 PIECES, MERGE = 64, 256
 #: Up to so many nodes with candidates (a few tens of MB) are broadcast to pick their texts.
 NEED = 500_000
+#: Pairs for each set in one join with whole sets.
+PAIRS_A_SET = 2
 #: Texts are hashed in batches of about so many characters.
 PASS_CHARS = 400_000
 
@@ -199,19 +203,43 @@ def likely(pairs: DataFrame, nodes: DataFrame, similar: float) -> DataFrame:
     return both.where(sized("a_size", "b_size", similar) & (sampled | (F.size(F.array_intersect("a", "b")) >= least - rest))).select(F.col("head").alias("src"), "dst")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, similar: float) -> DataFrame:
-    """The ``pairs`` (``src, dst``) whose shingle sets are similar enough. Only texts of nodes with candidates are hashed again."""
-    pairs = checkpoint(likely(pairs, nodes, similar))
+def whole_sets(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """``node, grams`` of the nodes in ``pairs``: their texts are hashed again."""
     need = checkpoint(pairs.select(F.col("src").alias("node")).unionAll(pairs.select("dst")).distinct())
     keys = nodes.join(broadcast_if_small(need, NEED), "node", "left_semi").select("node", F.col("key").alias("need_key"))
     rows = texts_of(docs).withColumn("key", F.struct(F.col("doc_id"), F.xxhash64("text").alias("th")))
     picked = rows.join(broadcast_if_small(checkpoint(keys), NEED), F.col("key") == F.col("need_key")).select(F.col("node").alias("doc_id"), "text")
     sets = map_texts(picked, "doc_id long, grams array<long>", [("grams", pa.list_(pa.int64()))], lambda texts: [[np.unique(r.view(np.int64)) for r in shingle_runs(texts, words)]], pass_chars=PASS_CHARS)
-    own = checkpoint(sets.groupBy(F.col("doc_id").alias("node")).agg(F.any_value("grams").alias("grams")))
-    side = lambda name, grams: own.select(F.col("node").alias(name), F.col("grams").alias(grams))
+    return sets.groupBy(F.col("doc_id").alias("node")).agg(F.any_value("grams").alias("grams"))
+
+
+def alike(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """The ``pairs`` whose whole ``sets(node, grams)`` are similar enough."""
+    # Stars have few nodes at one end: a side of the join moves the sets of its own end only.
+    end = lambda name: sets.join(pairs.select(F.col(name).alias("node")).distinct(), "node", "left_semi")
+    side = lambda name, grams: end(name).select(F.col("node").alias(name), F.col("grams").alias(grams))
     both = lookup(lookup(pairs, side("src", "a"), "src").withColumnRenamed("src", "head"), side("dst", "b"), "dst", hot={})
     common = F.size(F.array_intersect("a", "b"))
-    return checkpoint(both.where(common >= (F.size("a") + F.size("b") - common) * similar - 1e-9).select(F.col("head").alias("src"), "dst"))
+    return both.where(common >= (F.size("a") + F.size("b") - common) * similar - 1e-9).select(F.col("head").alias("src"), "dst")
+
+
+def in_parts(pairs: DataFrame, held: int, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` of all ``pairs``, in parts of about PAIRS_A_SET pairs for each of the ``held`` sets that they are joined with.
+
+    Pairs can grow faster than the texts do. A join repeats a set for each pair of it, and
+    only one part's sets are on disk at a time.
+    """
+    parts = max(1, math.ceil(pairs.count() / (PAIRS_A_SET * max(1, held))))
+    part = F.pmod(F.xxhash64("src", "dst"), F.lit(parts))
+    done = [settled(work(pairs.where(part == k))) for k in range(parts)]
+    return reduce(DataFrame.unionAll, done)
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, similar: float) -> DataFrame:
+    """The ``pairs`` (``src, dst``) whose shingle sets are similar enough. Only texts of nodes with candidates are hashed again."""
+    near = in_parts(pairs, nodes.count(), lambda part: likely(part, nodes, similar))
+    sets = settled(whole_sets(near, nodes, docs, words))
+    return in_parts(near, sets.count(), lambda part: alike(part, sets, similar))
 
 
 def placed(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -241,12 +269,12 @@ def shared_keys(nodes: DataFrame) -> tuple[DataFrame, dict]:
     both = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.get("places", i).alias("place")))
     # Most keys are one node's only: what is shuffled of them holds no more than the key, its node and its place.
     flat = each_key(nodes.select("node", both.alias("keys")))
-    many = checkpoint(flat.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high").select("key", "n"))
+    many = settled(flat.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high").select("key", "n"))
     bound = hot_bound(many.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"])
     hot = {r["key"]: -(-r["n"] // bound) for r in many.where(F.col("n") >= bound).collect()}
     rows = lookup(flat, many.select("key"), "key", hot=hot).groupBy("node").agg(F.collect_list(F.struct("key", "place")).alias("keys"))
     made = rows.join(nodes.select("node", "size", F.size("keys").alias("all")), "node").select("node", "size", (F.size("keys") / F.col("all")).alias("share"), "keys")
-    return checkpoint(made), hot
+    return settled(made), hot
 
 
 def stars(rows: DataFrame, hot: dict, turn: int, similar: float) -> DataFrame:
@@ -285,21 +313,45 @@ def rest_pairs(rows: DataFrame, similar: float) -> DataFrame:
 
 
 def links(nodes: DataFrame, docs: DataFrame, words: int, similar: float) -> DataFrame:
-    """``src, dst`` nodes: verified links that connect what all pairs of at least ``similar`` connect."""
+    """``src, dst`` nodes: verified links that connect what all pairs of at least ``similar`` connect.
+
+    Candidates are a checkpoint before they are looked at: their plans are long, and finding the
+    hot keys of a lookup alone would run them twice. No variable holds a plan that has run, or
+    its shuffle files stay.
+    """
     full = nodes.where("size > 0")
     rows, hot = shared_keys(full)
-    sweep(docs.sparkSession)
     # At first every node is a part of its own.
-    pairs, found = simhash_pairs(full, RADIUS).unionAll(stars(rows.withColumn("part", F.col("node")), hot, 0, similar)), None
+    pairs = settled(simhash_pairs(full, RADIUS).unionAll(stars(rows.withColumn("part", F.col("node")), hot, 0, similar)).distinct())
+    found = None
     for turn in range(1, ROUNDS + 1):
-        near = verified(pairs.distinct(), nodes, docs, words, similar)
-        sweep(docs.sparkSession)
+        near = verified(pairs, nodes, docs, words, similar)
         found = near if found is None else checkpoint(found.unionAll(near))
-        apart = checkpoint(placed(rows, found))
-        pairs = stars(apart, hot, turn, similar) if turn < ROUNDS else rest_pairs(apart, similar)
+        apart = settled(placed(rows, found))
+        pairs = settled(stars(apart, hot, turn, similar) if turn < ROUNDS else rest_pairs(apart, similar))
+    del rows, apart
     return found.unionAll(verified(pairs, nodes, docs, words, similar))
 
 
+def first_keys(docs: DataFrame, words: int, similar: float) -> DataFrame:
+    """``near_copy_key`` of the first document of each group of near copies."""
+    folder = f"{shared_dir(docs.sparkSession)}/near-copies-{uuid.uuid4().hex}"
+    # A written table and no checkpoint, which would hash all texts twice.
+    described(docs, words, similar).write.parquet(folder)
+    nodes = settled(told_apart(docs.sparkSession.read.parquet(folder)))
+    remove(docs.sparkSession, folder)
+    groups = placed(nodes.select("node", "best"), links(nodes, docs, words, similar)).groupBy("part").agg(F.min("best").alias("best"))
+    return groups.select(F.col("best.key").alias("near_copy_key"))
+
+
+def told_apart(rows: DataFrame) -> DataFrame:
+    """``node, best, key, fp, size, keys, places`` of each node of ``described`` rows; ``best`` sorts first."""
+    best = F.struct(F.col("key.doc_id").isNull().alias("none"), F.col("key").alias("key"))
+    facts = rows.groupBy("node").agg(F.min(best).alias("best"), F.min("fp").alias("fp"), F.max("size").alias("size"))
+    keys = rows.where("keys is not null").groupBy("node").agg(F.any_value(F.struct("keys", "places")).alias("own"))
+    return facts.join(keys, "node").select("node", "best", F.col("best.key").alias("key"), "fp", "size", "own.keys", "own.places")
+
+
 def keep_first(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) -> DataFrame:
     """``docs`` with one document of each group of near copies: the one with the smallest id (nulls last).
 
@@ -310,17 +362,9 @@ def keep_first(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) ->
     and of rows that repeat both one stays. Very long texts are hashed in pieces. An empty
     table stays empty; all columns are kept.
     """
-    folder = f"{shared_dir(docs.sparkSession)}/near-copies-{uuid.uuid4().hex}"
-    # A written table and no checkpoint, which would hash all texts twice.
-    described(docs, words, similar).write.parquet(folder)
-    rows = docs.sparkSession.read.parquet(folder)
-    best = F.struct(F.col("key.doc_id").isNull().alias("none"), F.col("key").alias("key"))
-    facts = rows.groupBy("node").agg(F.min(best).alias("best"), F.min("fp").alias("fp"), F.max("size").alias("size"))
-    keys = rows.where("keys is not null").groupBy("node").agg(F.any_value(F.struct("keys", "places")).alias("own"))
-    nodes = checkpoint(facts.join(keys, "node").select("node", "best", F.col("best.key").alias("key"), "fp", "size", "own.keys", "own.places"))
-    remove(docs.sparkSession, folder)
-    sweep(docs.sparkSession)
-    groups = placed(nodes.select("node", "best"), links(nodes, docs, words, similar)).groupBy("part").agg(F.min("best").alias("best"))
-    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
+    # Only the last join moves texts; all that found the keys has gone from the disk by then.
+    kept = settled(first_keys(docs, words, similar))
+    # The type is that of ``kept``, nulls allowed: a key that is cast for the join has the texts shuffled once more.
+    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th")).cast(kept.schema["near_copy_key"].dataType)
     marked = docs.withColumn("near_copy_key", key).dropDuplicates(["near_copy_key"])
-    return marked.join(groups.select(F.col("best.key").alias("near_copy_key")), "near_copy_key", "left_semi").drop("near_copy_key")
+    return marked.join(kept, "near_copy_key", "left_semi").drop("near_copy_key")

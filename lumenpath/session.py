@@ -5,11 +5,15 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Seconds after which the gateway's clean-up, which looks once a second, has told the JVM what Python let go.
+GATEWAY_S = 1.2
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table."""
@@ -52,9 +56,19 @@ def remove(spark: SparkSession, folder: str) -> None:
 def sweep(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files and checkpoints that nothing refers to any more: it does so when the driver collects its garbage."""
     gc.collect()
+    # The gateway tells the JVM once a second what Python has let go; before that nothing is garbage there.
+    time.sleep(GATEWAY_S)
     spark._jvm.System.gc()
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """A checkpoint of ``df`` once the shuffle files that only made it are let go, so that those of several steps do not lie on disk together."""
+    out = checkpoint(df)
+    del df
+    sweep(out.sparkSession)
+    return out
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only if ``df``, of narrow rows, has at most ``max_rows`` of them; beyond that Spark picks a shuffle join."""
     n = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).first()["n"]

@@ -149,3 +149,62 @@ def test_pairs_that_share_too_few_keys_are_not_hashed_again(spark):
     left = near_copies.likely(every.select("src", "dst"), nodes, 0.8)
     by_node = {r.node: r.key.doc_id for r in nodes.collect()}
     assert {(by_node[r.src], by_node[r.dst]) for r in left.collect()} == {(30, 31)}
+
+
+def test_the_last_step_shuffles_the_texts_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.hash("id", F.lit(k)) for k in range(30)]).alias("text"))
+    docs.write.parquet(f"{tmp_path}/docs")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = near_copies.keep_first(spark.read.parquet(f"{tmp_path}/docs"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # One for the texts, one for the keys that stay.
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_many_pairs_a_set_are_joined_in_parts(spark, monkeypatch):
+    """More pairs than PAIRS_A_SET for each set are worked off one part after another, with the same links."""
+    from lumenpath.session import checkpoint
+
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    texts = [" ".join([*base[: 200 - 5 * (i % 4)], f"x{i}"]) for i in range(10)] + [" ".join(rng.sample(base, 200)) for _ in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    nodes = checkpoint(near_copies.described(docs, 5, 0.8))
+    ids = [r.node for r in nodes.select("node").collect()]
+    pairs = checkpoint(spark.createDataFrame([(a, b) for a in ids for b in ids if a < b], "src long, dst long"))
+    sizes, alike = [], near_copies.alike
+
+    def counted(part, *rest):
+        sizes.append(part.count())
+        return alike(part, *rest)
+
+    monkeypatch.setattr(near_copies, "alike", counted)
+    got = {tuple(r) for r in near_copies.verified(pairs, nodes, docs, 5, 0.8).collect()}
+    node = {r.key.doc_id: r.node for r in nodes.collect()}
+    sets = [set(near_copies.shingle_set(t).tolist()) for t in texts]
+    near = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    assert got == {tuple(sorted((node[i], node[j]))) for i in range(12) for j in range(i) if near(i, j)} and len(got) == 45
+    assert len(sizes) > 1 and max(sizes) < sum(sizes)
+
+
+def test_settled_lets_shuffle_files_go(spark):
+    """Each step's shuffle files are deleted before the next step runs."""
+    import glob
+    import time
+
+    from lumenpath import session
+
+    where = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()[0]
+    files = lambda: set(glob.glob(f"{where}/*/shuffle_*"))
+    before = files()
+    out = session.settled(spark.range(5_000).repartition(7, "id").groupBy("id").count())
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and out.count() == 5_000
