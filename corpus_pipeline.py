@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lumenpath.llm import bpe_automaton, decontaminate, language_id, near_copies, toxicity
 from lumenpath.llm.common import fold_of
 from lumenpath.llm.queries import vocabulary
-from lumenpath.session import remove, shared_dir, table
+from lumenpath.session import remove, shared_dir, table, trim_executors
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document stays if its language is known with at least this probability.
@@ -32,6 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of near copies: five-word shingles, similarity 0.8."""
+    trim_executors(spark)
     return near_copies.keep_first(docs).select(COLUMNS)
 
 
@@ -42,6 +43,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encode every document that is left and decode it again: ids and decoded text beside their digests."""
+    trim_executors(spark)
     return bpe_automaton.encode_decode(docs, vocabulary("word_bpe_49k.json"))
 
 

@@ -33,6 +33,8 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 #: These separate for str.split but are no white space for the vocabulary's pattern.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 END = "</w>"
+#: Texts whose ids and decoded texts are made at once have about so many characters: all that lies in memory beside the tables is of their size.
+ROW_CHARS = 250_000
 
 
 def byte_characters() -> list[str]:
@@ -225,7 +227,7 @@ def encode_decode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text
         return held(f"automaton {vocab_path}", lambda: Encoder(Automaton(spec.value))).encode_all
 
     names = [("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
-    said = map_texts(texts_of(docs, id_col, text_col), "doc_id long, ids array<int>, decoded string", names, None, start, min(PASS_CHARS, 1_000_000))
+    said = map_texts(texts_of(docs, id_col, text_col), "doc_id long, ids array<int>, decoded string", names, None, start, min(PASS_CHARS, ROW_CHARS))
     digest = lambda text: F.sha2(F.encode(text, "UTF-8"), 256)
     ids = digest(F.array_join(F.col("ids").cast("array<string>"), " "))
     return said.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"), *(["ids", "decoded"] if full else []))

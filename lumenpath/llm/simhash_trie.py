@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from lumenpath.llm.common import map_texts, texts_of
 from lumenpath.operators.components import connected_components
-from lumenpath.session import checkpoint
+from lumenpath.session import checkpoint, small_table
 
 SEED, RADIUS, SHINGLE = 42, 2, 3
 CUT_BITS, FINE_BITS, LEAF, BLOCK = 16, 4, 65_536, 200_000
@@ -94,7 +94,7 @@ def cut_leaves(fps: DataFrame, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray
     while heavy:
         part = fps
         if depth:
-            nodes = fps.sparkSession.createDataFrame([(h >> (64 - depth),) for h in heavy], "node long")
+            nodes = small_table(fps.sparkSession, [(h >> (64 - depth),) for h in heavy], {"node": "long"})
             part = fps.join(nodes, F.shiftrightunsigned("fp", 64 - depth) == F.col("node"), "left_semi")
         counts = {h: np.zeros(1 << step, dtype=np.int64) for h in heavy}
         below = 64 - depth - step

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumenpath.session import small_table
+
 #: A key is hot if it has one row in HOT_SHARE, and so many at least; there are at most HOT_SHARE of them.
 HOT_SHARE, HOT_ROWS = 1_000, 100
 
@@ -37,7 +39,7 @@ def lookup(big: DataFrame, small: DataFrame, key: str, how: str = "inner", hot:
     if not hot:
         return big.join(small, key, how)
     kind = dict(big.dtypes)[key]
-    dealt = F.broadcast(big.sparkSession.createDataFrame(list(hot.items()), f"{key} {kind}, dealt_parts int"))
+    dealt = F.broadcast(small_table(big.sparkSession, list(hot.items()), {key: kind, "dealt_parts": "int"}))
     others = [c for c in big.columns if c != key]
     part = F.pmod(F.xxhash64(*others) if others else F.monotonically_increasing_id(), F.coalesce("dealt_parts", F.lit(1)))
     left = big.join(dealt, key, "left").withColumn("dealt_part", part.cast("int")).drop("dealt_parts")

@@ -8,6 +8,7 @@ import tempfile
 import time
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +70,29 @@ def settled(df: DataFrame) -> DataFrame:
     return out
 
 
+def trim_executors(spark: SparkSession) -> None:
+    """Let the executors collect their garbage, once for each core: a heap that an earlier stage has stretched goes back to the system, and Python workers have the room."""
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, cores, 1, cores).select(F.java_method(F.lit("java.lang.System"), F.lit("gc"))).collect()
+
+
+#: Kinds of columns that ``small_table`` gives to Spark as Arrow.
+ARROW_KINDS = {"bigint": pa.int64(), "long": pa.int64(), "int": pa.int32(), "string": pa.string()}
+
+
+def small_table(spark: SparkSession, rows: list[tuple], columns: dict[str, str]) -> DataFrame:
+    """A few ``rows`` of the driver as a table of ``columns`` (name: kind).
+
+    They are given as Arrow where their kinds allow it: a list of rows is turned into a table by
+    Python workers of a kind of its own, and these lie on every executor beside the others.
+    """
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in columns.items())
+    if not set(columns.values()) <= ARROW_KINDS.keys():
+        return spark.createDataFrame(rows, schema)
+    arrays = [pa.array(values, ARROW_KINDS[kind]) for values, kind in zip(zip(*rows), columns.values())]
+    return spark.createDataFrame(pa.table(arrays, names=list(columns)), schema)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only if ``df``, of narrow rows, has at most ``max_rows`` of them; beyond that Spark picks a shuffle join."""
     n = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).first()["n"]
